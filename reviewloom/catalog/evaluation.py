@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.score import with_sentiment
+from ..functions.score import sentiment
 from ..operators import evaluate, ingest
 from ..session import spread
 from . import duck, views
@@ -21,8 +21,10 @@ def predictions(t: Tables) -> DataFrame:
     """The score of the raw review comment beside the label of its document. Labels are
     joined first, so that only labelled texts are scored."""
     labelled = views.reviews(t).join(t.labels.select("doc_id", "quality"), "doc_id")
-    return with_sentiment(spread(labelled), "comment", "prediction").select(
-        "doc_id", F.col("quality").alias("label_id"), "prediction"
+    return spread(labelled).select(
+        "doc_id",
+        F.col("quality").alias("label_id"),
+        sentiment(F.col("comment")).alias("prediction"),
     )
 
 

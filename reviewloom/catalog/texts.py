@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions import lexicon as lex
 from ..functions import steps as s
-from ..functions.score import sentiment, with_sentiment
+from ..functions.score import sentiment
 from ..operators import lookup
 from ..plans.profiles import SERVING, TRAINING, clean
 from ..plans.scoring import score_messages
@@ -193,7 +193,7 @@ def clean_training(t: Tables) -> DataFrame:
     f"{_SERVED}\nSELECT doc_id, {duck.sentiment('processed_comment')} AS sentiment FROM cleaned"
 )
 def sentiment_lexicon(t: Tables) -> DataFrame:
-    return with_sentiment(clean_serving(t), "processed_comment").drop("processed_comment")
+    return clean_serving(t).select("doc_id", sentiment(F.col("processed_comment")).alias("sentiment"))
 
 
 @CATALOG.query(

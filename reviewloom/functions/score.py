@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .lexicon import NEGATIVE, POSITIVE
-from .steps import tokens, trim_blank
+from .steps import bind, tokens, trim_blank
 
 
 def _hits(text: Column, words: Sequence[str], mode: str) -> Column:
@@ -17,7 +17,7 @@ def _hits(text: Column, words: Sequence[str], mode: str) -> Column:
         found = [F.contains(text, F.lit(w)) for w in words]
     elif mode == "token":
         listed = tokens(text)
-        found = [F.array_contains(listed, w) for w in words]
+        return F.size(F.array_intersect(listed, F.array(*map(F.lit, words))))
     else:
         raise ValueError(f"mode is 'substring' or 'token', not {mode!r}")
     return reduce(lambda a, b: a + b, (f.cast("int") for f in found))
@@ -28,29 +28,18 @@ def sentiment(
     positive: Sequence[str] = POSITIVE,
     negative: Sequence[str] = NEGATIVE,
     mode: str = "substring",
-    lowered: Column | None = None,
 ) -> Column:
     """1 positive, 0 negative, -1 for null or blank text.
 
     Each word counts once if it occurs at all; a tie, also without any hit, is 1. With
     ``mode="token"`` a word must be a whole token instead of any part of the text.
-    ``lowered`` is the lower-cased text where the caller has it as a column already.
     """
-    low = F.lower(text) if lowered is None else lowered
-    return (
-        F.when(text.isNull() | (trim_blank(text) == ""), F.lit(-1))
-        .when(_hits(low, negative, mode) > _hits(low, positive, mode), F.lit(0))
-        .otherwise(F.lit(1))
-        .cast("int")
-    )
-
-
-def with_sentiment(df: DataFrame, column: str, output: str = "sentiment", **options) -> DataFrame:
-    """Add the score. The lower-cased text is a projection of its own, so it is made once
-    and not once per lexicon word."""
-    low = "__lowered"
-    return (
-        df.withColumn(low, F.lower(F.col(column)))
-        .withColumn(output, sentiment(F.col(column), lowered=F.col(low), **options))
-        .drop(low)
-    )
+
+    def score(low: Column) -> Column:
+        return (
+            F.when(low.isNull() | (trim_blank(low) == ""), F.lit(-1))
+            .when(_hits(low, negative, mode) > _hits(low, positive, mode), F.lit(0))
+            .otherwise(F.lit(1))
+        )
+
+    return bind(F.lower(text), score).cast("int")

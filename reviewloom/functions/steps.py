@@ -7,8 +7,11 @@ never pays for the link pattern.
 
 *Tidy* text has no blank at either end and no two spaces in a row. A step that receives
 tidy text and whose test is false returns it untouched; otherwise the tidying runs too.
-``Step.on`` refers to its input several times, so chains must bind each step in its own
-projection (``plans.profiles.clean`` does) rather than nest the expressions.
+
+Steps are made to be nested. Where a step needs its input several times it binds it
+(``bind``), so an expression mentions its input once and a chain grows by addition. That
+also holds where the optimizer copies it: a filter on a cleaned column is pushed below
+the projection with the whole chain inside.
 """
 
 from __future__ import annotations
@@ -44,7 +47,12 @@ def squeeze(x: Column) -> Column:
 def blank_guard(x: Column) -> Column:
     """Null and all-blank text become the empty string."""
     text = F.coalesce(x.cast("string"), F.lit(""))
-    return F.when(trim_blank(text) == "", F.lit("")).otherwise(text)
+    return bind(text, lambda v: F.when(trim_blank(v) == "", F.lit("")).otherwise(v))
+
+
+def bind(x: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(x)`` with ``x`` computed once, however often ``body`` uses it."""
+    return F.transform(F.array(x), body)[0]
 
 
 @dataclass(frozen=True)
@@ -63,8 +71,8 @@ class Step:
         if self.touches is None:
             return finish(self.rewrite(x))
         if tidy:
-            return F.when(self.touches(x), finish(self.rewrite(x))).otherwise(x)
-        return finish(F.when(self.touches(x), self.rewrite(x)).otherwise(x))
+            return bind(x, lambda v: F.when(self.touches(v), finish(self.rewrite(v))).otherwise(v))
+        return finish(bind(x, lambda v: F.when(self.touches(v), self.rewrite(v)).otherwise(v)))
 
     def leaves_tidy(self, tidy: bool) -> bool:
         return self.finish == "squeeze" or tidy

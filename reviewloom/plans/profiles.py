@@ -1,10 +1,10 @@
-"""Cleaning profiles: ordered step lists, applied as one chain of projections."""
+"""Cleaning profiles: ordered step lists, applied as one column expression."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import steps as s
@@ -64,18 +64,14 @@ def profile(
     raise ValueError(f"unknown profile {name!r}")
 
 
-def run_steps(df: DataFrame, column: str, steps: Sequence[s.Step], output: str) -> DataFrame:
-    """Apply steps to ``column`` and add the result as ``output``.
-
-    Each step is its own projection, so its input is computed once although the step
-    refers to it several times. Batch and streaming frames plan alike.
-    """
-    df = df.withColumn(output, s.blank_guard(F.col(column)))
+def run_steps(text: Column, steps: Sequence[s.Step]) -> Column:
+    """Apply steps one after another; a null text is an empty one."""
+    text = s.blank_guard(text)
     tidy = False
     for step in steps:
-        df = df.withColumn(output, step.on(F.col(output), tidy))
+        text = step.on(text, tidy)
         tidy = step.leaves_tidy(tidy)
-    return df
+    return text
 
 
 def clean(
@@ -88,4 +84,5 @@ def clean(
     segmenter: Callable[[str], str] | None = None,
 ) -> DataFrame:
     """Clean a text column with a whole profile."""
-    return run_steps(df, column, profile(name, lexicons, keep_words, segmenter), output)
+    steps = profile(name, lexicons, keep_words, segmenter)
+    return df.withColumn(output, run_steps(F.col(column), steps))

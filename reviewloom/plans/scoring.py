@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import records as r
 from ..functions.lexicon import DEFAULT, Lexicons
-from ..functions.score import with_sentiment
+from ..functions.score import sentiment
 from .profiles import SERVING, clean
 
 RESULT_COLUMNS = tuple(r.RESULT_MESSAGE.names)
@@ -36,7 +36,7 @@ def score_messages(
         F.col("m.time").alias("time"),
     )
     cleaned = clean(flat, "original_comment", "processed_comment", SERVING, lexicons, keep_words)
-    return with_sentiment(cleaned, "processed_comment").select(
+    return cleaned.withColumn("sentiment", sentiment(F.col("processed_comment"))).select(
         *keep, *RESULT_COLUMNS
     )
 
