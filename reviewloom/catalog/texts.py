@@ -12,7 +12,7 @@ from ..functions import lexicon as lex
 from ..functions import steps as s
 from ..functions.score import sentiment
 from ..operators import lookup
-from ..plans.profiles import SERVING, TRAINING, clean
+from ..plans.profiles import SERVING, TRAINING, clean, run_steps
 from ..plans.scoring import score_messages
 from ..session import spread
 from . import duck, views
@@ -106,9 +106,9 @@ def blank_guard(t: Tables) -> DataFrame:
     f" FROM ({views.REVIEWS_SQL})"
 )
 def token_array(t: Tables) -> DataFrame:
-    plain = views.reviews(t).withColumn("plain", s.numbered_words(F.col("comment")))
-    joined = plain.withColumn("joined", s.join_compounds(lex.COMPOUNDS).on(F.col("plain"), True))
-    return joined.select("doc_id", s.token_array(F.col("joined")).alias("words"))
+    steps = [s.numbered_words, s.join_compounds(lex.COMPOUNDS)]
+    joined = run_steps(F.col("comment"), steps)
+    return views.reviews(t).select("doc_id", s.token_array(joined).alias("words"))
 
 
 # --- lexicons as tables ---------------------------------------------------------------

@@ -5,8 +5,15 @@ anything, and how the result is tidied. Regex rewrites copy every row through a
 string even when nothing matches; the test is a byte search, so a text without a link
 never pays for the link pattern.
 
-*Tidy* text has no blank at either end and no two spaces in a row. A step that receives
-tidy text and whose test is false returns it untouched; otherwise the tidying runs too.
+A chain also tracks what is known of the blanks in the text, since tidying is a large
+part of the work:
+
+``RAW``     nothing
+``TIDY``    no blank at either end, no two spaces in a row
+``SPACED``  tidy, and the space is the only blank, as after splitting and joining
+
+A step whose test is false returns tidy text untouched, and cheaper rewrites can be used
+where the state allows.
 
 Steps are made to be nested. Where a step needs its input several times it binds it
 (``bind``), so an expression mentions its input once and a chain grows by addition. That
@@ -55,27 +62,51 @@ def bind(x: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(x), body)[0]
 
 
+RAW, TIDY, SPACED = range(3)
+
+Rewrite = Callable[[Column], Column]
+
+
 @dataclass(frozen=True)
 class Step:
     name: str
-    rewrite: Callable[[Column], Column]
-    touches: Callable[[Column], Column] | None = None
-    # "squeeze": the result is squeezed, so it is tidy; "trim": only the ends are
-    # trimmed; "keep": a tidy text stays tidy without further work.
+    rewrite: Rewrite
+    touches: Rewrite | None = None
+    # How the result of ``rewrite`` is finished: "squeeze", "trim" or "none".
     finish: str = "squeeze"
-
-    def on(self, x: Column, tidy: bool = False) -> Column:
-        if self.finish == "keep":
-            return self.rewrite(x)
-        finish = squeeze if self.finish == "squeeze" else trim_blank
-        if self.touches is None:
-            return finish(self.rewrite(x))
-        if tidy:
-            return bind(x, lambda v: F.when(self.touches(v), finish(self.rewrite(v))).otherwise(v))
-        return finish(bind(x, lambda v: F.when(self.touches(v), self.rewrite(v)).otherwise(v)))
-
-    def leaves_tidy(self, tidy: bool) -> bool:
-        return self.finish == "squeeze" or tidy
+    # The state that holds afterwards whatever the input was.
+    reaches: int = TIDY
+    # The best state the step can hand on.
+    keeps: int = SPACED
+    # The rewrite alone does not spoil a tidy text.
+    harmless: bool = False
+    # Rewrites for tidy and for single-spaced text; they leave at most a blank at the ends.
+    tidy_rewrite: Rewrite | None = None
+    spaced_rewrite: Rewrite | None = None
+    spaced_touches: Rewrite | None = None
+
+    def on(self, x: Column, state: int = RAW) -> Column:
+        trim = F.trim if state == SPACED else trim_blank
+        rewrite, touches = self.rewrite, self.touches
+        if state == SPACED and self.spaced_rewrite:
+            rewrite, finish = self.spaced_rewrite, trim
+            touches = self.spaced_touches or touches
+        elif state >= TIDY and self.tidy_rewrite:
+            rewrite, finish = self.tidy_rewrite, trim
+        elif self.finish == "none" or (state >= TIDY and self.harmless):
+            finish = lambda v: v
+        elif self.finish == "trim":
+            finish = trim
+        else:
+            finish = lambda v: trim(F.regexp_replace(v, " {2,}", " "))
+        if touches is None:
+            return finish(rewrite(x))
+        if state >= TIDY:
+            return bind(x, lambda v: F.when(touches(v), finish(rewrite(v))).otherwise(v))
+        return finish(bind(x, lambda v: F.when(touches(v), rewrite(v)).otherwise(v)))
+
+    def after(self, state: int) -> int:
+        return min(max(state, self.reaches), self.keeps)
 
     def __call__(self, x: Column) -> Column:
         return self.on(x)
@@ -86,10 +117,14 @@ def _has(*needles: str) -> Callable[[Column], Column]:
 
 
 def tokens(x: Column) -> Column:
-    """Blank-separated tokens, none of them empty."""
+    """Blank-separated tokens; an empty text gives one empty token."""
     return F.split(trim_blank(x), f"[{p.J_BLANK}]+")
 
 
+def _spaced_tokens(x: Column) -> Column:
+    return F.split(x, " ")
+
+
 def _join(words: Column) -> Column:
     return F.array_join(words, " ")
 
@@ -128,7 +163,7 @@ tag = Step(
 
 # --- characters -------------------------------------------------------------------
 
-lower = Step("lower", F.lower, finish="keep")
+lower = Step("lower", F.lower, finish="none", reaches=RAW)
 
 emoji = Step(
     "emoji",
@@ -136,18 +171,24 @@ emoji = Step(
     lambda x: F.rlike(x, F.lit(f"[{p.J_EMOJI}]")),
 )
 
+_SPECIAL = rf"\p{{Nd}}{p.char_class(p.PUNCTUATION)}"
 special = Step(
     "special",
-    lambda x: F.regexp_replace(x, rf"[\p{{Nd}}{p.char_class(p.PUNCTUATION)}]+", " "),
+    lambda x: F.regexp_replace(x, f"[{_SPECIAL}]+", " "),
+    tidy_rewrite=lambda x: F.regexp_replace(x, f" ?[{_SPECIAL}][ {_SPECIAL}]*+", " "),
 )
 
+_MARKS = p.char_class(p.SENTENCE_MARKS)
 sentence_marks = Step(
     "sentence_marks",
-    lambda x: F.regexp_replace(x, f"[{p.char_class(p.SENTENCE_MARKS)}]+", " "),
+    lambda x: F.regexp_replace(x, f"[{_MARKS}]+", " "),
     _has(*p.SENTENCE_MARKS),
+    tidy_rewrite=lambda x: F.regexp_replace(x, f" ?[{_MARKS}][ {_MARKS}]*+", " "),
 )
 
-repeats = Step("repeats", lambda x: F.regexp_replace(x, r"(?U)(\w)\1+", "$1"))
+repeats = Step(
+    "repeats", lambda x: F.regexp_replace(x, r"(?U)(\w)\1+", "$1"), harmless=True
+)
 
 
 def label(prefix: str) -> Step:
@@ -156,6 +197,8 @@ def label(prefix: str) -> Step:
         f"label:{prefix}",
         lambda x: F.replace(F.coalesce(x, F.lit("")), F.lit(prefix), F.lit("")),
         finish="trim",
+        reaches=RAW,
+        keeps=RAW,
     )
 
 
@@ -178,6 +221,11 @@ numbered_words = Step(
     "numbered_words",
     _drop_numbered,
     lambda x: F.rlike(x, F.lit(f"[{p.J_DIGIT}{p.J_ODD_BLANK}]")),
+    reaches=SPACED,
+    spaced_rewrite=lambda x: F.regexp_replace(
+        x, rf"(?<![^ ])[^ {p.J_DIGIT}]*+[{p.J_DIGIT}][^ ]*+ ?", ""
+    ),
+    spaced_touches=lambda x: F.rlike(x, F.lit(f"[{p.J_DIGIT}]")),
 )
 
 _laughs = "(?:" + "|".join(p.LAUGHTER) + ")"
@@ -194,14 +242,15 @@ laughter = Step(
 # Text by text: the text of each laughing token is replaced wherever it occurs, also
 # inside longer words, in order of appearance. A second pass over the same token text
 # finds nothing, so distinct tokens are enough.
+def _laugh_away(x: Column, words: Column) -> Column:
+    laughing = F.filter(words, lambda w: F.rlike(w, F.lit(_laughs)))
+    return F.reduce(
+        F.array_distinct(laughing), x, lambda text, w: F.replace(text, w, F.lit(" ha ha "))
+    )
+
+
 laughter_everywhere = Step(
-    "laughter_everywhere",
-    lambda x: F.reduce(
-        F.array_distinct(F.filter(tokens(x), lambda w: F.rlike(w, F.lit(_laughs)))),
-        x,
-        lambda text, w: F.replace(text, w, F.lit(" ha ha ")),
-    ),
-    _has(*p.LAUGHTER),
+    "laughter_everywhere", lambda x: _laugh_away(x, tokens(x)), _has(*p.LAUGHTER)
 )
 
 
@@ -211,14 +260,17 @@ def drop_tokens(words: Sequence[str], keep: Sequence[str] = ()) -> Step:
     ``isin`` over literals becomes a hash set, so the cost per token does not depend on
     the length of the list.
     """
-    listed = sorted(set(words) - set(keep))
+    dropped = sorted((set(words) - set(keep)) | {""})
+
+    def rewrite(words: Column) -> Column:
+        return _join(F.filter(words, lambda w: ~w.isin(dropped)))
+
     return Step(
         "drop_tokens",
-        lambda x: _join(
-            F.filter(tokens(x), lambda w: (w != "") & ~w.isin(listed))
-            if listed
-            else F.filter(tokens(x), lambda w: w != "")
-        ),
+        lambda x: rewrite(tokens(x)),
+        finish="none",
+        reaches=SPACED,
+        spaced_rewrite=lambda x: rewrite(_spaced_tokens(x)),
     )
 
 
@@ -231,23 +283,36 @@ def chained(pairs: Pairs) -> dict[str, str]:
     return resolved
 
 
+def _well_spaced(values) -> bool:
+    """No value that could bring in an odd blank, or be nothing but blanks."""
+    return all(v.split() and v == " ".join(v.split()) for v in values)
+
+
 def map_tokens(pairs: Pairs) -> Step:
     """Replace whole tokens through the chained dictionary."""
     table = chained(pairs)
-    if not table:
-        return Step("map_tokens", lambda x: _join(tokens(x)))
-    keys = list(table)
 
-    def rewrite(x: Column) -> Column:
+    def rewrite(words: Column) -> Column:
+        if not table:
+            return _join(words)
         lookup = F.create_map(*(F.lit(s) for kv in table.items() for s in kv))
+        known = list(table)
         return _join(
             F.transform(
-                tokens(x),
-                lambda w: F.when(w.isin(keys), F.try_element_at(lookup, w)).otherwise(w),
+                words,
+                lambda w: F.when(w.isin(known), F.try_element_at(lookup, w)).otherwise(w),
             )
         )
 
-    return Step("map_tokens", rewrite)
+    if not _well_spaced(table.values()):
+        return Step("map_tokens", lambda x: rewrite(tokens(x)), keeps=TIDY)
+    return Step(
+        "map_tokens",
+        lambda x: rewrite(tokens(x)),
+        finish="none",
+        reaches=SPACED,
+        spaced_rewrite=lambda x: rewrite(_spaced_tokens(x)),
+    )
 
 
 def _fold(x: Column, pairs: Pairs) -> Column:
@@ -267,7 +332,8 @@ def replace_all(pairs: Pairs) -> Step:
         touches = _has(*keys)
     else:
         touches = lambda x: F.rlike(x, F.lit(p.any_of(keys)))
-    return Step("replace_all", lambda x: _fold(x, padded), touches)
+    keeps = SPACED if _well_spaced(v for _, v in pairs) else TIDY
+    return Step("replace_all", lambda x: _fold(x, padded), touches, keeps=keeps)
 
 
 def replace_phrases(pairs: Pairs) -> Step:
@@ -279,6 +345,7 @@ def replace_phrases(pairs: Pairs) -> Step:
         "replace_phrases",
         lambda x: _fold(F.concat(F.lit(" "), x, F.lit(" ")), padded),
         (lambda x: F.rlike(x, F.lit(alone))) if pairs else None,
+        keeps=SPACED if _well_spaced(v for _, v in pairs) else TIDY,
     )
 
 
@@ -295,7 +362,7 @@ def join_compounds(compounds: Sequence[str]) -> Step:
     """
     ordered = sorted({c for c in compounds if " " in c}, key=lambda c: (-len(c), c))
     if not ordered:
-        return Step("join_compounds", lambda x: x)
+        return Step("join_compounds", lambda x: x, harmless=True)
     longest = max(map(len, ordered))
     hit = rf"(?<![^{p.J_BLANK}])({p.any_of(ordered)})(?![^{p.J_BLANK}])"
 
@@ -306,7 +373,8 @@ def join_compounds(compounds: Sequence[str]) -> Step:
         )
         return F.translate(joined, _OPEN + _CLOSE, "")
 
-    return Step("join_compounds", rewrite, _has(*ordered) if len(ordered) <= 16 else None)
+    touches = _has(*ordered) if len(ordered) <= NESTED_MAX else None
+    return Step("join_compounds", rewrite, touches, harmless=True)
 
 
 def segment_with(segmenter: Callable[[str], str]) -> Step:
@@ -318,7 +386,7 @@ def segment_with(segmenter: Callable[[str], str]) -> Step:
     def segment(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: segmenter(t) if t else "")
 
-    return Step("segment", segment)
+    return Step("segment", segment, keeps=TIDY)
 
 
 # --- tests on a text ----------------------------------------------------------------

@@ -67,10 +67,10 @@ def profile(
 def run_steps(text: Column, steps: Sequence[s.Step]) -> Column:
     """Apply steps one after another; a null text is an empty one."""
     text = s.blank_guard(text)
-    tidy = False
+    state = s.RAW
     for step in steps:
-        text = step.on(text, tidy)
-        tidy = step.leaves_tidy(tidy)
+        text = step.on(text, state)
+        state = step.after(state)
     return text
 
 
