@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import records as r
 from ..operators import abbreviations, features, training
-from ..session import materialise, new_folder
+from ..session import materialise, new_folder, spread
 from . import duck
 from .registry import Catalog, Tables
 
@@ -25,7 +25,7 @@ bigrams AS (SELECT doc_id, pos - 1 AS pos, a || ' ' || z AS term FROM b WHERE z
 
 
 def _bigrams(t: Tables) -> DataFrame:
-    lowered = t.documents.select("doc_id", F.lower("text").alias("text"))
+    lowered = spread(t.documents.select("doc_id", F.lower("text").alias("text")))
     return features.with_ngrams(features.with_tokens(lowered, "text")).select("doc_id", "ngrams")
 
 
@@ -153,7 +153,7 @@ FROM o WHERE abb IN ({duck.lits(AMBIGUOUS)})
 """
 )
 def abbrev_span(t: Tables) -> DataFrame:
-    return abbreviations.spans(t.documents, "text", AMBIGUOUS, "doc_id").select(
+    return abbreviations.spans(spread(t.documents.select("doc_id", "text")), "text", AMBIGUOUS, "doc_id").select(
         "doc_id", "abb", "pos", "start_index", "end_index"
     )
 
@@ -162,17 +162,12 @@ def abbrev_span(t: Tables) -> DataFrame:
 def abbrev_context(t: Tables) -> DataFrame:
     """Meanings learnt from all documents, whose language is known, and applied to all
     conversations, whose language is not."""
-    found = abbreviations.spans(
-        t.documents.withColumn("cmt", F.col("text")), "text", AMBIGUOUS, "lang", "cmt"
+    texts = spread(t.documents.select("lang", F.col("text").alias("cmt")))
+    corpus = abbreviations.spans(texts, "cmt", AMBIGUOUS, "lang", "cmt").withColumn(
+        "origin", F.concat_ws("_", "abb", "lang")
     )
-    corpus = found.select(
-        "abb",
-        "start_index",
-        "end_index",
-        "cmt",
-        F.concat_ws("_", "abb", "lang").alias("origin"),
-    )
-    model = abbreviations.fit(materialise(abbreviations.union_corpus([corpus]), "corpus"))
+    by_text = materialise(abbreviations.corpus_by_text([corpus]), "corpus")
+    model = abbreviations.fit(by_text)
     turns = t.conversations.select(F.concat_ws(":", "conv_id", "turn").alias("turn_id"), "text")
     return abbreviations.expand(model, turns, "turn_id", "text", AMBIGUOUS, "expanded").select(
         "turn_id", "expanded"

@@ -210,21 +210,16 @@ feature_label = label("Tính năng nổi bật:")
 
 
 def _drop_numbered(x: Column) -> Column:
-    kept = F.regexp_replace(
-        x, rf"(?<![^{p.J_BLANK}])[^{p.J_BLANK}{p.J_DIGIT}]*+[{p.J_DIGIT}][^{p.J_BLANK}]*+", ""
-    )
-    return F.regexp_replace(kept, f"[{p.J_BLANK}]+", " ")
+    return F.regexp_replace(x, rf"(?<![^ ])[^ {p.J_DIGIT}]*+[{p.J_DIGIT}][^ ]*+ ?", "")
 
 
 # Tokens with a digit go; what remains is joined by single spaces.
 numbered_words = Step(
     "numbered_words",
-    _drop_numbered,
+    lambda x: F.trim(_drop_numbered(F.regexp_replace(x, f"[{p.J_BLANK}]+", " "))),
     lambda x: F.rlike(x, F.lit(f"[{p.J_DIGIT}{p.J_ODD_BLANK}]")),
     reaches=SPACED,
-    spaced_rewrite=lambda x: F.regexp_replace(
-        x, rf"(?<![^ ])[^ {p.J_DIGIT}]*+[{p.J_DIGIT}][^ ]*+ ?", ""
-    ),
+    spaced_rewrite=_drop_numbered,
     spaced_touches=lambda x: F.rlike(x, F.lit(f"[{p.J_DIGIT}]")),
 )
 
@@ -364,17 +359,24 @@ def join_compounds(compounds: Sequence[str]) -> Step:
     if not ordered:
         return Step("join_compounds", lambda x: x, harmless=True)
     longest = max(map(len, ordered))
-    hit = rf"(?<![^{p.J_BLANK}])({p.any_of(ordered)})(?![^{p.J_BLANK}])"
+    one_of = p.any_of(ordered)
 
-    def rewrite(x: Column) -> Column:
+    def rewrite(x: Column, blank: str) -> Column:
+        hit = f"(?<![^{blank}])({one_of})(?![^{blank}])"
         marked = F.regexp_replace(x, hit, f"{_OPEN}$1{_CLOSE}")
         joined = F.regexp_replace(
-            marked, f" (?=[^{_OPEN}{_CLOSE}]{{0,{longest}}}{_CLOSE})", "_"
+            marked, f" (?=[^{_OPEN}{_CLOSE}]{{0,{longest}}}+{_CLOSE})", "_"
         )
-        return F.translate(joined, _OPEN + _CLOSE, "")
+        return F.replace(F.replace(joined, F.lit(_OPEN)), F.lit(_CLOSE))
 
     touches = _has(*ordered) if len(ordered) <= NESTED_MAX else None
-    return Step("join_compounds", rewrite, touches, harmless=True)
+    return Step(
+        "join_compounds",
+        lambda x: rewrite(x, p.J_BLANK),
+        touches,
+        harmless=True,
+        spaced_rewrite=lambda x: rewrite(x, " "),
+    )
 
 
 def segment_with(segmenter: Callable[[str], str]) -> Step:

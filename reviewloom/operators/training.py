@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.lexicon import DEFAULT, Lexicons
 from ..functions.records import binarize
 from ..plans import profiles
-from ..session import spread
+from ..session import materialise, spread
 from .features import BUCKETS, NGRAM, with_tokens
 
 # The settings of the two classifiers and of the validation.
@@ -86,25 +86,27 @@ def fit(
     kind: str,
     profile: str = profiles.TRAINING,
     idf_in_folds: bool = False,
-    parallelism: int = 2,
+    parallelism: int = FOLDS,
 ) -> Fitted:
     """Bigrams, hashed counts, IDF and a cross-validated classifier.
 
-    ``frame`` is read many times and should be a written table (``session.materialise``).
-    By default the IDF is fitted once ahead of the folds; ``idf_in_folds`` fits it inside
-    each fold, so that no fold sees the document counts of another.
+    ``frame`` is read several times and should be a written table. What the folds share
+    is computed once and written: the weighted vectors, or with ``idf_in_folds`` the
+    counts, since then each fold fits its own weights from its own document counts.
     """
     classifier = _classifier(kind)
     ngram = NGram(n=NGRAM, inputCol="words", outputCol="ngrams")
     counts = HashingTF(inputCol="ngrams", outputCol="raw_features", numFeatures=BUCKETS)
     idf = IDF(inputCol="raw_features", outputCol="features")
     if idf_in_folds:
-        inner = Pipeline(stages=[idf, classifier])
-        stages = [ngram, counts, _validator(kind, inner, classifier, parallelism)]
+        shared, estimator, column = [ngram, counts], Pipeline(stages=[idf, classifier]), "raw_features"
     else:
-        stages = [ngram, counts, idf, _validator(kind, classifier, classifier, parallelism)]
-    model = Pipeline(stages=stages).fit(frame)
-    return Fitted(model, profile, model.stages[-1].avgMetrics[0])
+        shared, estimator, column = [ngram, counts, idf], classifier, "features"
+    shaping = Pipeline(stages=shared).fit(frame)
+    shaped = materialise(shaping.transform(frame).select(column, "label_id"), "shaped")
+    validated = _validator(kind, estimator, classifier, parallelism).fit(shaped)
+    model = PipelineModel(stages=[*shaping.stages, validated])
+    return Fitted(model, profile, validated.avgMetrics[0])
 
 
 def predict(fitted: Fitted, prepared: DataFrame, *keep: str) -> DataFrame:
