@@ -30,7 +30,7 @@ END ||
 # The same with addresses, which make the mail step drop whole stretches of text.
 COMMENT_WITH_MAIL = f"""
 {COMMENT} || CASE lang
-  WHEN 'fr' THEN ' hi @shop tốt. gửi a.b@c.com nhé'
+  WHEN 'es' THEN ' hi @shop tốt. gửi a.b@c.com nhé'
   WHEN 'de' THEN ' x@y nhé @z'
   ELSE ''
 END

@@ -379,18 +379,6 @@ def join_compounds(compounds: Sequence[str]) -> Step:
     )
 
 
-def segment_with(segmenter: Callable[[str], str]) -> Step:
-    """Join compounds with a word segmenter of your own, in Arrow batches. This is the
-    only step that leaves the JVM, and no profile uses it unless asked to."""
-    import pandas as pd
-
-    @F.pandas_udf("string")
-    def segment(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: segmenter(t) if t else "")
-
-    return Step("segment", segment, keeps=TIDY)
-
-
 # --- tests on a text ----------------------------------------------------------------
 
 

@@ -64,13 +64,13 @@ def class_measures(pairs: DataFrame) -> DataFrame:
 
 
 def _weighted(measure: str) -> Column:
-    return F.sum(F.col(measure) * F.col("support")) / F.sum("support")
+    return F.try_divide(F.sum(F.col(measure) * F.col("support")), F.sum("support"))
 
 
 def summary(measures: DataFrame) -> DataFrame:
     """Accuracy and the support-weighted measures in one row."""
     return measures.agg(
-        (F.sum("hits") / F.sum("support")).alias("accuracy"),
+        F.try_divide(F.sum("hits"), F.sum("support")).alias("accuracy"),
         _weighted("precision").alias("weighted_precision"),
         _weighted("recall").alias("weighted_recall"),
         _weighted("f1").alias("weighted_f1"),
@@ -102,7 +102,7 @@ def class_report(measures: DataFrame) -> DataFrame:
 
     macro = [F.col(f"macro_{m}") for m in ("precision", "recall", "f1")]
     weighted = [F.col(f"weighted_{m}") for m in ("precision", "recall", "f1")]
-    accuracy = F.col("hits") / F.col("support")
+    accuracy = F.try_divide("hits", "support")
     nothing = F.lit(None)
     per_class = F.array(row(F.col("class").cast("string"), *macro))
     overall = F.array(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import steps as s
 from ..functions.lexicon import DEFAULT, Lexicons
+from ..functions.segmenter import segment_with
 
 SERVING = "serving"
 TRAINING = "training"
@@ -47,7 +48,7 @@ def profile(
     the polarity words among them.
     """
     compounds = (
-        s.segment_with(segmenter) if segmenter else s.join_compounds(lexicons.compounds)
+        segment_with(segmenter) if segmenter else s.join_compounds(lexicons.compounds)
     )
     shared = _shared(lexicons, compounds)
     if name == SERVING:
