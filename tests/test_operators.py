@@ -180,6 +180,14 @@ def test_review_table_has_a_byte_order_mark(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == sorted(rows)
 
 
+def test_csv_tells_empty_from_null(spark, tmp_path):
+    rows = [("a", "", None), ("", "b", " "), ('q"', "l\nm", "x,y"), (None, "\\N", '""')]
+    df = spark.createDataFrame(rows, "p STRING, q STRING, r STRING")
+    files.write_csv(df, str(tmp_path / "c"))
+    back = files.read_csv(spark, str(tmp_path / "c"), df.schema).collect()
+    assert sorted(map(tuple, back), key=str) == sorted(rows, key=str)
+
+
 def test_scored_message_shape(spark):
     values = ['{"rating":"5","comment":"đẹp","orderid":"1","time":"N/A"}', "{bad", None]
     df = spark.createDataFrame([(v,) for v in values], "value STRING")
