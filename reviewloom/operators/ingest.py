@@ -22,10 +22,13 @@ def parse_pages(pages: DataFrame, payload: str = "payload") -> DataFrame:
 
 
 def explode_ratings(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """One row per rating record, in page order (``pos``)."""
-    return pages.select(*keep, F.posexplode("ratings").alias("pos", "rating")).select(
-        *keep, "pos", "rating.*"
-    )
+    """One row per rating record, in page order (``pos``).
+
+    The outer form, since the inner one makes the optimizer test the list for being empty
+    below the projection, which parses every page twice.
+    """
+    listed = pages.select(*keep, F.posexplode_outer("ratings").alias("pos", "rating"))
+    return listed.filter(F.col("pos").isNotNull()).select(*keep, "pos", "rating.*")
 
 
 def assemble_pages(
