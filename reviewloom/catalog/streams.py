@@ -96,7 +96,10 @@ def sink_parquet_append(t: Tables) -> DataFrame:
 @CATALOG.query(f"SELECT rating, original_comment, processed_comment, sentiment, time FROM ({texts.SCORED_SQL})")
 def stream_score(t: Tables) -> DataFrame:
     """Scored messages of a stream equal those of a batch."""
-    values = _drained(t, jobs.score_stream(views.messages(_stream(t))), "scored")
+    cores = t.spark.sparkContext.defaultParallelism
+    few = t.documents.rdd.getNumPartitions() < cores
+    messages = views.messages(_stream(t))
+    values = _drained(t, jobs.score_stream(messages, partitions=cores if few else None), "scored")
     return values.select(r.parse(F.col("value"), r.RESULT_MESSAGE).alias("m")).select("m.*")
 
 

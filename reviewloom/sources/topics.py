@@ -17,9 +17,12 @@ def kafka_read_options(
     starting: str = "latest",
     fail_on_loss: bool = False,
     max_per_batch: int | None = None,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
     """Options of a topic source. ``max_per_batch`` bounds a micro-batch, so that a
-    backlog is worked off in pieces; offsets live in the query's checkpoint."""
+    backlog is worked off in pieces; offsets live in the query's checkpoint.
+    ``min_partitions`` cuts the offset ranges of a topic with few partitions into more
+    tasks."""
     options = {
         "kafka.bootstrap.servers": broker,
         "subscribe": topic,
@@ -28,6 +31,8 @@ def kafka_read_options(
     }
     if max_per_batch is not None:
         options["maxOffsetsPerTrigger"] = str(max_per_batch)
+    if min_partitions is not None:
+        options["minPartitions"] = str(min_partitions)
     return options
 
 

@@ -16,8 +16,16 @@ from ..sources.topics import kafka_write_options
 DEFAULT_TRIGGER: str | None = None
 
 
-def score_stream(messages: DataFrame, lexicons: Lexicons = DEFAULT) -> DataFrame:
-    """The scoring plan over a stream of raw messages, as result messages."""
+def score_stream(
+    messages: DataFrame, lexicons: Lexicons = DEFAULT, partitions: int | None = None
+) -> DataFrame:
+    """The scoring plan over a stream of raw messages, as result messages.
+
+    ``partitions`` spreads the messages of a source with fewer partitions than the
+    cluster has cores. A topic does that without a shuffle (``min_partitions``).
+    """
+    if partitions is not None:
+        messages = messages.repartition(partitions)
     return to_result_value(score_messages(messages, lexicons=lexicons))
 
 

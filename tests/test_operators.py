@@ -260,9 +260,10 @@ def test_abbreviations_in_context(spark):
 
 
 def test_topic_options():
-    read = topics.kafka_read_options(max_per_batch=100)
+    read = topics.kafka_read_options(max_per_batch=100, min_partitions=64)
     assert read["startingOffsets"] == "latest" and read["failOnDataLoss"] == "false"
     assert read["subscribe"] == "rawData" and read["maxOffsetsPerTrigger"] == "100"
+    assert read["minPartitions"] == "64"
     write = topics.kafka_write_options()
     assert write["topic"] == "resultData" and write["kafka.acks"] == "all"
     assert write["kafka.max.in.flight.requests.per.connection"] == "1"
