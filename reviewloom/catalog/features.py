@@ -81,7 +81,7 @@ def _prepared(t: Tables) -> DataFrame:
     frame = joined.select(
         "doc_id", F.col("text").alias("free_text"), r.binarize(F.col("label")).alias("label_id")
     )
-    return materialise(training.prepare(frame), "prepared")
+    return training.prepare(frame)
 
 
 def _fitted(prepared: DataFrame, kind: str) -> training.Fitted:

@@ -37,9 +37,13 @@ def drop_empty(df: DataFrame, text: str = "free_text") -> DataFrame:
 
 
 def prepare(df: DataFrame, lexicons: Lexicons = DEFAULT, profile: str = profiles.TRAINING) -> DataFrame:
-    """Clean ``free_text``, drop the rows that end up empty, add ``words``."""
+    """Clean ``free_text``, add ``words``, drop the rows that end up empty.
+
+    The cleaned table is written before rows are dropped: a filter on cleaned text would
+    be pushed below the cleaning and run it a second time.
+    """
     cleaned = profiles.clean(spread(df), "free_text", "free_text", profile, lexicons)
-    return with_tokens(drop_empty(cleaned), "free_text", "words")
+    return drop_empty(materialise(with_tokens(cleaned, "free_text", "words"), "prepared"))
 
 
 def _classifier(kind: str):
@@ -86,7 +90,7 @@ def fit(
     kind: str,
     profile: str = profiles.TRAINING,
     idf_in_folds: bool = False,
-    parallelism: int = FOLDS,
+    parallelism: int = 2,
 ) -> Fitted:
     """Bigrams, hashed counts, IDF and a cross-validated classifier.
 
