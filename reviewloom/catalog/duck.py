@@ -209,7 +209,8 @@ def chain(source: str, column: str, steps: Sequence[Sql], output: str, keep: str
     parts = [f"s0 AS (SELECT {keep}, {column} AS x FROM ({source}))"]
     for i, step in enumerate(steps, 1):
         parts.append(f"s{i} AS (SELECT {keep}, {step('x')} AS x FROM s{i - 1})")
-    parts.append(f"cleaned AS (SELECT {keep}, x AS {output} FROM s{len(steps)})")
+    # Materialised, or the engine would put the whole chain in place of each mention.
+    parts.append(f"cleaned AS MATERIALIZED (SELECT {keep}, x AS {output} FROM s{len(steps)})")
     return "WITH " + ",\n".join(parts)
 
 

@@ -1,4 +1,4 @@
-"""Evaluation of the lexicon score against the quality labels, and ingest counters."""
+"""Evaluation of the cleaned comments' score against the quality labels, and ingest counters."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.score import sentiment
 from ..operators import evaluate, ingest
+from ..plans.profiles import clean
 from ..session import spread
 from . import duck, views
 from .registry import Catalog, Tables
@@ -18,19 +19,26 @@ DIGITS = 6
 
 
 def predictions(t: Tables) -> DataFrame:
-    """The score of the raw review comment beside the label of its document. Labels are
-    joined first, so that only labelled texts are scored."""
-    labelled = views.reviews(t).join(t.labels.select("doc_id", "quality"), "doc_id")
-    return spread(labelled).select(
+    """The score of the cleaned review comment beside the label of its document. Labels
+    are joined first, so that only labelled texts are cleaned."""
+    comments = views.reviews(t, views.COMMENT_WITH_MAIL)
+    labelled = comments.join(t.labels.select("doc_id", "quality"), "doc_id")
+    cleaned = clean(spread(labelled), "comment")
+    return cleaned.select(
         "doc_id",
         F.col("quality").alias("label_id"),
-        sentiment(F.col("comment")).alias("prediction"),
+        sentiment(F.col("processed_comment")).alias("prediction"),
     )
 
 
-PREDICTIONS_SQL = f"""
-SELECT doc_id, quality AS label_id, {duck.sentiment("comment")} AS prediction
-FROM ({views.REVIEWS_SQL}) JOIN labels USING (doc_id)
+_LABELLED_SQL = f"""
+SELECT doc_id, quality AS label_id, comment FROM ({views.MAIL_REVIEWS_SQL}) JOIN labels USING (doc_id)
+"""
+_CLEANED_SQL = duck.chain(
+    _LABELLED_SQL, "comment", duck.serving(), "processed_comment", "doc_id, label_id"
+)
+PREDICTIONS_SQL = f"""{_CLEANED_SQL}
+SELECT doc_id, label_id, {duck.sentiment("processed_comment")} AS prediction FROM cleaned
 """
 
 MEASURES_SQL = f"""

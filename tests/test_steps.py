@@ -108,6 +108,7 @@ def laugh_all(text):
     return squeeze(text)
 
 
+# The patterns of the rules, as the steps must reproduce them.
 PAIRS = [("ko", "không"), ("a", "b c"), ("b c", "x"), ("k", "ko"), ("ko", "z"), ("|", "&")]
 RULES = {
     "url": (s.url, lambda t: squeeze(regex.sub(r"https?://\S+|www\.\S+", " ", t))),
