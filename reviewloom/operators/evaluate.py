@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 
 
 def pair_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """Rows per pair. Rows without a label go; those without a prediction are left to the
+    measures, as a filter on the prediction would compute it a second time."""
     return (
         df.groupBy(
             F.col(label).cast("int").alias("label"),
             F.col(prediction).cast("int").alias("prediction"),
         )
         .agg(F.count("*").alias("n"))
-        .filter(F.col("label").isNotNull() & F.col("prediction").isNotNull())
+        .filter(F.col("label").isNotNull())
     )
 
 
@@ -33,7 +35,10 @@ def class_measures(pairs: DataFrame) -> DataFrame:
     divide by."""
     hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(F.lit(0))
     zero = F.lit(0).cast("bigint")
-    sides = pairs.select(
+    counted = pairs.withColumn(
+        "n", F.when(F.col("prediction").isNull(), F.lit(0)).otherwise(F.col("n"))
+    )
+    sides = counted.select(
         F.explode(
             F.array(
                 F.struct(
@@ -50,7 +55,7 @@ def class_measures(pairs: DataFrame) -> DataFrame:
                 ),
             )
         ).alias("side")
-    ).select("side.*")
+    ).select("side.*").filter(F.col("class").isNotNull())
     totals = sides.groupBy("class").agg(
         *(F.sum(c).alias(c) for c in ("support", "predicted", "hits"))
     )
