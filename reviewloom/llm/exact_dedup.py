@@ -145,8 +145,11 @@ def exact_dedup(
             (-F.col("n_chars")).alias("longest"), F.col("id").isNull().alias("unknown"), "id", "rid"
         )
     )
-    groups = named.groupBy("level", "name").agg(
-        F.count(F.lit(1)).alias("group_size"), first.alias("first")
+    # Written, so that the join reads it as it is and can split a large group.
+    groups = scratch.put(
+        named.groupBy("level", "name").agg(
+            F.count(F.lit(1)).alias("group_size"), first.alias("first")
+        )
     )
     return named.join(groups, ["level", "name"]).select(
         F.col("id").alias(id_col),
