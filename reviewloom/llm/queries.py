@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from ..catalog.registry import Catalog, Entry, Tables
+from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
+from .mixing import mix_sources
 from .ngram_join import ngram_join
 
 CATALOG = Catalog()
@@ -42,6 +44,32 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 FROM t JOIN g USING (norm)
 """
 
+DECONTAMINATE_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+t AS (SELECT item_id, w, least(len(w), 10) AS n FROM b WHERE len(w) > 0),
+g AS (
+  SELECT DISTINCT item_id, n, unnest([array_to_string(w[i:i+n-1], ' ') FOR i IN range(1, len(w) - n + 2)]) AS p
+  FROM t),
+sizes AS (SELECT DISTINCT n FROM t),
+x AS (
+  SELECT doc_id, n, unnest([{{'i': i, 'p': array_to_string(w[i:i+n-1], ' ')}} FOR i IN range(1, len(w) - n + 2)]) AS s
+  FROM d CROSS JOIN sizes WHERE len(w) >= n),
+o AS (SELECT doc_id, x.n, s.i AS i, item_id FROM x JOIN g ON x.n = g.n AND x.s.p = g.p),
+h AS (SELECT doc_id, count(*) AS n_hit FROM (
+  SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS k FROM o) GROUP BY 1),
+l AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+  FROM (SELECT DISTINCT doc_id, item_id FROM o) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN l USING (doc_id)
+"""
+
 
 @CATALOG.query(NGRAM_SQL)
 def op1_ngram_jaccard_join(t: Tables):
@@ -53,5 +81,15 @@ def op2_exact_dedup(t: Tables):
     return exact_dedup(t.documents)
 
 
+@CATALOG.query()
+def op3_source_mixing(t: Tables):
+    return mix_sources(t.documents)
+
+
+@CATALOG.query(DECONTAMINATE_SQL)
+def op4_benchmark_decontamination(t: Tables):
+    return decontaminate(t.documents, t.benchmark)
+
+
 def entries() -> dict[str, Entry]:
     return dict(CATALOG)
