@@ -17,7 +17,8 @@ cell, texts are points of 64 coarse groups in a packed R-tree.
 Work on large groups of copies stays in proportion. Equal sets are one vertex. Then each
 vertex is verified against one partner, the first text of the cells they share, and what
 is linked becomes a component. The trees are searched only for links between different
-components, as links inside one change nothing.
+components, as links inside one change nothing, and cells with the same texts are
+searched once.
 
 Defined results: a null, empty or blank text has no tokens, size 0 and no links; a text of
 fewer words than five is one token; rows with one id stand for one document, which has
@@ -145,6 +146,7 @@ def _cells(size: int, numerator: int, denominator: int, levels):
         level = np.frombuffer(levels.value, dtype=np.uint8)
         for batch in batches:
             ids, texts = _columns(batch)
+            kept, own_ids, own_sizes, offers = [], [], [], []
             for i, tokens in zip(ids.to_pylist(), shingle_sets(texts, size), strict=True):
                 n = len(tokens)
                 if not n or i is None:
@@ -152,18 +154,26 @@ def _cells(size: int, numerator: int, denominator: int, levels):
                 look_up, offer = prefix_lengths(n, numerator, denominator)
                 own = level[(tokens >> np.uint64(44)).astype(np.int64)]
                 # by level, then by the token itself; tokens are sorted already
-                order = np.argsort(own, kind="stable")[:look_up]
-                estimate = np.exp2(own[order].astype(np.float64) / 8)
-                spread = np.minimum(estimate // HOT + 1, 1000).astype(np.uint64)
-                salt = mix(np.array([i], dtype=np.int64).view(np.uint64)) % spread
-                salt = np.where(spread > 1, salt.astype(np.int16) + 1, 0).astype(np.int16)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(tokens[order].view(np.int64)),
-                     pa.array(np.full(len(order), i, dtype=np.int64)),
-                     pa.array(np.full(len(order), n, dtype=np.int32)),
-                     pa.array(np.arange(len(order)) < offer), pa.array(salt)],
-                    schema=schema,
-                )
+                kept.append(tokens[np.argsort(own, kind="stable")[:look_up]])
+                own_ids.append(i)
+                own_sizes.append(n)
+                offers.append(offer)
+            if not kept:
+                continue
+            lengths = np.array([len(x) for x in kept])
+            tokens = np.concatenate(kept)
+            place = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            holders = np.repeat(np.array(own_ids, dtype=np.int64), lengths)
+            estimate = np.exp2(level[(tokens >> np.uint64(44)).astype(np.int64)] / 8.0)
+            spread = np.minimum(estimate // HOT + 1, 1000).astype(np.uint64)
+            salt = np.where(spread > 1, (mix(holders.view(np.uint64)) % spread).astype(np.int16) + 1, 0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(tokens.view(np.int64)), pa.array(holders),
+                 pa.array(np.repeat(np.array(own_sizes, dtype=np.int32), lengths)),
+                 pa.array(place < np.repeat(np.array(offers), lengths)),
+                 pa.array(salt.astype(np.int16))],
+                schema=schema,
+            )
 
     return run
 
@@ -188,16 +198,27 @@ def _sets(size: int):
 
 
 def _search(numerator: int, denominator: int):
-    """One block pair of a cell: packed trees, searched for pairs that may be linked."""
+    """Some cells, or two blocks of one: packed trees, searched for what may be linked."""
 
     def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("h")
         points = np.frombuffer(b"".join(table["point"].to_pylist()), dtype=np.uint16)
-        a, b = pairs_within(
-            points.reshape(-1, GROUPS), table["n"].to_numpy(), table["comp"].to_numpy(),
-            table["side"].to_numpy(), table["offered"].to_numpy(), numerator, denominator,
+        points = points.reshape(-1, GROUPS)
+        h, c, n, comp, side, offered = (
+            table[x].to_numpy() for x in ("h", "c", "n", "comp", "side", "offered")
         )
-        c = table["c"].to_numpy()
-        return pa.table({"a": c[a], "b": c[b]})
+        starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        found_a, found_b = [], []
+        for lo, hi in zip(starts, [*starts[1:], len(h)], strict=True):
+            own = slice(lo, hi)
+            a, b = pairs_within(
+                points[own], n[own], comp[own], side[own], offered[own], numerator, denominator
+            )
+            found_a.append(c[own][a])
+            found_b.append(c[own][b])
+        a, b = np.concatenate(found_a), np.concatenate(found_b)
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+        return pa.table({"a": pairs[0], "b": pairs[1]})
 
     return run
 
@@ -296,31 +317,57 @@ def ngram_join(
         "h", "c", "n", "offered", F.coalesce("component", "c").alias("comp")
     )
     member = scratch.put(member)
-    live = (
+    scratch.drop(shared)
+    key = F.struct(F.bit_xor(F.xxhash64("c")), F.bit_xor(F.xxhash64("c", F.lit(1))), F.count(F.lit(1)))
+    live = scratch.put(
         member.groupBy("h")
-        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("k"))
+        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), key.alias("texts"))
         .filter("lo <> hi")
-        .select("h", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
+        .select("h", "texts")
     )
+    cell = live.groupBy("texts").agg(F.min("h").alias("cell"))
+    once = (
+        member.join(live, "h").join(cell, "texts")
+        .groupBy("cell", "c")
+        .agg(
+            F.first("n").alias("n"), F.first("comp").alias("comp"), F.max("offered").alias("offered"),
+            F.first("texts.col3").alias("k"),
+        )
+    )
+    once = scratch.put(once)
+    groups = max(1, once.count() // (4 * BLOCK))
+    blocks = F.ceil(F.col("k") / BLOCK).cast("int")
     dealt = (
-        member.join(live, "h")
+        once.withColumn("blocks", blocks)
         .withColumn("own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
         .select(
-            "h", "c", "n", "offered", "comp",
-            F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+            F.col("cell").alias("h"), "c", "n", "offered", "comp",
+            # small cells are searched many at a time
+            F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cell"), F.lit(groups))).otherwise(F.col("cell")).alias("g"),
+            F.when(F.col("blocks") == 1, -1).otherwise(F.least("own", "other")).alias("i"),
+            F.greatest("own", "other").alias("j"),
             F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"),
         )
-        .join(sets.select("c", "point"), "c")
+        .join(sets.select("c", "point").dropDuplicates(["c"]), "c")
     )
     candidates = scratch.put(
-        dealt.groupBy("h", "i", "j").applyInArrow(_search(num, den), "a long, b long").distinct()
+        dealt.groupBy("g", "i", "j").applyInArrow(_search(num, den), "a long, b long").distinct()
+    )
+    across = (
+        verified(candidates)
+        .join(first.toDF("a", "of_a"), "a", "left")
+        .join(first.toDF("b", "of_b"), "b", "left")
+        .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    )
+    second = components(across, scratch)
+    final = (
+        named.groupBy("id").agg(F.min("c").alias("c"))
+        .join(first, F.col("c") == F.col("v"), "left")
+        .select(F.col("id").alias("own_id"), F.coalesce("component", "c").alias("in_first"))
+        .join(second, F.col("in_first") == F.col("v"), "left")
+        .select("own_id", F.coalesce("component", "in_first").alias("component"))
     )
-    more = scratch.put(links.union(verified(candidates)))
-    reached = components(more, scratch)
-    final = named.groupBy("id").agg(F.min("c").alias("c")).join(
-        reached, F.col("c") == F.col("v"), "left"
-    ).select(F.col("id").alias("own_id"), F.coalesce("component", "c").alias("component"))
     return rows.join(final, F.col("id") == F.col("own_id"), "left").select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Coarse groups of a point.
-GROUPS = 64
+GROUPS = 256
 #: Points of a leaf.
 LEAF = 16
 #: A count that is not exact: any larger count.
@@ -14,7 +14,7 @@ FULL = np.iinfo(np.uint16).max
 
 def point(tokens: np.ndarray) -> np.ndarray:
     """The number of tokens in each coarse group."""
-    counts = np.bincount((tokens >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
+    counts = np.bincount((tokens >> np.uint64(56)).astype(np.int64), minlength=GROUPS)
     return np.minimum(counts, FULL).astype(np.uint16)
 
 
