@@ -38,13 +38,15 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .hashing import mix, shingle_sets
-from .rtree import GROUPS, pairs_within, point
+from .rtree import GROUPS, bound, pairs_within, point
 from .scratch import Scratch, bounded_batches
 
 SHINGLE = 5
 #: Groups whose counts order the tokens; a fixed number, so their table is small anywhere.
 ORDER_GROUPS = 1 << 20
 ORDER_SLICES = 64
+#: Times that each text is held against one partner before the trees are searched.
+STAR_TURNS = 3
 #: Texts of a cell that one task searches; more are dealt over pairs of blocks.
 BLOCK = 512
 #: Texts with a token, by its group's count, above which its cell is dealt out.
@@ -179,24 +181,49 @@ def _cells(size: int, numerator: int, denominator: int, levels):
 
 
 def _sets(size: int):
-    schema = pa.schema(
-        [("c", pa.int64()), ("n", pa.int32()), ("tokens", pa.list_(pa.int64())), ("point", pa.binary())]
-    )
+    """(id, text) to (c, tokens)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = _columns(batch)
-            sets = shingle_sets(texts, size)
+            sets = [s.view(np.int64) for s in shingle_sets(texts, size)]
             yield pa.RecordBatch.from_arrays(
-                [ids.cast(pa.int64()), pa.array([len(s) for s in sets], pa.int32()),
-                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                 pa.array([point(s).tobytes() for s in sets], pa.binary())],
-                schema=schema,
+                [ids.cast(pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["c", "tokens"]
             )
 
     return run
 
 
+def _points(size: int):
+    """(id, text) to (c, point)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = _columns(batch)
+            points = [point(s).tobytes() for s in shingle_sets(texts, size)]
+            yield pa.RecordBatch.from_arrays(
+                [ids.cast(pa.int64()), pa.array(points, pa.binary())], names=["c", "point"]
+            )
+
+    return run
+
+
+def _bounded(numerator: int, denominator: int):
+    """Of pairs with both points, those whose bound reaches the needed intersection."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (
+                np.frombuffer(b"".join(batch.column(x).to_pylist()), dtype=np.uint16).reshape(-1, GROUPS)
+                for x in ("pa", "pb")
+            )
+            n = batch.column("n").to_numpy()
+            fits = bound(one, two) * (numerator + denominator) >= numerator * n
+            yield batch.select(["a", "b"]).filter(pa.array(fits))
+
+    return run
+
+
 def _search(numerator: int, denominator: int):
     """Some cells, or two blocks of one: packed trees, searched for what may be linked."""
 
@@ -223,6 +250,27 @@ def _search(numerator: int, denominator: int):
     return run
 
 
+def _renamed(links: DataFrame, reached: DataFrame) -> DataFrame:
+    """Links between the components of their ends."""
+    return (
+        links.join(reached.toDF("a", "of_a"), "a", "left")
+        .join(reached.toDF("b", "of_b"), "b", "left")
+        .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    )
+
+
+def _moved(reached: DataFrame, moved: DataFrame, member: DataFrame, scratch: Scratch) -> DataFrame:
+    """The component of each text after components have joined (``moved``)."""
+    known = (
+        member.select("c").distinct().join(reached, "c", "full")
+        .select("c", F.coalesce("comp", "c").alias("comp"))
+    )
+    return scratch.put(
+        known.join(moved, F.col("comp") == F.col("v"), "left")
+        .select("c", F.coalesce("component", "comp").alias("comp"))
+    )
+
+
 def ngram_join(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -271,53 +319,72 @@ def ngram_join(
     )
     in_cells = scratch.put(in_cells)
     scratch.drop(cells)
-    hubs = (
-        in_cells.groupBy("h")
-        .agg(F.min(F.struct("n", "c")).alias("hub"), F.count(F.lit(1)).alias("k"))
-        .filter("k > 1")
-        .select("h", F.col("hub.c").alias("hub"), F.col("hub.n").alias("hub_n"))
-    )
-    shared = scratch.put(in_cells.join(hubs, "h"))
-
-    wanted = shared.select("c").distinct()
-    wanted = scratch.put(wanted)
-    count = wanted.count()
-    fetch = F.broadcast(wanted) if count <= FEW_IDS else wanted
-    sets = scratch.put(
-        texts.join(fetch, F.col("id") == F.col("c"), "left_semi").mapInArrow(
-            _sets(size), "c long, n int, tokens array<long>, point binary"
+    shared = in_cells.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("h")
+    member = scratch.put(in_cells.join(shared, "h").withColumn("comp", F.col("c")))
+    scratch.drop(in_cells)
+
+    def fetched(ids: DataFrame, make, columns: str) -> DataFrame:
+        """What ``make`` gives for the texts of the ids (c)."""
+        ids = scratch.put(ids.distinct())
+        few = ids.count() <= FEW_IDS
+        return scratch.put(
+            texts.join(F.broadcast(ids) if few else ids, F.col("id") == F.col("c"), "left_semi")
+            .mapInArrow(make, columns)
+            .dropDuplicates(["c"])
         )
-    )
 
-    one = sets.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
-    two = sets.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
+    points = fetched(member.select("c"), _points(size), "c long, point binary")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Pairs whose sets reach the similarity: den*I >= num*U, with U = na + nb - I."""
+        sets = fetched(
+            pairs.select(F.col("a").alias("c")).union(pairs.select("b")), _sets(size), "c long, tokens array<long>"
+        )
         both = F.size(F.array_intersect("ta", "tb"))
         return (
-            pairs.join(one, "a").join(two, "b")
-            .filter(both * (num + den) >= num * (F.col("na") + F.col("nb")))
+            pairs.join(sets.toDF("a", "ta"), "a").join(sets.toDF("b", "tb"), "b")
+            .filter(both * (num + den) >= num * (F.size("ta") + F.size("tb")))
             .select("a", "b")
         )
 
-    # First each text against the one that comes first in most of its cells.
-    stars = (
-        shared.filter(f"c <> hub and hub_n * {den} >= n * {num}")
-        .groupBy("c", "hub").agg(F.count(F.lit(1)).alias("k"))
-        .groupBy("c").agg(F.max(F.struct("k", "hub")).alias("best"))
-        .select(F.col("best.hub").alias("a"), F.col("c").alias("b"))
-    )
-    ids_of = named.groupBy("id").agg(F.min("c").alias("a"), F.max("c").alias("b")).filter("a <> b")
-    links = scratch.put(verified(stars).union(ids_of.select("a", "b")))
-    first = scratch.put(components(links, scratch))
+    # First each text against one partner: the text that comes first, in an order that
+    # changes, in most of its cells. What is linked becomes one component.
+    reached = None
+    for turn in range(STAR_TURNS):
+        order = [F.col("n")] if not turn else [F.xxhash64("c", F.lit(turn))]
+        hubs = member.groupBy("h").agg(
+            F.min(F.struct(*[x.alias("first") for x in order], "n", "c", "comp")).alias("hub")
+        )
+        stars = (
+            member.join(hubs, "h")
+            .filter(
+                f"comp <> hub.comp and least(n, hub.n) * {den} >= greatest(n, hub.n) * {num}"
+            )
+            .groupBy("c", "hub.c", "n", "hub.n").agg(F.count(F.lit(1)).alias("k"))
+            .toDF("b", "a", "nb", "na", "k")
+            .groupBy("b").agg(F.max(F.struct("k", "a", (F.col("na") + F.col("nb")).alias("n"))).alias("best"))
+            .select("best.a", "b", "best.n")
+            .join(points.toDF("a", "pa"), "a").join(points.toDF("b", "pb"), "b")
+            .select("a", "b", "n", "pa", "pb")
+            .mapInArrow(_bounded(num, den), "a long, b long")
+        )
+        links = verified(scratch.put(stars))
+        if not turn:
+            rows_of = named.groupBy("id").agg(F.min("c").alias("a"), F.max("c").alias("b"))
+            links = links.union(rows_of.filter("a <> b").select("a", "b"))
+            moved = scratch.put(components(links, scratch))
+            reached = moved.toDF("c", "comp")
+        else:
+            moved = components(_renamed(links, reached), scratch)
+            reached = _moved(reached, moved, member, scratch)
+        old = member
+        member = scratch.put(
+            member.drop("comp").join(reached, "c", "left")
+            .select("h", "c", "n", "offered", F.coalesce("comp", "c").alias("comp"))
+        )
+        scratch.drop(old)
 
     # Then the trees, for links between components.
-    member = shared.join(first, F.col("c") == F.col("v"), "left").select(
-        "h", "c", "n", "offered", F.coalesce("component", "c").alias("comp")
-    )
-    member = scratch.put(member)
-    scratch.drop(shared)
     key = F.struct(F.bit_xor(F.xxhash64("c")), F.bit_xor(F.xxhash64("c", F.lit(1))), F.count(F.lit(1)))
     live = scratch.put(
         member.groupBy("h")
@@ -349,22 +416,16 @@ def ngram_join(
             F.greatest("own", "other").alias("j"),
             F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"),
         )
-        .join(sets.select("c", "point").dropDuplicates(["c"]), "c")
+        .join(points, "c")
     )
     candidates = scratch.put(
         dealt.groupBy("g", "i", "j").applyInArrow(_search(num, den), "a long, b long").distinct()
     )
-    across = (
-        verified(candidates)
-        .join(first.toDF("a", "of_a"), "a", "left")
-        .join(first.toDF("b", "of_b"), "b", "left")
-        .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
-    )
-    second = components(across, scratch)
+    second = components(_renamed(verified(candidates), reached), scratch)
     final = (
         named.groupBy("id").agg(F.min("c").alias("c"))
-        .join(first, F.col("c") == F.col("v"), "left")
-        .select(F.col("id").alias("own_id"), F.coalesce("component", "c").alias("in_first"))
+        .join(reached, "c", "left")
+        .select(F.col("id").alias("own_id"), F.coalesce("comp", "c").alias("in_first"))
         .join(second, F.col("in_first") == F.col("v"), "left")
         .select("own_id", F.coalesce("component", "in_first").alias("component"))
     )

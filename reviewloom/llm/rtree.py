@@ -25,10 +25,17 @@ def _overlap(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     for i, x in enumerate(low):
         both = np.minimum(x, high)
         out[i] = both.sum(axis=1, dtype=np.int64)
-        out[i][(both == FULL).any(axis=1)] = np.iinfo(np.int64).max
+        out[i][(both == FULL).any(axis=1)] = np.int64(1) << 40
     return out
 
 
+def bound(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """The bound of the intersection of each pair of rows."""
+    both = np.minimum(one, two)
+    open_ = (both == FULL).any(axis=1)
+    return np.where(open_, np.int64(1) << 40, both.sum(axis=1, dtype=np.int64))
+
+
 class PackedTree:
     """Leaves of up to ``LEAF`` points, packed by size and then by the fullest group."""
 
@@ -59,10 +66,9 @@ def pairs_within(points, sizes, comps, sides, offered, num: int, den: int):
         own = left[at : at + LEAF]
         size = sizes[own]
         # an intersection of num*(na+nb)/(num+den) is needed, and sizes within num/den
-        bound = _overlap(points[own], tree.upper) * (num + den)
-        bound[bound < 0] = np.iinfo(np.int64).max
+        reach = _overlap(points[own], tree.upper) * (num + den)
         fits = (
-            (bound >= num * (size[:, None] + tree.least[None, :]))
+            (reach >= num * (size[:, None] + tree.least[None, :]))
             & (tree.most[None, :] * den >= size[:, None] * num)
             & (size[:, None] * den >= tree.least[None, :] * num)
         )
