@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from ..catalog.registry import Catalog, Entry, Tables
+from .chat import format_chats
 from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
+from .language import identify_language
 from .mixing import mix_sources
 from .ngram_join import ngram_join
 
@@ -90,6 +92,31 @@ def op3_source_mixing(t: Tables):
 def op4_benchmark_decontamination(t: Tables):
     return decontaminate(t.documents, t.benchmark)
 
+CHAT_SQL = r"""
+WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+p AS (
+  SELECT conv_id, turn, '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || chr(10)
+    || '<|end|>' || chr(10) AS piece, turn::VARCHAR || ':' || role || ':' || text || chr(0) AS exact FROM t),
+r AS (
+  SELECT conv_id, turn, string_agg(exact, '') OVER (PARTITION BY conv_id ORDER BY turn) AS prefix,
+    turn = max(turn) OVER (PARTITION BY conv_id) AS is_end FROM p),
+k AS (
+  SELECT min(conv_id) AS conv_id FROM r WHERE is_end
+    AND prefix NOT IN (SELECT prefix FROM r WHERE NOT is_end) GROUP BY prefix)
+SELECT conv_id, turn // 64 AS part, count(*) AS n_turns, string_agg(piece, '' ORDER BY turn) AS rendered
+FROM p JOIN k USING (conv_id) GROUP BY 1, 2
+"""
+
+
+@CATALOG.query(CHAT_SQL)
+def op7_chat_formatting(t: Tables):
+    return format_chats(t.conversations)
+
+
+@CATALOG.query()
+def op9_language_id(t: Tables):
+    return identify_language(t.documents)
+
 
 def entries() -> dict[str, Entry]:
     return dict(CATALOG)
