@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
+import os
+
+from pyspark.sql import functions as F
+
 from ..catalog.registry import Catalog, Entry, Tables
 from .chat import format_chats
 from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
 from .language import identify_language
+from .licenses import scan_licenses
 from .mixing import mix_sources
 from .ngram_join import ngram_join
+from .privacy import digest, find_personal_data
+from .token_counts import count_tokens
+from .url_filter import filter_urls
 
 CATALOG = Catalog()
 
+#: The vocabulary of the token counts; its folder is a parameter.
+VOCABULARY = os.path.join(os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers"), "piece_bpe_32k.model")
+
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 NGRAM_SQL = rf"""
@@ -118,5 +129,29 @@ def op9_language_id(t: Tables):
     return identify_language(t.documents)
 
 
+@CATALOG.query()
+def op5_license_scan(t: Tables):
+    return scan_licenses(t.documents)
+
+
+@CATALOG.query()
+def op6_url_filter(t: Tables):
+    return filter_urls(t.pages)
+
+
+@CATALOG.query()
+def op8_personal_data(t: Tables):
+    return find_personal_data(t.documents).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2(digest(F.col("base")), 256).alias("base_sha256"),
+        digest(F.col("spans")).alias("spans"),
+    )
+
+
+@CATALOG.query()
+def op10_token_counts(t: Tables):
+    return count_tokens(t.documents, VOCABULARY)
+
+
 def entries() -> dict[str, Entry]:
     return dict(CATALOG)
