@@ -16,9 +16,8 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     order keeps chains short, so the rounds grow with the logarithm of the graph.
     """
     edges = scratch.put(links.filter("a <> b").select("a", "b").distinct())
-    labels = scratch.put(
-        edges.select(F.col("a").alias("v")).union(edges.select("b")).distinct().withColumn("l", F.col("v"))
-    )
+    labels = edges.select(F.col("a").alias("v")).union(edges.select("b")).distinct()
+    labels = labels.withColumn("l", F.col("v"))
     round_ = 0
     while not edges.isEmpty():
         round_ += 1
@@ -29,18 +28,16 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
             .agg(F.min(order(F.col("w"))).alias("best"))
             .select("u", F.least(F.col("best"), order(F.col("u"))).getField("v").alias("to"))
         )
-        renamed = (
+        labels = labels.join(moved.toDF("l", "to"), "l", "left").select(
+            "v", F.coalesce("to", "l").alias("l")
+        )
+        edges = scratch.put(
             edges.join(moved.toDF("a", "to_a"), "a")
             .join(moved.toDF("b", "to_b"), "b")
             .filter("to_a <> to_b")
             .select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b"))
             .distinct()
         )
-        new_labels = labels.join(moved.toDF("l", "to"), "l", "left").select(
-            "v", F.coalesce("to", "l").alias("l")
-        )
-        old = (edges, labels, moved)
-        edges, labels = scratch.put(renamed), scratch.put(new_labels)
-        scratch.drop(*old)
+    labels = scratch.put(labels)
     least = labels.groupBy("l").agg(F.min("v").alias("component"))
-    return labels.join(least, "l").select("v", "component")
+    return scratch.put(labels.join(least, "l").select("v", "component"))

@@ -46,7 +46,7 @@ SHINGLE = 5
 ORDER_GROUPS = 1 << 20
 ORDER_SLICES = 64
 #: Times that each text is held against one partner before the trees are searched.
-STAR_TURNS = 3
+STAR_TURNS = 2
 #: Texts of a cell that one task searches; more are dealt over pairs of blocks.
 BLOCK = 512
 #: Texts with a token, by its group's count, above which its cell is dealt out.
@@ -372,7 +372,7 @@ def ngram_join(
         if not turn:
             rows_of = named.groupBy("id").agg(F.min("c").alias("a"), F.max("c").alias("b"))
             links = links.union(rows_of.filter("a <> b").select("a", "b"))
-            moved = scratch.put(components(links, scratch))
+            moved = components(links, scratch)
             reached = moved.toDF("c", "comp")
         else:
             moved = components(_renamed(links, reached), scratch)
