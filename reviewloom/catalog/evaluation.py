@@ -21,9 +21,9 @@ DIGITS = 6
 def predictions(t: Tables) -> DataFrame:
     """The score of the cleaned review comment beside the label of its document. Labels
     are joined first, so that only labelled texts are cleaned."""
-    comments = views.reviews(t, views.COMMENT_WITH_MAIL)
+    comments = spread(views.reviews(t, views.COMMENT_WITH_MAIL))
     labelled = comments.join(t.labels.select("doc_id", "quality"), "doc_id")
-    cleaned = clean(spread(labelled), "comment")
+    cleaned = clean(labelled, "comment")
     return cleaned.select(
         "doc_id",
         F.col("quality").alias("label_id"),
@@ -104,9 +104,10 @@ def eval_class_report(t: Tables) -> DataFrame:
 
 @CATALOG.query(
     f"""
-SELECT label_id AS label, count(*) FILTER (prediction = -1) AS predicted_minus_1,
+WITH p AS ({PREDICTIONS_SQL}), c AS (SELECT unnest([-1, 0, 1])::INT AS label)
+SELECT label, count(*) FILTER (prediction = -1) AS predicted_minus_1,
        count(*) FILTER (prediction = 0) AS predicted_0, count(*) FILTER (prediction = 1) AS predicted_1
-FROM ({PREDICTIONS_SQL}) GROUP BY label_id
+FROM c LEFT JOIN p ON label = label_id GROUP BY label
 """
 )
 def eval_confusion(t: Tables) -> DataFrame:

@@ -57,11 +57,12 @@ def top_n(t: Tables) -> DataFrame:
 
 
 @CATALOG.query(
-    f"SELECT DISTINCT orderid, time, comment FROM ({views.NORMALIZED_SQL})"
+    f"SELECT item, page, pos, orderid, time, comment, rating FROM ({views.NORMALIZED_SQL})"
 )
 def drop_repeats(t: Tables) -> DataFrame:
-    """Pages landed twice give each message once."""
+    """Pages landed twice give each record once, also those without an id."""
     pages = ingest.parse_pages(views.with_payload(t.events))
-    once = ingest.normalize(ingest.explode_ratings(pages))
+    keep = ("item", "page")
+    once = ingest.normalize(ingest.explode_ratings(pages, keep), (*keep, "pos"))
     twice = once.unionByName(once)
-    return ingest.drop_repeats(twice).select("orderid", "time", "comment")
+    return ingest.drop_repeats(twice)

@@ -20,7 +20,9 @@ CATALOG = Catalog()
 @CATALOG.query(views.RATINGS_SQL)
 def src_page_payload(t: Tables) -> DataFrame:
     pages = ingest.parse_pages(views.with_payload(t.events))
-    return ingest.explode_ratings(pages, ("item", "page"))
+    numbers = {"rating_star": "int", "orderid": "bigint", "ctime": "bigint"}
+    rows = ingest.explode_ratings(pages, ("item", "page"))
+    return rows.withColumns({c: F.col(c).try_cast(kind) for c, kind in numbers.items()})
 
 
 @CATALOG.query(

@@ -9,8 +9,9 @@ from pyspark.sql import types as T
 # Fixed value: what a missing field reads.
 MISSING = "N/A"
 
-RATING = "STRUCT<rating_star: INT, comment: STRING, orderid: BIGINT, ctime: BIGINT>"
-API_PAGE = f"data STRUCT<ratings: ARRAY<{RATING}>>"
+# All fields are text, so that none is lost for being of another type than expected.
+RATING = "STRUCT<rating_star: STRING, comment: STRING, orderid: STRING, ctime: STRING>"
+API_PAGE = "data STRUCT<ratings: ARRAY<STRING>>"
 
 RAW_MESSAGE = T.StructType(
     [

@@ -120,12 +120,12 @@ def class_report(measures: DataFrame) -> DataFrame:
     ).select("r.*")
 
 
-def confusion(pairs: DataFrame, classes: Sequence[int]) -> DataFrame:
-    """A row per label and a column per predicted class, zeros filled in."""
-    return (
-        pairs.groupBy("label")
-        .pivot("prediction", list(classes))
-        .agg(F.sum("n"))
-        .na.fill(0)
-        .select("label", *(F.col(str(c)).alias(f"predicted_{c}".replace("-", "minus_")) for c in classes))
-    )
+def confusion(pairs: DataFrame, classes: Sequence[int] = ()) -> DataFrame:
+    """The square matrix over all classes found as label or prediction, and those given:
+    a row per class, a column per predicted class, zeros filled in."""
+    counts = {(x["label"], x["prediction"]): x["n"] for x in pairs.collect()}
+    found = sorted({c for pair in counts for c in pair if c is not None} | set(classes))
+    names = [f"predicted_{c}".replace("-", "minus_") for c in found]
+    rows = [(y, *(counts.get((y, p), 0) for p in found)) for y in found]
+    schema = ", ".join(["label INT", *(f"{n} BIGINT" for n in names)])
+    return pairs.sparkSession.createDataFrame(rows, schema)

@@ -13,14 +13,26 @@ from .skew import salted_join
 
 def parse_pages(pages: DataFrame, payload: str = "payload") -> DataFrame:
     """Add ``ratings``, the record list of each page; a page without one has an empty
-    list."""
-    parsed = F.from_json(F.col(payload), r.API_PAGE)
+    list. Each element is parsed on its own: one that is no record is null and leaves the
+    others, and the length of the list, as they are."""
+    listed = F.from_json(F.col(payload), r.API_PAGE)["data"]["ratings"]
+    records = F.transform(listed, lambda x: F.when(_is_record(x), F.from_json(x, r.RATING)))
     return pages.withColumn(
-        "ratings",
-        F.coalesce(parsed["data"]["ratings"], F.array().cast(f"ARRAY<{r.RATING}>")),
+        "ratings", F.coalesce(records, F.array().cast(f"ARRAY<{r.RATING}>"))
     )
 
 
+def _is_record(element):
+    return F.startswith(F.ltrim(element), F.lit("{"))
+
+
+def page_rejects(pages: DataFrame, keep: Sequence[str] = (), payload: str = "payload") -> DataFrame:
+    """The elements of pages that are no records: pos and value."""
+    listed = F.from_json(F.col(payload), r.API_PAGE)["data"]["ratings"]
+    elements = pages.select(*keep, F.posexplode_outer(listed).alias("pos", "value"))
+    return elements.filter(F.col("pos").isNotNull() & ~F.coalesce(_is_record(F.col("value")), F.lit(False)))
+
+
 def explode_ratings(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per rating record, in page order (``pos``).
 
@@ -28,7 +40,7 @@ def explode_ratings(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     below the projection, which parses every page twice.
     """
     listed = pages.select(*keep, F.posexplode_outer("ratings").alias("pos", "rating"))
-    return listed.filter(F.col("pos").isNotNull()).select(*keep, "pos", "rating.*")
+    return listed.filter(F.col("rating").isNotNull()).select(*keep, "pos", "rating.*")
 
 
 def assemble_pages(
@@ -57,7 +69,7 @@ def normalize(ratings: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         r.text_or_missing(F.col("rating_star")).alias("rating"),
         r.text_or_missing(F.col("comment")).alias("comment"),
         r.text_or_missing(F.col("orderid")).alias("orderid"),
-        F.coalesce(r.epoch_text(F.col("ctime")), F.lit(r.MISSING)).alias("time"),
+        F.coalesce(r.epoch_text(F.col("ctime").try_cast("decimal(38,6)")), F.lit(r.MISSING)).alias("time"),
     )
 
 
@@ -97,6 +109,10 @@ def ingest_counts(flagged: DataFrame) -> DataFrame:
     )
 
 
-def drop_repeats(messages: DataFrame) -> DataFrame:
-    """Messages that a restarted poll delivered again are kept once."""
-    return messages.dropDuplicates(["orderid", "time", "comment"])
+def drop_repeats(messages: DataFrame, key: Sequence[str] = ("item", "page", "pos")) -> DataFrame:
+    """Records that a restarted poll delivered again are kept once.
+
+    A repeat is the same landed record, so the key is its place in the source. Records
+    that only read alike, such as those without id and time, all stay.
+    """
+    return messages.dropDuplicates(list(key))

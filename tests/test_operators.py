@@ -53,6 +53,19 @@ def test_payloads_and_missing_fields(spark):
     assert got == [("5", "ok", "7", "2025-02-07 14:20:53"), ("N/A", "N/A", "N/A", "N/A")]
 
 
+def test_a_bad_record_leaves_the_others(spark):
+    page = '{"data":{"ratings":["junk",{"rating_star":4.5,"orderid":"A77"},3,{"comment":"x"},{"comment":"x"}]}}'
+    df = spark.createDataFrame([(1, 1, page)], "item INT, page INT, payload STRING")
+    keep = ("item", "page")
+    pages = ingest.parse_pages(df)
+    assert len(pages.first()["ratings"]) == 5
+    rows = ingest.normalize(ingest.explode_ratings(pages, keep), (*keep, "pos"))
+    want = [(1, "4.5", "N/A", "A77"), (3, "N/A", "x", "N/A"), (4, "N/A", "x", "N/A")]
+    assert [tuple(x)[2:6] for x in rows.orderBy("pos").collect()] == want
+    assert [tuple(x)[2:] for x in ingest.page_rejects(df, keep).collect()] == [(0, "junk"), (2, "3")]
+    assert ingest.drop_repeats(rows.union(rows)).count() == 3
+
+
 def test_epoch_text_ignores_the_session_zone(spark):
     zone = spark.conf.get("spark.sql.session.timeZone")
     try:
@@ -123,7 +136,8 @@ def test_evaluation_against_counting(spark):
         assert summary[f"weighted_{m}"] == pytest.approx(weighted)
     matrix = {x["label"]: tuple(x)[1:] for x in evaluate.confusion(counts, [-1, 0, 1]).collect()}
     tally = Counter(pairs)
-    assert matrix == {y: tuple(tally[(y, p)] for p in (-1, 0, 1)) for y in (0, 1, 2)}
+    CLASSES = sorted({c for pair in pairs for c in pair} | {-1, 0, 1})
+    assert matrix == {y: tuple(tally[(y, p)] for p in CLASSES) for y in CLASSES}
 
 
 def test_lexicon_tables_equal_literals(spark):
