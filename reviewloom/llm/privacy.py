@@ -129,25 +129,30 @@ def _neighbours(spans: DataFrame) -> DataFrame:
 
 
 def revealing_terms(
-    docs: DataFrame, near: DataFrame, n_docs: int, support: int = SUPPORT, disclosed: float = DISCLOSED
+    docs: DataFrame, near: DataFrame, n_docs: int, scratch: Scratch, support: int = SUPPORT, disclosed: float = DISCLOSED
 ) -> DataFrame:
     """Pairs (term, entity) whose disclosure reaches the threshold."""
+    information = F.log(F.lit(float(max(n_docs, 1))) / F.col("n_e"))
+    pmi = F.log(F.col("n_te") * F.lit(float(max(n_docs, 1))) / (F.col("n_t") * F.col("n_e")))
+    reached = (information > 0) & (pmi >= disclosed * information)
     pairs = (
         near.select("term", "entity", "rid").distinct()
         .groupBy("term", "entity").agg(F.count(F.lit(1)).alias("n_te"))
         .filter(F.col("n_te") >= support)
     )
     entities = near.select("entity", "rid").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    terms = pairs.select("term").distinct()
+    # A term has at least the documents in which it stands beside some entity. Pairs that
+    # miss the threshold even so, such as those of common words, are not counted further.
+    beside = near.select("term", "rid").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    possible = pairs.join(beside, "term").join(entities, "entity").filter(reached)
+    terms = scratch.put(possible.select("term").distinct())
     spread = (
         docs.select(F.explode(F.array_distinct(words(F.lower("text"), r"[^\p{L}]+"))).alias("term"))
         .join(terms, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     )
-    information = F.log(F.lit(float(max(n_docs, 1))) / F.col("n_e"))
-    pmi = F.log(F.col("n_te") * F.lit(float(max(n_docs, 1))) / (F.col("n_t") * F.col("n_e")))
     return (
         pairs.join(spread, "term").join(entities, "entity")
-        .filter((information > 0) & (pmi >= disclosed * information))
+        .filter(reached)
         .select("term", "entity")
     )
 
@@ -168,7 +173,7 @@ def find_personal_data(
     )
     spans = scratch.put(base_spans(rows))
     near = scratch.put(_neighbours(spans))
-    pairs = scratch.put(revealing_terms(texts, near, rows.count(), support, disclosed))
+    pairs = scratch.put(revealing_terms(texts, near, rows.count(), scratch, support, disclosed))
     terms = near.join(pairs, ["term", "entity"]).select(
         "rid", F.lit(KINDS.index("term")).alias("kind"), "start", "end"
     ).distinct()
