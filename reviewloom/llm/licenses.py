@@ -17,7 +17,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import words
@@ -31,6 +31,8 @@ PHRASES: Mapping[str, str] = {
 }
 #: Share of a template's words that a block must hold.
 CONTAINED = 0.9
+#: Rows of prefix words, of some 200 bytes each, that are sent to all tasks.
+SENT = 10_000
 #: First sentences of common notices: label and words.
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("mit", "released under the mit license"),
@@ -54,13 +56,11 @@ def ordered_templates(docs: DataFrame, templates=TEMPLATES) -> list[tuple[str, l
 
     Templates are a parameter of some dozen lines; only counts of their words come back.
     """
-    vocabulary = sorted({w for _, text in templates for w in text.split()})
-    spark = docs.sparkSession
-    table = spark.createDataFrame([(w,) for w in vocabulary], "word string")
+    vocabulary = F.array(*[F.lit(w) for w in sorted({w for _, text in templates for w in text.split()})])
+    held = F.array_intersect(F.array_distinct(words(F.lower("text"))), vocabulary)
     counts = {
         r["word"]: r["count"]
-        for r in docs.select(F.explode(F.array_distinct(words(F.lower("text")))).alias("word"))
-        .join(table, "word").groupBy("word").count().collect()
+        for r in docs.select(F.explode(held).alias("word")).groupBy("word").count().collect()
     }
     return [
         (label, sorted(set(text.split()), key=lambda w: (counts.get(w, 0), w)))
@@ -68,6 +68,16 @@ def ordered_templates(docs: DataFrame, templates=TEMPLATES) -> list[tuple[str, l
     ]
 
 
+def _prefix_table(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """The templates by the words of their prefixes, sent to all tasks up to ``SENT`` rows.
+
+    More templates than that are joined by a shuffle, whose hot words adaptive execution splits.
+    """
+    schema = "word string, place int, template int, label string, tokens array<string>, needed int"
+    table = spark.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= SENT else table
+
+
 def similar_blocks(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     """Blocks of (id, text) that hold a template: id, block, label, score."""
     ordered = ordered_templates(docs, templates)
@@ -76,9 +86,7 @@ def similar_blocks(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
         first = tokens[: len(tokens) - _needed(len(tokens)) + 1]
         prefixes += first
         rows += [(word, place, k, label, tokens, _needed(len(tokens))) for place, word in enumerate(first)]
-    table = docs.sparkSession.createDataFrame(
-        rows, "word string, place int, template int, label string, tokens array<string>, needed int"
-    )
+    table = _prefix_table(docs.sparkSession, rows)
     leads = F.array(*[F.lit(w) for w in sorted(set(prefixes))])
     blocks = (
         docs.select("id", F.posexplode(F.split(F.lower("text"), r"\n")).alias("block", "line"))
