@@ -31,6 +31,11 @@ TEMPER = 0.7
 KEEP = 0.8
 #: Sweeps over the three columns at most, and the factor's deviation that ends them.
 SWEEPS, TOLERANCE = 30, 1e-4
+#: Sweeps planned as one job.
+AT_ONCE = 5
+#: Cells, of some 100 bytes each, up to which a job holds all of them in one partition,
+#: where no sweep needs a shuffle. More cells are swept by shuffles.
+TOGETHER = 200_000
 #: Common factors tried at once, twice.
 GRID = 64
 SPACE = r"[\x20\x09-\x0D]+"
@@ -83,12 +88,15 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], scratch: Scratch) -
     for column, target in targets.items():
         fitted = fitted.join(target.withColumnRenamed("share", f"share_{column}"), column)
     fitted = scratch.put(fitted.withColumn("w", F.col("n") / F.lit(float(max(total, 1)))))
-    for _ in range(SWEEPS):
-        swept, off = fitted, F.lit(0.0)
-        for column in targets:
-            factor = F.col(f"share_{column}") / F.sum("w").over(Window.partitionBy(column))
-            swept = swept.withColumn(f"f_{column}", factor).withColumn("w", F.col("w") * F.col(f"f_{column}"))
-            off = F.greatest(off, F.abs(F.log(F.col(f"f_{column}"))))
+    together = fitted.count() <= TOGETHER
+    for _ in range(0, SWEEPS, AT_ONCE):
+        swept = fitted.coalesce(1) if together else fitted
+        for _ in range(AT_ONCE):
+            off = F.lit(0.0)
+            for column in targets:
+                factor = F.col(f"share_{column}") / F.sum("w").over(Window.partitionBy(column))
+                swept = swept.withColumn(f"f_{column}", factor).withColumn("w", F.col("w") * F.col(f"f_{column}"))
+                off = F.greatest(off, F.abs(F.log(F.col(f"f_{column}"))))
         swept = scratch.put(swept.withColumn("off", off))
         scratch.drop(fitted)
         fitted = swept.drop(*[f"f_{c}" for c in targets], "off")
