@@ -273,6 +273,23 @@ def test_abbreviations_in_context(spark):
     assert got == {1: "không ăn uống không ngon không", 2: "cân ki lô nặng", 3: "skg", 4: ""}
 
 
+def test_abbreviations_far_behind_in_a_text(spark):
+    """One text holds both meanings behind position 8,000: only the place tells them apart."""
+    def text(n):
+        return "xa " * n + "kg " + "xa " * 7000 + "kg", 3 * n, 3 * n + 3 + 21000
+
+    rows = []
+    for i in range(12):
+        whole, near, far = text(3000 + i)
+        rows += [("kg", near, near + 2, whole, "không"), ("kg", far, far + 2, whole, "ki lô")]
+    schema = "abb STRING, start_index INT, end_index INT, cmt STRING, origin STRING"
+    expander = abbreviations.fit(abbreviations.corpus_by_text([spark.createDataFrame(rows, schema)]))
+    whole, near, far = text(3005)
+    df = spark.createDataFrame([(1, whole)], "id INT, text STRING")
+    got = abbreviations.expand(expander, df, "id", "text", ["kg"]).first()["text"]
+    assert got == whole[:near] + "không" + whole[near + 2 : far] + "ki lô"
+
+
 def test_topic_options():
     read = topics.kafka_read_options(max_per_batch=100, min_partitions=64)
     assert read["startingOffsets"] == "latest" and read["failOnDataLoss"] == "false"
