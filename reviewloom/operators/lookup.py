@@ -1,76 +1,103 @@
 """Lexicons too large to be literals, joined as tables.
 
-Only the distinct tokens of each text leave it, and only those found in the lexicon come
-back, grouped per text; the texts themselves are rebuilt in place. A token that occurs
-in most texts is spread by salting.
+Tokens leave their text with their place, and only those found in the lexicon come back,
+grouped per text. A text is rebuilt by sorting its tokens and the replacements by place,
+so the work on a long text grows with its tokens and not with tokens times hits. A token
+that occurs in most texts is spread by salting.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import steps as s
 from ..session import materialise
 from .skew import salted_join
 
-_WORD, _VALUE, _ORD = "__word", "__value", "__ord"
+_WORD, _VALUE, _ORD, _PLACE, _HITS = "__word", "__value", "__ord", "__place", "__hits"
+_ENTRIES = "array<struct<place:int,own:int,value:string>>"
 
 
-def _found(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
-    words = df.select(key, F.explode(F.array_distinct(s.token_array(F.col(text)))).alias(_WORD))
-    return salted_join(words, lexicon, [_WORD], "inner", spread_by=[key])
+def _placed(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
+    """Per text the tokens found: ``__hits``, an array of (place, value)."""
+    words = df.select(key, F.posexplode(s.token_array(F.col(text))).alias(_PLACE, _WORD))
+    found = salted_join(words, lexicon, [_WORD], "inner", spread_by=[key, _PLACE])
+    hit = F.struct(F.col(_PLACE).alias("place"), F.col(_VALUE).alias("value"))
+    return found.groupBy(key).agg(F.collect_list(hit).alias(_HITS))
+
+
+def _rebuilt(text: str) -> Column:
+    """The tokens, each one found with its value instead; a null value drops it."""
+
+    def entry(place: Column, own: int, value: Column) -> Column:
+        return F.struct(
+            place.cast("int").alias("place"), F.lit(own).alias("own"), value.cast("string").alias("value")
+        )
+
+    tokens = F.transform(s.token_array(F.col(text)), lambda w, i: entry(i, 1, w))
+    hits = F.coalesce(F.transform(_HITS, lambda h: entry(h["place"], 0, h["value"])), F.array().cast(_ENTRIES))
+    # a replacement sorts ahead of the token it stands for
+    in_order = F.sort_array(F.concat(hits, tokens))
+    first = s.bind(
+        in_order,
+        lambda x: F.filter(
+            x, lambda e, i: (i == 0) | (x[F.greatest(i - 1, F.lit(0))]["place"] != e["place"])
+        ),
+    )
+    return F.transform(F.filter(first, lambda e: e["value"].isNotNull()), lambda e: e["value"])
 
 
 def resolve_chains(dictionary: DataFrame) -> DataFrame:
     """``ord, key, value`` rows to one ``key, value`` row per key, with chains followed.
 
     A token takes the value of its first row, and goes on with the first later row whose
-    key is that value. Each round follows one link for all keys; human-made dictionaries
-    chain two or three deep.
+    key is that value. So each row, known by its ``ord`` and key, has at most one next
+    row; the steps double in each round, and a chain of n rows takes log2(n) rounds. Of
+    rows alike in both the smallest value counts.
     """
-    rows = dictionary.select(
-        F.col("ord").alias(_ORD), F.col("key").alias(_WORD), F.col("value").alias(_VALUE)
+    rows = (
+        dictionary.groupBy(F.col("ord").alias(_ORD), F.col("key").alias(_WORD))
+        .agg(F.min("value").alias(_VALUE))
+    )
+    later = rows.select(F.col(_ORD).alias("__next"), F.col(_WORD).alias("__key"))
+    follows = (
+        rows.join(later, (F.col(_VALUE) == F.col("__key")) & (F.col("__next") > F.col(_ORD)))
+        .groupBy(_ORD, _WORD).agg(F.min(F.struct("__next", "__key")).alias("__to"))
+    )
+    itself = F.struct(F.col(_ORD).alias("__next"), F.col(_WORD).alias("__key"))
+    reached = materialise(
+        rows.join(follows, [_ORD, _WORD], "left")
+        .select(_ORD, _WORD, F.coalesce("__to", itself).alias("__end")),
+        "chains",
     )
-    links = rows.withColumnsRenamed({_ORD: "__next", _WORD: "__from", _VALUE: "__to"})
-    first = F.min_by(F.struct(_ORD, _VALUE), F.col(_ORD))
-    current = rows.groupBy(_WORD).agg(first.alias("r")).select(_WORD, "r.*")
     while True:
-        current = materialise(current, "chains")
-        step = current.join(
-            links, (F.col(_VALUE) == F.col("__from")) & (F.col("__next") > F.col(_ORD))
-        )
-        if step.isEmpty():
-            return current.select(_WORD, _VALUE)
-        moved = (
-            step.groupBy(_WORD)
-            .agg(F.min_by(F.struct("__next", "__to"), F.col("__next")).alias("r"))
-            .select(_WORD, "r.*")
-        )
-        current = current.join(moved, _WORD, "left").select(
-            _WORD,
-            F.coalesce("__next", _ORD).alias(_ORD),
-            F.coalesce("__to", _VALUE).alias(_VALUE),
-        )
+        further = reached.select(itself.alias("__end"), F.col("__end").alias("__further"))
+        moved = materialise(reached.join(further, "__end"), "chains")
+        reached = moved.select(_ORD, _WORD, F.col("__further").alias("__end"))
+        if moved.filter("__end <> __further").isEmpty():
+            break
+    first = rows.groupBy(_WORD).agg(F.min(_ORD).alias(_ORD))
+    last = rows.select(itself.alias("__end"), _VALUE)
+    return first.join(reached, [_ORD, _WORD]).join(last, "__end").select(_WORD, _VALUE)
+
+
+def _replace(df: DataFrame, key: str, text: str, lexicon: DataFrame, output: str, finish) -> DataFrame:
+    per_text = _placed(df, key, text, lexicon)
+    return (
+        df.join(per_text, key, "left")
+        .withColumn(output, finish(F.array_join(_rebuilt(text), " ")))
+        .drop(_HITS)
+    )
 
 
 def map_tokens(
     df: DataFrame, key: str, text: str, dictionary: DataFrame, output: str | None = None
 ) -> DataFrame:
     """Replace whole tokens through a dictionary table. ``key`` must be unique."""
-    hits = _found(df, key, text, resolve_chains(dictionary))
-    per_text = hits.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct(_WORD, _VALUE))).alias("__map")
-    )
-    words = s.token_array(F.col(text))
-    mapped = F.transform(
-        words, lambda w: F.coalesce(F.try_element_at(F.col("__map"), w), w)
-    )
-    return (
-        df.join(per_text, key, "left")
-        .withColumn(output or text, s.squeeze(F.array_join(mapped, " ")))
-        .drop("__map")
-    )
+    # a null value keeps its token
+    resolved = resolve_chains(dictionary).filter(F.col(_VALUE).isNotNull())
+    return _replace(df, key, text, resolved, output or text, s.squeeze)
 
 
 def drop_tokens(
@@ -78,14 +105,5 @@ def drop_tokens(
 ) -> DataFrame:
     """Drop tokens that are in the first column of ``words``. ``key`` must be unique."""
     listed = words.select(F.col(words.columns[0]).alias(_WORD)).distinct()
-    hits = _found(df, key, text, listed)
-    per_text = hits.groupBy(key).agg(F.collect_list(_WORD).alias("__listed"))
-    kept = F.filter(
-        s.token_array(F.col(text)),
-        lambda w: ~F.coalesce(F.array_contains(F.col("__listed"), w), F.lit(False)),
-    )
-    return (
-        df.join(per_text, key, "left")
-        .withColumn(output or text, F.array_join(kept, " "))
-        .drop("__listed")
-    )
+    dropped = listed.withColumn(_VALUE, F.lit(None).cast("string"))
+    return _replace(df, key, text, dropped, output or text, lambda x: x)

@@ -159,6 +159,18 @@ def test_lexicon_tables_equal_literals(spark):
         assert sorted(map(tuple, got.select("id", "out").collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_long_chains_and_long_texts(spark):
+    chain = [(i, f"w{i}", f"w{i + 1}") for i in range(100)]
+    rows = spark.createDataFrame(chain, "ord LONG, key STRING, value STRING")
+    assert {x[0]: x[1] for x in lookup.resolve_chains(rows).collect()} == {f"w{i}": "w100" for i in range(100)}
+    texts = [(1, " ".join(["w1", "x"] * 20_000)), (2, None), (3, " \n"), (4, "x  y")]
+    df = spark.createDataFrame(texts, "id INT, text STRING")
+    mapped = {x["id"]: x["out"] for x in lookup.map_tokens(df, "id", "text", rows, "out").collect()}
+    assert mapped == {1: " ".join(["w100", "x"] * 20_000), 2: None, 3: "", 4: "x y"}
+    kept = {x["id"]: x["out"] for x in lookup.drop_tokens(df, "id", "text", rows.select("key"), "out").collect()}
+    assert kept == {1: " ".join(["x"] * 20_000), 2: None, 3: "", 4: "x y"}
+
+
 def test_chains_resolve_like_a_scan(spark):
     rng = random.Random(6)
     for _ in range(200):
