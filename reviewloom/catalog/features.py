@@ -65,6 +65,16 @@ def hashing_tf(t: Tables) -> DataFrame:
     return counted.select("doc_id", features.vector_sum("raw_features").alias("total"))
 
 
+@CATALOG.query(
+    f"""{_BIGRAMS_SQL}, d AS (SELECT term, count(DISTINCT doc_id) AS df FROM bigrams GROUP BY term),
+c AS (SELECT doc_id, term, count(*) AS tf FROM bigrams GROUP BY doc_id, term)
+SELECT doc_id, term, tf, round(tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)), 9) AS weight
+FROM c JOIN d USING (term)"""
+)
+def tfidf_terms(t: Tables) -> DataFrame:
+    return features.tfidf_terms(_bigrams(t), "doc_id").withColumn("weight", F.round("weight", 9))
+
+
 @CATALOG.query()
 def tfidf_vectors(t: Tables) -> DataFrame:
     weighted = features.tfidf(materialise(_bigrams(t), "bigrams"))
@@ -77,7 +87,8 @@ def tfidf_vectors(t: Tables) -> DataFrame:
 def _prepared(t: Tables) -> DataFrame:
     """All documents, cleaned for training, with their label where they have one."""
     labels = t.labels.select("doc_id", F.col("quality").alias("label"))
-    joined = t.documents.select("doc_id", "text").join(labels, "doc_id", "left")
+    # spread on the scan: asking a join for its partitions would run it
+    joined = spread(t.documents.select("doc_id", "text")).join(labels, "doc_id", "left")
     frame = joined.select(
         "doc_id", F.col("text").alias("free_text"), r.binarize(F.col("label")).alias("label_id")
     )
@@ -105,6 +116,37 @@ def predict_lr(t: Tables) -> DataFrame:
     return _predicted(t, "logistic")
 
 
+_HOLDOUT_SQL = f"""{duck.chain(
+    "SELECT doc_id, quality AS label, text FROM documents JOIN labels USING (doc_id)",
+    "text", duck.training(), "free_text", "doc_id, label",
+)},
+h AS (
+  SELECT CASE WHEN label = 2 THEN 1 ELSE label END AS label FROM cleaned
+  WHERE label IS NOT NULL AND length(free_text) > 0 AND md5(doc_id::VARCHAR)[1] IN ('0', '1', '2')
+)
+SELECT label::VARCHAR AS class, count(*) AS support, true AS measured FROM h GROUP BY label
+UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), (SELECT count(*) FROM h), true
+"""
+
+
+def _holdout(t: Tables, kind: str) -> DataFrame:
+    """The report on rows held out: SQL knows its classes and their support, and that all
+    measures are shares; ``training.holdout_report`` has the measures themselves."""
+    report = training.holdout_report(_prepared(t), kind, "doc_id")
+    shares = [F.coalesce(F.col(m).between(0, 1), F.col("class") == "accuracy") for m in ("precision", "recall", "f1")]
+    return report.select("class", "support", (shares[0] & shares[1] & shares[2]).alias("measured"))
+
+
+@CATALOG.query(_HOLDOUT_SQL)
+def holdout_report_dt(t: Tables) -> DataFrame:
+    return _holdout(t, "tree")
+
+
+@CATALOG.query(_HOLDOUT_SQL)
+def holdout_report_lr(t: Tables) -> DataFrame:
+    return _holdout(t, "logistic")
+
+
 @CATALOG.query()
 def cv_metrics(t: Tables) -> DataFrame:
     """Cross-validated accuracy with the IDF inside the folds, beside the label counts."""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import steps as s
+from .skew import salted_join
 
 # The n-gram size and the number of hash buckets.
 NGRAM = 2
@@ -28,13 +29,9 @@ def with_ngrams(
 
 
 def term_counts(df: DataFrame, terms: str = "ngrams") -> DataFrame:
-    """Occurrences of each term and the number of rows it is in.
-
-    Rows count their own terms first, so a term reaches the shuffle at most once per row
-    and, after the partial sums, once per task.
-    """
-    per_row = df.select(F.explode(terms).alias("term")).groupBy("term")
-    return per_row.agg(F.count("*").alias("n"))
+    """Occurrences of each term. Partial sums come first, so a term reaches the shuffle
+    at most once per task."""
+    return df.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
 
 
 def document_frequency(df: DataFrame, terms: str = "ngrams") -> DataFrame:
@@ -70,5 +67,13 @@ def tfidf(df: DataFrame, terms: str = "ngrams", output: str = "features") -> Dat
     return model.transform(counted).drop("__tf")
 
 
+def tfidf_terms(df: DataFrame, key: str, terms: str = "ngrams") -> DataFrame:
+    """Exact weights, without hash buckets: a row for each key and term. Terms found in
+    most rows are spread by the key."""
+    counts = df.select(key, F.explode(terms).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    weighted = salted_join(counts, idf_terms(df, terms).select("term", "idf"), ["term"], "inner", [key])
+    return weighted.select(key, "term", "tf", (F.col("tf") * F.col("idf")).alias("weight"))
+
+
 def vector_sum(vector: str):
     return F.aggregate(vector_to_array(F.col(vector)), F.lit(0.0), lambda a, b: a + b)

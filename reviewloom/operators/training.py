@@ -9,13 +9,14 @@ from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, NGram
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.lexicon import DEFAULT, Lexicons
 from ..functions.records import binarize
 from ..plans import profiles
-from ..session import materialise, spread
+from ..session import materialise
+from . import evaluate
 from .features import BUCKETS, NGRAM, with_tokens
 
 # The settings of the two classifiers and of the validation.
@@ -42,7 +43,7 @@ def prepare(df: DataFrame, lexicons: Lexicons = DEFAULT, profile: str = profiles
     The cleaned table is written before rows are dropped: a filter on cleaned text would
     be pushed below the cleaning and run it a second time.
     """
-    cleaned = profiles.clean(spread(df), "free_text", "free_text", profile, lexicons)
+    cleaned = profiles.clean(df, "free_text", "free_text", profile, lexicons)
     return drop_empty(materialise(with_tokens(cleaned, "free_text", "words"), "prepared"))
 
 
@@ -118,6 +119,25 @@ def predict(fitted: Fitted, prepared: DataFrame, *keep: str) -> DataFrame:
     return fitted.model.transform(prepared).select(*keep, F.col("prediction"))
 
 
+def held_out(key: Column) -> Column:
+    """Three of sixteen rows, by a hash of the key alone; rows without a key are not."""
+    first = F.substring(F.md5(key.cast("string").cast("binary")), 1, 1)
+    return F.coalesce(first.isin("0", "1", "2"), F.lit(False))
+
+
+def holdout_report(prepared: DataFrame, kind: str, key: str) -> DataFrame:
+    """The class report of a classifier on labelled rows that it was not fitted on.
+
+    ``prepared`` is read several times and should be a written table.
+    """
+    labelled = prepared.filter(F.col("label_id").isNotNull())
+    test = held_out(F.col(key))
+    fitted = fit(labelled.filter(~test).select("words", "label_id"), kind)
+    predicted = predict(fitted, labelled.filter(test), "label_id")
+    pairs = evaluate.pair_counts(predicted, "label_id", "prediction")
+    return evaluate.class_report(evaluate.class_measures(pairs))
+
+
 def save(fitted: Fitted, path: str) -> None:
     """Store the model, and beside its stages the profile it needs."""
     fitted.model.write().overwrite().save(path)
