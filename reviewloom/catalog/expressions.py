@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import records as r
 from ..operators import ingest, training
+from ..session import materialise
 from . import views
 from .registry import Catalog, Tables
 
@@ -155,11 +156,12 @@ SELECT doc_id, out AS free_text, quality AS label_id FROM (
 )
 def drop_empty(t: Tables) -> DataFrame:
     """Texts that the mail step leaves empty go, and their labels with them."""
-    scrubbed = t.documents.select("doc_id", views.mail_scrub(F.col("text")).alias("free_text"))
-    labelled = scrubbed.join(
-        t.labels.select("doc_id", F.col("quality").alias("label_id")), "doc_id"
+    labels = t.labels.select("doc_id", F.col("quality").alias("label_id"))
+    labelled = t.documents.select("doc_id", "text").join(labels, "doc_id").select(
+        "doc_id", views.mail_scrub(F.col("text")).alias("free_text"), "label_id"
     )
-    return training.drop_empty(labelled)
+    # written first: a filter on the scrubbed text would be pushed down and scrub twice
+    return training.drop_empty(materialise(labelled, "scrubbed"))
 
 
 @CATALOG.query(
@@ -172,7 +174,7 @@ FROM m
 """
 )
 def reject_split(t: Tables) -> DataFrame:
-    good, bad = ingest.split_rejects(ingest.flag_rejects(views.mixed_messages(t)))
-    return bad.select("event_id", "reason", F.lit(None).cast("string").alias("orderid")).unionByName(
-        good.select("event_id", F.lit(None).cast("string").alias("reason"), "message.orderid")
-    )
+    """Good rows and rejects, told apart in one reading and parsing."""
+    flagged = ingest.flag_rejects(views.mixed_messages(t))
+    kept = F.when(F.col("reason").isNull(), F.col("message.orderid"))
+    return flagged.select("event_id", "reason", kept.alias("orderid"))
