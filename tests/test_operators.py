@@ -102,6 +102,15 @@ def test_keep_last_and_reindex(spark):
     assert [tuple(x) for x in got.orderBy("index").select("text", "pos", "index").collect()] == want
 
 
+def test_reindex_of_sparse_positions(spark):
+    positions = random.Random(2).sample(range(-(1 << 60), 1 << 60), 3000)
+    df = spark.createDataFrame([(x,) for x in positions], "pos LONG")
+    for size in (None, 100):
+        got = {x["pos"]: x["index"] for x in dedupe.reindex(df, "pos", bucket_rows=size).collect()}
+        assert got == {x: n for n, x in enumerate(sorted(positions))}
+    assert dedupe.reindex(df.limit(0), "pos", bucket_rows=100).count() == 0
+
+
 def brute_measures(pairs):
     classes = sorted({a for a, _ in pairs} | {b for _, b in pairs})
     out = {}
