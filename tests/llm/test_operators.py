@@ -201,6 +201,23 @@ def test_license_labels(spark):
     assert (got[2]["n_base"], got[2]["labels"], got[2]["score"]) == (0, "", 0.0)
 
 
+def test_license_texts_that_wrap(spark):
+    """Notices in their normal layout are found, scattered words of a long line are not."""
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and so on."
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided"
+    gpl = " * This program is free software: you can redistribute it and/or modify\n * it under the terms of"
+    filler = " ".join(f"w{i}" for i in range(40))
+    clean = f"copyright {filler} all {filler} rights {filler} reserved"
+    notice = "Copyright 2019 2024 The Foo Bar Project Contributors. All rights reserved"
+    texts = [mit, bsd, gpl, clean, f"{filler} {bsd} {clean}", notice, "copyright all rights reserved", "clean"]
+    table = frame(spark, texts[:6]).union(frame(spark, texts[6:]).withColumn("doc_id", F.lit(None).cast("long")))
+    got = [(r["doc_id"], r["labels"], r["score"]) for r in scan_licenses(table).collect()]
+    assert {r[0]: r[1] for r in got if r[0] is not None} == {
+        0: "mit", 1: "bsd", 2: "gpl", 3: "", 4: "bsd", 5: "all-rights-reserved",
+    }
+    assert sorted(r[1:] for r in got if r[0] is None) == [("", 0.0), ("all-rights-reserved", 1.0)]
+
+
 def test_personal_data(spark):
     texts = [
         "a.b@x.org_c@y.de 1.2.3.4.5 300.1.1.1", "4111 1111-1111 1111 and 4111111111111112",
