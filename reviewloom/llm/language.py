@@ -3,8 +3,8 @@
 Features are the square roots of the shares of hashed letter trigrams of the whole text,
 other characters counting as one space. A linear support vector machine for each pair of
 families picks the family by votes, and one for each pair of languages in it the language.
-The machines are fitted by Spark ML on at most ``PER_LANGUAGE`` labelled rows a language,
-the first in the order of a hash of their text. Prediction reads the text only.
+The machines are fitted by Spark ML on at most ``PER_LANGUAGE`` labelled texts a language,
+the first in the order of their hashes; copies count once. Prediction reads the text only.
 
 Defined results: null text, and text without letters, is ``und`` with score 0, and so is
 every text where nothing was learned; rows without a language are not learned from; with
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .scratch import Scratch, bounded_batches
 
 UNKNOWN = "und"
-#: Labelled rows a language that training uses at most.
+#: Labelled texts a language that training uses at most.
 PER_LANGUAGE = 300
 FEATURES = 4096
 #: Bytes worked on at a time.
@@ -76,21 +76,21 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def fit(labelled: DataFrame, scratch: Scratch, families: Mapping[str, str] = FAMILIES, per_language: int = PER_LANGUAGE) -> dict:
     """Machines from (text, lang): {"languages": [...], "machines": {(a, b): (w, c)}}.
 
-    The sample is chosen by hashes alone and then by rank, so only its rows' texts move.
+    The sample is of distinct texts, those of the lowest hashes of each language. It is
+    chosen by hashes alone, the first of each partition and then of each language, so only
+    its rows' texts move.
     """
-    labelled = labelled.filter("lang is not null and text is not null")
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    share = F.lit(0.0)
-    for lang, n in counts.items():
-        # four times as many as needed get through, the rank does the rest
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, 4 * per_language / n))).otherwise(share)
-    draw = F.shiftrightunsigned(F.xxhash64("text"), 11) / F.lit(float(1 << 53))
-    by_lang = Window.partitionBy("lang").orderBy("draw", "text")
-    sample = (
-        labelled.select("text", "lang", draw.alias("draw"))
-        .filter(F.col("draw") < share)
+    labelled = labelled.filter("lang is not null and text is not null").withColumn("draw", F.xxhash64("text"))
+    by_lang = Window.partitionBy("lang").orderBy("draw")
+    chosen = scratch.put(
+        labelled.select("lang", "draw").distinct()
         .withColumn("rank", F.row_number().over(by_lang))
         .filter(F.col("rank") <= per_language)
+        .select("lang", "draw")
+    )
+    sample = (
+        labelled.join(F.broadcast(chosen), ["lang", "draw"])
+        .groupBy("lang", "draw").agg(F.min("text").alias("text"))
         .select("text", "lang")
     )
     rows = scratch.put(sample.coalesce(8).mapInArrow(_feature_rows, "lang string, x array<double>"))

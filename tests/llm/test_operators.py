@@ -271,6 +271,18 @@ def test_language_held_out_accuracy(spark):
     assert right > 0.98
 
 
+def test_language_of_few_texts_with_many_copies(spark):
+    """The sample counts texts, not copies: a language of four texts is learned whole."""
+    made = spark.range(200).select(F.concat(F.lit("zq xw kv "), F.col("id").cast("string"), F.lit(" qz wx vk")).alias("t"))
+    draw = F.shiftrightunsigned(F.xxhash64("t"), 11) / F.lit(float(1 << 53))
+    few = [r["t"] for r in made.filter(draw > 0.5).orderBy("t").limit(4).collect()]
+    rows = [(t, "sv") for t in few for _ in range(40)]
+    rows += [(f"the house of the bread number {i} stands there", "en") for i in range(160)]
+    table = spark.createDataFrame([(i, t, lang, "s", "x", 1, "y", 2, 3) for i, (t, lang) in enumerate(rows)], DOCS)
+    got = identify_language(table, per_language=4).groupBy("lang_pred").count().collect()
+    assert {r["lang_pred"]: r["count"] for r in got} == {"sv": 160, "en": 160}
+
+
 def test_forward_scores_against_all_spellings():
     pieces = {WORD_MARK: -2.0, WORD_MARK + b"a": -2.5, b"a": -1.0, b"ab": -1.5, b"bc": -1.2, b"c": -3.0, b"abc": -2.4}
 
