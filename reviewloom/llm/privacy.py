@@ -3,9 +3,11 @@
 Protected entities are the mail addresses, IP addresses, card and phone numbers that the
 patterns find. What a term reveals of an entity is estimated from co-occurrence in the
 corpus: of the entity's information, -ln p(e), the share PMI(t, e) / -ln p(e), with
-probabilities counted over documents. Terms are the three words on either side of an
-entity in its line. Where a term stands beside an entity in at least ``SUPPORT`` documents
-and reveals at least ``DISCLOSED`` of it, its places beside that entity become spans too;
+probabilities counted over documents. Terms are the runs of letters outside mail addresses
+(the other entities have no letters), lower-cased; a term and an entity meet where they
+stand in one document, at any distance. Where that is so in at least ``SUPPORT`` documents
+and the term reveals at least ``DISCLOSED`` of the entity, all places of the term become
+spans too, also in documents without the entity, where the term alone discloses it;
 ``sanitise`` generalises entities to their kind and removes such terms.
 
 Patterns are possessive and begin at the start of a run of their characters, or where the
@@ -37,12 +39,10 @@ PATTERNS = {
 TRIGGERS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 _PART = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9]?)"
 IP = rf"^(?:{_PART}\.){{3}}{_PART}$"
-#: Characters looked at on either side of an entity.
-CONTEXT = 96
 SUPPORT = 3
 DISCLOSED = 0.8
-#: Up to three whole words of the line, nearest first.
-NEAREST = r"^([^\p{L}\n]*)(\p{L}++)(?:([^\p{L}\n]++)(\p{L}++)(?:([^\p{L}\n]++)(\p{L}++))?)?[^\p{L}]"
+#: Revealing terms, of some 10 bytes each, up to which they are sent to all tasks.
+SENT = 200_000
 
 
 def _luhn(digits: Column) -> Column:
@@ -67,28 +67,25 @@ def _valid(kind: Column, match: Column) -> Column:
 
 
 def _matches(text: Column, kind: str) -> Column:
-    """kind, i, match, gap (length before it), before and after (what stands around)."""
+    """kind, i, match and gap (length before it)."""
     pattern = PATTERNS[kind]
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
     n = F.size(found)
-    zipped = F.arrays_zip(
-        found.alias("match"), F.slice(gaps, F.lit(1), n).alias("left"), F.slice(gaps, F.lit(2), n).alias("right")
-    )
+    zipped = F.arrays_zip(found.alias("match"), F.slice(gaps, F.lit(1), n).alias("left"))
     rows = F.transform(
         zipped,
         lambda x, i: F.struct(
             F.lit(KINDS.index(kind)).alias("kind"), i.alias("i"), x["match"].alias("match"),
             F.length(x["left"]).alias("gap"),
-            F.right(x["left"], F.lit(CONTEXT)).alias("before"), F.left(x["right"], F.lit(CONTEXT)).alias("after"),
         ),
     )
-    none = F.array().cast("array<struct<kind:int,i:int,match:string,gap:int,before:string,after:string>>")
+    none = F.array().cast("array<struct<kind:int,i:int,match:string,gap:int>>")
     return F.when(F.rlike(text, F.lit(TRIGGERS[kind])), rows).otherwise(none)
 
 
 def base_spans(rows: DataFrame) -> DataFrame:
-    """From (rid, found): rid, kind, start, end, match, before, after of the valid matches."""
+    """From (rid, found): rid, kind, start, end, match of the valid matches."""
     by_kind = Window.partitionBy("rid", "kind").orderBy("i")
     upto = by_kind.rowsBetween(Window.unboundedPreceding, 0)
     spans = rows.select("rid", F.explode("found").alias("f")).select("rid", "f.*")
@@ -97,63 +94,84 @@ def base_spans(rows: DataFrame) -> DataFrame:
         .withColumn("end", F.sum(F.col("gap") + F.col("size")).over(upto).cast("long"))
         .withColumn("start", F.col("end") - F.col("size"))
         .filter(_valid(F.col("kind"), F.col("match")))
-        .select("rid", "kind", "start", "end", "match", "before", "after")
+        .select("rid", "kind", "start", "end", "match")
     )
 
 
-def _neighbours(spans: DataFrame) -> DataFrame:
-    """The words beside each entity: rid, entity, term, start, end."""
-    # the other side is read backwards; a line break ends the last word of the text
-    after = F.concat("after", F.when(F.length("after") < CONTEXT, "\n").otherwise(""))
-    before = F.concat(F.reverse("before"), F.when(F.length("before") < CONTEXT, "\n").otherwise(""))
-    sides = []
-    for text, forward in ((after, True), (before, False)):
-        groups = [F.regexp_extract(text, NEAREST, k) for k in range(1, 7)]
-        way = F.lit(0)
-        for k in range(0, 6, 2):
-            gap, word = groups[k], groups[k + 1]
-            near = way + F.length(gap)
-            way = near + F.length(word)
-            sides.append(
-                F.struct(
-                    F.lower(word if forward else F.reverse(word)).alias("term"),
-                    (F.col("end") + near if forward else F.col("start") - way).alias("start"),
-                    (F.col("end") + way if forward else F.col("start") - near).alias("end"),
-                )
-            )
-    return (
-        spans.select("rid", F.concat_ws(":", "kind", "match").alias("entity"), F.explode(F.array(*sides)).alias("s"))
-        .filter("s.term <> ''")
-        .select("rid", "entity", "s.term", "s.start", "s.end")
+def _masked(text: Column) -> Column:
+    """The text with its mail addresses blanked out, all places as they were."""
+    pattern = PATTERNS["email"]
+    blanks = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.repeat(F.lit(" "), F.length(m)))
+    pieces = F.zip_with(
+        F.split(text, pattern, -1), blanks, lambda gap, blank: F.concat(gap, F.coalesce(blank, F.lit("")))
     )
+    return F.when(F.contains(text, F.lit("@")), F.array_join(pieces, "")).otherwise(text)
+
+
+def _terms(rows: DataFrame, *keep: str) -> DataFrame:
+    """From (rid, text): the columns to keep, and the distinct terms of each row."""
+    found = F.array_distinct(words(_masked(F.col("text")), r"[^\p{L}]+"))
+    return rows.select(*keep, F.explode(F.array_distinct(F.transform(found, lambda x: F.lower(x)))).alias("term"))
 
 
 def revealing_terms(
-    docs: DataFrame, near: DataFrame, n_docs: int, scratch: Scratch, support: int = SUPPORT, disclosed: float = DISCLOSED
+    rows: DataFrame, spans: DataFrame, n_docs: int, scratch: Scratch, support: int = SUPPORT, disclosed: float = DISCLOSED
 ) -> DataFrame:
-    """Pairs (term, entity) whose disclosure reaches the threshold."""
+    """Terms (term) that reach the threshold for some entity. ``rows`` has rid and text."""
     information = F.log(F.lit(float(max(n_docs, 1))) / F.col("n_e"))
-    pmi = F.log(F.col("n_te") * F.lit(float(max(n_docs, 1))) / (F.col("n_t") * F.col("n_e")))
-    reached = (information > 0) & (pmi >= disclosed * information)
-    pairs = (
-        near.select("term", "entity", "rid").distinct()
-        .groupBy("term", "entity").agg(F.count(F.lit(1)).alias("n_te"))
-        .filter(F.col("n_te") >= support)
+
+    def reached(n_te: Column) -> Column:
+        pmi = F.log(n_te * F.lit(float(max(n_docs, 1))) / (F.col("n_t") * F.col("n_e")))
+        return (information > 0) & (pmi >= disclosed * information)
+
+    held = scratch.put(spans.select("rid", F.concat_ws(":", "kind", "match").alias("entity")).distinct())
+    entities = scratch.put(
+        held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+        .filter((F.col("n_e") >= support) & (information > 0))
     )
-    entities = near.select("entity", "rid").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    # A term has at least the documents in which it stands beside some entity. Pairs that
-    # miss the threshold even so, such as those of common words, are not counted further.
-    beside = near.select("term", "rid").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    possible = pairs.join(beside, "term").join(entities, "entity").filter(reached)
-    terms = scratch.put(possible.select("term").distinct())
-    spread = (
-        docs.select(F.explode(F.array_distinct(words(F.lower("text"), r"[^\p{L}]+"))).alias("term"))
-        .join(terms, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    # Written, so that the joins read them as they are and can split a large group.
+    held = scratch.put(held.join(entities, "entity"))
+    most = held.agg(F.max("n_e")).first()[0] or 1
+    # A pair shares no more documents than either of it has. Terms and pairs that miss the
+    # threshold even so, such as those of common words, are not counted further.
+    bound = F.least("n_t", "n_e")
+    spread = scratch.put(
+        _terms(rows, "rid").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+        .filter(F.col("n_t") >= support)
+        .withColumn("n_e", F.lit(most)).filter(reached(bound)).drop("n_e")
+    )
+    own = _terms(rows.join(held.select("rid").distinct(), "rid", "left_semi"), "rid").join(spread, "term")
+    return (
+        own.join(held, "rid").filter(reached(bound))
+        .groupBy("term", "entity")
+        .agg(F.count(F.lit(1)).alias("n_te"), F.first("n_t").alias("n_t"), F.first("n_e").alias("n_e"))
+        .filter((F.col("n_te") >= support) & reached(F.col("n_te")))
+        .select("term").distinct()
+    )
+
+
+def term_places(rows: DataFrame, terms: DataFrame, scratch: Scratch) -> DataFrame:
+    """All places of ``terms`` in (rid, text): rid, kind, start, end."""
+    sent = F.broadcast(terms) if terms.count() <= SENT else terms
+    marked = scratch.put(_terms(rows, "rid").join(sent, "term", "left_semi").select("rid").distinct())
+    # Texts cross the network once, not their words.
+    texts = (
+        rows.select("rid", "text").join(marked, "rid", "left_semi").repartition("rid")
+        .select("rid", _masked(F.col("text")).alias("text"))
+    )
+    word = r"\p{L}++"
+    zipped = F.arrays_zip(
+        F.regexp_extract_all("text", F.lit(word), F.lit(0)).alias("word"),
+        F.transform(F.split("text", word, -1), lambda gap: F.length(gap)).alias("gap"),
     )
+    upto = Window.partitionBy("rid").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        pairs.join(spread, "term").join(entities, "entity")
-        .filter(reached)
-        .select("term", "entity")
+        texts.select("rid", F.posexplode(zipped).alias("i", "x"))
+        .select("rid", "i", "x.word", "x.gap").filter("word is not null")
+        .withColumn("end", F.sum(F.col("gap") + F.length("word")).over(upto).cast("long"))
+        .select("rid", F.lower("word").alias("term"), (F.col("end") - F.length("word")).alias("start"), "end")
+        .join(sent, "term", "left_semi")
+        .select("rid", F.lit(KINDS.index("term")).alias("kind"), "start", "end")
     )
 
 
@@ -167,16 +185,13 @@ def find_personal_data(
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = scratch.put(
         texts.select(
-            F.monotonically_increasing_id().alias("rid"), "id",
+            F.monotonically_increasing_id().alias("rid"), "id", "text",
             F.concat(*[_matches(F.col("text"), k) for k in PATTERNS]).alias("found"),
         )
     )
     spans = scratch.put(base_spans(rows))
-    near = scratch.put(_neighbours(spans))
-    pairs = scratch.put(revealing_terms(texts, near, rows.count(), scratch, support, disclosed))
-    terms = near.join(pairs, ["term", "entity"]).select(
-        "rid", F.lit(KINDS.index("term")).alias("kind"), "start", "end"
-    ).distinct()
+    revealing = scratch.put(revealing_terms(rows, spans, rows.count(), scratch, support, disclosed))
+    terms = term_places(rows, revealing, scratch)
     every = spans.select("rid", "kind", "start", "end").union(terms)
     place = F.struct("start", "kind", "end")
     by_row = every.groupBy("rid").agg(

@@ -235,6 +235,24 @@ def test_personal_data(spark):
     assert "[EMAIL]" in text and "zorblax" not in text
 
 
+def test_terms_anywhere_in_a_document_give_an_entity_away(spark):
+    """On the line above, far away and repeated, and where the entity is absent."""
+    far = "\n" + "common words of all kinds " * 9 + "-" * 120 + "\n"
+    texts = [f"Zorblax{far}ann@site.org and é zorblax" for _ in range(6)]
+    texts += ["here zorblax stands alone", "ann walks", "see site one", "org"]
+    texts += [f"common words of all kinds and x{i}" for i in range(60)]
+    table = frame(spark, texts)
+    found = find_personal_data(table).select("doc_id", "n_email", digest(F.col("spans")).alias("s"))
+    got = {r["doc_id"]: r for r in found.collect()}
+    last = len(texts[0]) - 7
+    want = {"term:0:7", f"email:{7 + len(far)}:{7 + len(far) + 12}", f"term:{last}:{last + 7}"}
+    for i in range(6):
+        own = set(got[i]["s"].split(","))
+        assert want <= own and not any(texts[i][int(a):int(b)] == "common" for _, a, b in (x.split(":") for x in own))
+    assert got[6]["s"] == "term:5:12"
+    assert {got[i]["s"] for i in (7, 8, 9)} == {""}
+
+
 def test_chats(spark):
     a = [(1, 0, "user", "hi"), (1, 1, "assistant", "yes")]
     b = [(2, *x[1:]) for x in a] + [(2, 2, "user", None)]
