@@ -1,9 +1,10 @@
 """The corpus pipeline: each stage works on all that the one before kept.
 
 A stage takes the documents that are left and returns the documents that stay, with the
-columns they came with. Decisions go by doc_id. Defined results: rows that share a doc_id
-and a text are one document, of which the exact de-duplication keeps one row; rows without
-a doc_id pass it by the same rule and are never near copies of anything; null and empty
+columns they came with. Each stage numbers its rows in a written table and decides by that
+number, so rows without a doc_id, or that share one, do not share a fate. Defined results:
+of equal texts the exact de-duplication keeps one row, also where they have no doc_id; of
+near copies the row of the smallest doc_id stays, null ids last; null and empty
 texts have no language and go in the first stage; an empty table stays empty.
 """
 
@@ -13,87 +14,66 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm.decontaminate import decontaminate
-from reviewloom.llm.exact_dedup import exact_dedup, normalised
+from reviewloom.llm.exact_dedup import exact_dedup
 from reviewloom.llm.language import UNKNOWN, identify_language
 from reviewloom.llm.mixing import mix_sources
 from reviewloom.llm.ngram_join import ngram_join
 from reviewloom.llm.scratch import Scratch
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose id is among ``ids`` (own_id)."""
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["own_id"]), "left_semi")
+#: The number of a row in its stage.
+ROW = "_row"
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["own_id"]), "left_anti")
+def _numbered(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    return scratch.put(docs.withColumn(ROW, F.monotonically_increasing_id()))
 
 
-def _own(rows: DataFrame, condition) -> DataFrame:
-    return rows.filter(condition).select(F.col("doc_id").alias("own_id")).distinct()
+def _with(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    return docs.join(rows.select(ROW), ROW, how).drop(ROW)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, for which no language is found, go."""
     scratch = Scratch(spark, "pipeline-language")
-    found = scratch.put(identify_language(docs))
-    return _without(docs, scratch.put(_own(found, F.col("lang_pred") == UNKNOWN)))
+    docs = _numbered(docs, scratch)
+    found = scratch.put(identify_language(docs, carry=[ROW]).filter(F.col("lang_pred") == UNKNOWN))
+    return _with(docs, found, "left_anti")
 
 
 def no_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts one document stays: the longest, then that of the smallest id."""
     scratch = Scratch(spark, "pipeline-copies")
-    found = scratch.put(exact_dedup(docs))
-    kept = scratch.put(_own(found, "kept"))
-    # Ids of several rows: the decision on one must not keep or drop the others.
-    twice = scratch.put(
-        found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(
-            F.col("doc_id").alias("own_id")
-        )
-    )
-    stay = _only(docs, kept)
-    if twice.isEmpty():
-        return stay
-    marked = scratch.put(found.filter("kept").select("doc_id", "text_sha256"))
-    repeated = _only(stay, twice)
-    sha = F.sha2(normalised(F.col("text")), 256)
-    longest = (
-        repeated.withColumn("sha", sha)
-        .groupBy("doc_id", "sha")
-        .agg(F.max_by(F.struct(*docs.columns), F.length("text")).alias("row"))
-    )
-    chosen = longest.join(
-        marked.toDF("own_id", "own_sha"),
-        F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("sha") == F.col("own_sha")),
-        "left_semi",
-    )
-    return _without(stay, twice).unionByName(chosen.select("row.*"))
+    docs = _numbered(docs, scratch)
+    return _with(docs, scratch.put(exact_dedup(docs, carry=[ROW]).filter("kept")), "left_semi")
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document of the smallest id stays."""
     scratch = Scratch(spark, "pipeline-near")
-    found = scratch.put(ngram_join(docs))
-    return _without(docs, scratch.put(_own(found, F.col("doc_id") != F.col("component_id"))))
+    docs = _numbered(docs, scratch)
+    found = scratch.put(
+        ngram_join(docs, id_col=ROW).join(docs.select(ROW, "doc_id"), ROW).select(ROW, "doc_id", "component_id")
+    )
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", ROW))
+    kept = found.groupBy("component_id").agg(first.alias("first")).select(f"first.{ROW}")
+    return _with(docs, scratch.put(kept), "left_semi")
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark window go."""
     scratch = Scratch(spark, "pipeline-benchmark")
+    docs = _numbered(docs, scratch)
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    found = decontaminate(docs, benchmark)
-    return _without(docs, scratch.put(_own(found, "contaminated")))
+    return _with(docs, scratch.put(decontaminate(docs, benchmark, id_col=ROW).filter("contaminated")), "left_anti")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sample by calibrated probabilities, with each document's probability."""
     scratch = Scratch(spark, "pipeline-mixing")
-    rates = scratch.put(
-        mix_sources(docs).filter("kept").groupBy(F.col("doc_id").alias("own_id")).agg(
-            F.max("probability").alias("probability")
-        )
-    )
-    return docs.join(rates, docs["doc_id"].eqNullSafe(rates["own_id"])).drop("own_id")
+    docs = _numbered(docs, scratch)
+    rates = scratch.put(mix_sources(docs, carry=[ROW]).filter("kept").select(ROW, "probability"))
+    return docs.join(rates, ROW).drop(ROW)
 
 
 STAGES = [

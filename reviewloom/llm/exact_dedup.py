@@ -17,7 +17,7 @@ just one; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,9 +55,12 @@ def named_documents(
     text_col: str = "text",
     block: int = BLOCK,
     fingerprint: Callable[[Column], Column] = F.xxhash64,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per row of ``docs``: rid, id, n_chars, text_sha256, level, name."""
+    """One row per row of ``docs``: rid, id, n_chars, text_sha256, the columns to carry
+    along, level, name."""
     texts = docs.select(
+        *carry,
         F.col(id_col).alias("id"),
         F.length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_chars"),
         normalised(F.col(text_col)).alias("norm"),
@@ -83,6 +86,7 @@ def named_documents(
         F.monotonically_increasing_id().alias("rid"),
         "id",
         "n_chars",
+        *carry,
         F.sha2(F.col("norm"), 256).alias("text_sha256"),
         F.transform("blocks", lambda b: fingerprint(b)).alias("keys"),
     ]
@@ -127,7 +131,7 @@ def named_documents(
     identity = done[0]
     for more in done[1:]:
         identity = identity.union(more)
-    return base.select("rid", "id", "n_chars", "text_sha256").join(identity, "rid")
+    return base.select("rid", "id", "n_chars", "text_sha256", *carry).join(identity, "rid")
 
 
 def exact_dedup(
@@ -136,10 +140,12 @@ def exact_dedup(
     text_col: str = "text",
     block: int = BLOCK,
     fingerprint: Callable[[Column], Column] = F.xxhash64,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per row of ``docs``: id, keep_id, group_size, kept, text_sha256."""
+    """One row per row of ``docs``: id, keep_id, group_size, kept, text_sha256, and the
+    columns to carry along."""
     scratch = Scratch(docs.sparkSession, "exact-dedup")
-    named = scratch.put(named_documents(docs, scratch, id_col, text_col, block, fingerprint))
+    named = scratch.put(named_documents(docs, scratch, id_col, text_col, block, fingerprint, carry))
     first = F.min(
         F.struct(
             (-F.col("n_chars")).alias("longest"), F.col("id").isNull().alias("unknown"), "id", "rid"
@@ -157,4 +163,5 @@ def exact_dedup(
         "group_size",
         (F.col("rid") == F.col("first.rid")).alias("kept"),
         "text_sha256",
+        *carry,
     )

@@ -15,7 +15,7 @@ predicted alike; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -150,8 +150,10 @@ def classify(x: np.ndarray, model: dict) -> tuple[np.ndarray, np.ndarray]:
 def identify_language(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     families: Mapping[str, str] = FAMILIES, per_language: int = PER_LANGUAGE,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per row of ``docs``: id, held_out, lang_pred, score.
+    """One row per row of ``docs``: id, held_out, lang_pred, score, and the columns to carry
+    along.
 
     Rows whose crc32 of the id, modulo 4, is 2 are held out from learning.
     """
@@ -165,6 +167,7 @@ def identify_language(
     )
     shared = spark.sparkContext.broadcast(model)
     id_type = docs.schema[id_col].dataType.simpleString()
+    carried = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -178,12 +181,12 @@ def identify_language(
                 x = np.stack([features(texts[i].encode()) for i in part])
                 lang[part], score[part] = classify(x, model)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("held_out"), pa.array(lang, pa.string()), pa.array(score)],
-                names=["id", "held_out", "lang_pred", "score"],
+                [batch.column("id"), batch.column("held_out"), pa.array(lang, pa.string()), pa.array(score), *[batch.column(c) for c in carry]],
+                names=["id", "held_out", "lang_pred", "score", *carry],
             )
 
     return (
-        docs.select(F.col(id_col).alias("id"), out.alias("held_out"), F.col(text_col).alias("text"))
-        .mapInArrow(run, f"id {id_type}, held_out boolean, lang_pred string, score double")
+        docs.select(F.col(id_col).alias("id"), out.alias("held_out"), F.col(text_col).alias("text"), *carry)
+        .mapInArrow(run, f"id {id_type}, held_out boolean, lang_pred string, score double" + carried)
         .withColumnRenamed("id", id_col)
     )

@@ -17,7 +17,7 @@ repeated rows share their fate; an empty table gives no rows; other columns are
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -133,8 +133,10 @@ def mix_sources(
     id_col: str = "doc_id",
     text_col: str = "text",
     seed: int = 7,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per row of ``docs``: id, the columns, n_tokens, probability, kept.
+    """One row per row of ``docs``: id, the columns, n_tokens, probability, kept, and the
+    columns to carry along.
 
     ``columns`` are the three (or more) ways to divide the documents, by default source,
     language and topic.
@@ -151,6 +153,7 @@ def mix_sources(
             *[F.coalesce(c.cast("string"), F.lit(NONE)).alias(k) for k, c in columns.items()],
             token_count(text).alias("n_tokens"),
             F.xxhash64(F.col(id_col), text, F.lit(seed)).alias("draw"),
+            *carry,
         )
     )
     cells = scratch.put(rows.groupBy(*columns).agg(F.sum("n_tokens").alias("n")))
@@ -167,5 +170,6 @@ def mix_sources(
         .select(
             F.col("id").alias(id_col), *columns, "n_tokens", "probability",
             (unit < F.col("probability")).alias("kept"),
+            *carry,
         )
     )

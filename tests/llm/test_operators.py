@@ -322,6 +322,21 @@ def test_forward_scores_against_all_spellings():
         assert got[word] == best(WORD_MARK + word)[1], word
 
 
+def test_pipeline_rows_without_id_have_their_own_fate(spark):
+    """A blank or contaminated row takes no other row without its id, or with it, along."""
+    import corpus_pipeline as p
+
+    folder = "/root/testdata/sf0.001"
+    leak = spark.read.parquet(f"{folder}/benchmark.parquet").filter("length(text) > 80").first()["text"]
+    texts = ["", leak, "qqa qqb qqc clean words", "zza zzb zzc other words"]
+    for id_ in (None, 1):  # not held out from learning
+        table = frame(spark, texts).withColumn("doc_id", F.lit(id_).cast("long"))
+        left = [r["text"] for r in p.known_language(spark, table, folder).collect()]
+        assert sorted(left) == sorted(texts[1:])
+        left = [r["text"] for r in p.no_benchmark(spark, table, folder).collect()]
+        assert sorted(left) == sorted([texts[0], *texts[2:]])
+
+
 def test_pipeline_stages_keep_columns(spark):
     import corpus_pipeline as p
 
