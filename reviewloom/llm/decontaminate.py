@@ -7,8 +7,7 @@ rarest terms lead the search: the postings of the rarest, moved back by its offs
 window, are the places where the window could start; they are intersected with the moved
 postings of the second rarest. What is left is compared word by word with the document.
 
-The index keeps terms lower-cased by Unicode, which only widens the search; the comparison
-lower-cases A-Z alone.
+Index and comparison lower-case A-Z alone.
 
 Defined results: null text has no words; an item without words is never found; rows of the
 benchmark that repeat, or share an id, count once; items without an id mark words as hit
@@ -66,7 +65,7 @@ def benchmark_windows(benchmark: DataFrame, scratch: Scratch, id_col: str, text_
 def build_index(docs: DataFrame, vocabulary: DataFrame, scratch: Scratch) -> DataFrame:
     """Postings (t, id, pos) of the terms in ``vocabulary`` (t, term); pos counts from 0."""
     return scratch.put(
-        docs.select("id", F.posexplode(words(F.lower("text"))).alias("pos", "term"))
+        docs.select("id", F.posexplode(words(ascii_lower(F.col("text")))).alias("pos", "term"))
         .join(vocabulary, "term")
         .select("t", "id", "pos")
     )
@@ -77,7 +76,7 @@ def leading_terms(windows: DataFrame, vocabulary: DataFrame, postings: DataFrame
     no document has are left out."""
     counts = postings.groupBy("t").agg(F.count(F.lit(1)).alias("df"))
     terms = (
-        windows.select("w", F.posexplode(F.split(F.lower("phrase"), " ")).alias("offset", "term"))
+        windows.select("w", F.posexplode(F.split("phrase", " ")).alias("offset", "term"))
         .join(vocabulary, "term")
         .join(counts, "t", "left")
     )
@@ -128,7 +127,7 @@ def _prepared(docs, benchmark, scratch, id_col, text_col, item_col, item_text_co
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     windows, items = benchmark_windows(benchmark, scratch, item_col, item_text_col, size)
     vocabulary = scratch.put(
-        windows.select(F.explode(F.split(F.lower("phrase"), " ")).alias("term")).distinct()
+        windows.select(F.explode(F.split("phrase", " ")).alias("term")).distinct()
         .withColumn("t", F.monotonically_increasing_id())
     )
     postings = build_index(texts, vocabulary, scratch)

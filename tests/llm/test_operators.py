@@ -169,6 +169,13 @@ def test_decontaminate(spark):
         assert r["items_sha256"] == hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
 
 
+def test_decontaminate_greek_capitals(spark):
+    """Lower-casing of a final sigma depends on what follows it; the index does without."""
+    bench = spark.createDataFrame([(1, "\u0391\u03a3 \u0392\u0393")], "item_id long, text string")
+    got = decontaminate(frame(spark, ["\u0391\u03a3.\u0392\u0393"]), bench).first()
+    assert (got["n_hit"], got["contaminated"]) == (2, True)
+
+
 def test_proximity(spark):
     bench = spark.createDataFrame([(1, "a b c d e f g h i j")], "item_id long, text string")
     table = frame(spark, ["a b z c d e f g h i j", "a b c d e f g h i j", "a q q q q q q q q q j"])
