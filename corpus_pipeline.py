@@ -34,7 +34,7 @@ def _with(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, for which no language is found, go."""
+    """Documents without letters go, and all where no language was learned; the score decides nothing."""
     scratch = Scratch(spark, "pipeline-language")
     docs = _numbered(docs, scratch)
     found = scratch.put(identify_language(docs, carry=[ROW]).filter(F.col("lang_pred") == UNKNOWN))
