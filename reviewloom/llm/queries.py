@@ -14,7 +14,10 @@ from .language import identify_language
 from .licenses import scan_licenses
 from .mixing import mix_sources
 from .ngram_join import ngram_join
+from .order_minhash import order_fingerprints
+from .prefix_trie import prefix_trie
 from .privacy import digest, find_personal_data
+from .resampling import resample
 from .token_counts import count_tokens
 from .url_filter import filter_urls
 
@@ -153,5 +156,98 @@ def op10_token_counts(t: Tables):
     return count_tokens(t.documents, VOCABULARY)
 
 
+#: crc32 of a text, one step for each bit of its bytes.
+CRC = """
+  xor(list_reduce([4294967295::BIGINT] || [('0x' || substr(hex(encode({0})), 2 * i - 1, 2))::INT::BIGINT
+      FOR i IN range(1, octet_length(encode({0})) + 1)],
+    lambda c, b: list_reduce([xor(c, b), 1, 1, 1, 1, 1, 1, 1, 1],
+      lambda v, one: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::BIGINT) ELSE v // 2 END)),
+    4294967295::BIGINT)"""
+
+RESAMPLE_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+df AS (SELECT doc_id, unnest(w || [w[i] || ' ' || w[i+1] FOR i IN range(1, len(w))]) AS f FROM d),
+bf AS (SELECT unnest(w || [w[i] || ' ' || w[i+1] FOR i IN range(1, len(w))]) AS f FROM b),
+h AS (SELECT f, {CRC.format("f")} % 10000 AS k FROM (SELECT f FROM df UNION SELECT f FROM bf)),
+s AS (SELECT k, count(*) AS s FROM df JOIN h USING (f) GROUP BY k),
+t AS (SELECT k, count(*) AS t FROM bf JOIN h USING (f) GROUP BY k),
+n AS (SELECT (SELECT count(*) FROM df) AS s, (SELECT count(*) FROM bf) AS t),
+g AS (
+  SELECT k, floor(1000 * ln((coalesce(t.t, 0)::DOUBLE + 1) * (n.s::DOUBLE + 10000)
+    / ((coalesce(s.s, 0)::DOUBLE + 1) * (n.t::DOUBLE + 10000))))::BIGINT AS gain
+  FROM (SELECT DISTINCT k FROM h) LEFT JOIN s USING (k) LEFT JOIN t USING (k) CROSS JOIN n),
+x AS (
+  SELECT doc_id, count(*) AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+  FROM df JOIN h USING (f) JOIN g USING (k) GROUP BY doc_id),
+y AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln(
+      (('0x' || substr(sha256('7:' || doc_id::VARCHAR), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM d LEFT JOIN x USING (doc_id)),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM y WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN rank <= 25 * (SELECT count(*) FROM r) // 100 THEN rank END AS rank
+FROM y LEFT JOIN r USING (doc_id)
+"""
+
+
+@CATALOG.query(RESAMPLE_SQL)
+def op11_importance_resampling(t: Tables):
+    return resample(t.documents, t.benchmark)
+
+
+@CATALOG.query()
+def op12_document_fingerprints(t: Tables):
+    return order_fingerprints(t.documents)
+
+
+TRIE_SQL = rf"""
+WITH RECURSIVE o AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos,
+    coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,
+    CASE WHEN conv_id % 20 = 0 THEN 0 ELSE {CRC.format("conv_id::VARCHAR")} % 4 END AS h FROM o GROUP BY 1),
+p AS (
+  SELECT c.conv_id, 0 AS part, pos, role, text FROM c JOIN o ON o.conv_id = c.base WHERE pos <= h
+  UNION ALL SELECT c.conv_id, 1, pos, role, text FROM c JOIN o USING (conv_id) WHERE pos > h),
+s AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS d, role, text FROM p),
+l AS (SELECT c.conv_id, count(d) AS length FROM c LEFT JOIN s USING (conv_id) GROUP BY 1),
+x AS (
+  SELECT conv_id, 0::BIGINT AS d, '' AS prefix, '' AS text FROM c
+  UNION ALL SELECT conv_id, d, string_agg(len(role) || ':' || role || len(text) || ':' || text, '')
+    OVER (PARTITION BY conv_id ORDER BY d), text FROM s),
+n AS (
+  SELECT prefix, d, min(conv_id) AS r, count(*) AS n_convs,
+    (count(*) - 1) * max(len(regexp_extract_all(text, '[^ 	-]+'))) AS saved,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (d = length), '')) AS ends_sha256
+  FROM x JOIN l USING (conv_id) GROUP BY prefix, d),
+e AS (
+  SELECT DISTINCT n.d, n.r, m.r AS pr FROM x JOIN n ON n.prefix = x.prefix AND n.d = x.d
+  JOIN x y ON y.conv_id = x.conv_id AND y.d = x.d - 1 JOIN n m ON m.prefix = y.prefix AND m.d = y.d),
+k AS (SELECT pr AS r, d - 1 AS d, count(*) AS n_children FROM e GROUP BY 1, 2),
+u AS (
+  SELECT n.r, n.d, n.r AS ur, n.d AS ud FROM n
+  UNION ALL SELECT u.r, u.d, e.pr, u.ud - 1 FROM u JOIN e ON e.r = u.ur AND e.d = u.ud),
+t AS (
+  SELECT ur AS r, ud AS d, count(*) FILTER (k.n_children IS NULL) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM u JOIN n ON n.r = u.r AND n.d = u.d LEFT JOIN k ON k.r = u.r AND k.d = u.d GROUP BY 1, 2)
+SELECT n.r AS conv_id, n.d AS depth, e.pr AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0)::BIGINT AS n_children,
+  t.n_leaves, t.saved_tokens, n.ends_sha256
+FROM n JOIN t ON t.r = n.r AND t.d = n.d LEFT JOIN e ON e.r = n.r AND e.d = n.d LEFT JOIN k ON k.r = n.r AND k.d = n.d
+"""
+
+
+@CATALOG.query(TRIE_SQL)
+def op13_conversation_trie(t: Tables):
+    return prefix_trie(t.conversations)
+
+
 def entries() -> dict[str, Entry]:
     return dict(CATALOG)
