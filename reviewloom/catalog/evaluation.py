@@ -115,14 +115,15 @@ def eval_confusion(t: Tables) -> DataFrame:
     return evaluate.confusion(pairs, CLASSES)
 
 
-@CATALOG.query(
-    """
+COUNTS_SQL = """
 SELECT count(*) AS received, count(*) FILTER (event_type IN ('click', 'purchase')) AS sent,
        count(*) FILTER (event_type IN ('signup', 'view')) AS empty,
        count(*) FILTER (event_type = 'error') AS malformed,
        count(*) FILTER (event_type IN ('click', 'purchase')) > 0 AS new_data
 FROM events
 """
-)
+
+
+@CATALOG.query(COUNTS_SQL)
 def ingest_counts(t: Tables) -> DataFrame:
     return ingest.ingest_counts(ingest.flag_rejects(views.mixed_messages(t)))

@@ -25,8 +25,7 @@ def src_page_payload(t: Tables) -> DataFrame:
     return rows.withColumns({c: F.col(c).try_cast(kind) for c, kind in numbers.items()})
 
 
-@CATALOG.query(
-    """
+PAGES_SQL = """
 WITH pages AS (
   SELECT user_id AS item, event_id AS page,
          CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'purchase' THEN 3 ELSE 0 END AS size
@@ -35,7 +34,9 @@ WITH pages AS (
 stops AS (SELECT item, min(page) AS stop FROM pages WHERE size = 0 GROUP BY item)
 SELECT item, page, size FROM pages LEFT JOIN stops USING (item) WHERE stop IS NULL OR page < stop
 """
-)
+
+
+@CATALOG.query(PAGES_SQL)
 def page_assembly(t: Tables) -> DataFrame:
     pages = ingest.parse_pages(views.with_payload(t.events))
     sized = pages.select("item", "page", F.size("ratings").alias("size"))

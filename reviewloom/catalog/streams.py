@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +12,8 @@ from ..functions import records as r
 from ..operators import ingest
 from ..session import new_folder
 from ..sources import topics
-from ..streaming import jobs
-from . import texts, views
+from ..streaming import counters, delivery, jobs, stateful
+from . import evaluation, sources, texts, views
 from .registry import Catalog, Tables
 
 CATALOG = Catalog()
@@ -128,3 +131,118 @@ def stream_resume(t: Tables) -> DataFrame:
         parsed = stream.select(r.parse(F.col("value"), schema).alias("m")).select("m.*")
         jobs.drain(jobs.to_files(parsed, results, progress, drain=True))
     return t.spark.read.schema(schema).parquet(results)
+
+
+# --- state, counters and order ----------------------------------------------------------
+
+#: Deliveries that the given rows are landed in, each at least one micro-batch.
+DELIVERIES = 3
+
+
+def _delivered(t: Tables, parts: list[DataFrame], run: Callable[[DataFrame], None], schema=None) -> None:
+    """Land the parts one after the other and run what is given on the stream after each."""
+    landing = new_folder(t.spark, "landing")
+    for part in parts:
+        part.write.mode("append").parquet(landing)
+        run(topics.read_landing(t.spark, landing, schema or parts[0].schema, max_files=FILES_PER_BATCH))
+
+
+def _dealt(rows: DataFrame, key: str) -> list[DataFrame]:
+    """The rows in deliveries, by a hash of the key."""
+    at = F.pmod(F.xxhash64(key), F.lit(DELIVERIES))
+    return [rows.filter(at == i) for i in range(DELIVERIES)]
+
+
+@CATALOG.query(evaluation.COUNTS_SQL)
+def stream_counts(t: Tables) -> DataFrame:
+    """Counters observed while batches are written, stored by batch and added up."""
+    results, progress, path = (new_folder(t.spark, x) for x in ("flagged", "progress", "counters"))
+    with counters.RunCounters(t.spark, path) as run:
+
+        def drain(stream: DataFrame) -> None:
+            flagged = counters.observed(ingest.flag_rejects(stream))
+            run.drain(jobs.to_files(flagged.select("event_id", "reason"), results, progress, drain=True))
+
+        _delivered(t, _dealt(views.mixed_messages(t), "event_id"), drain)
+    return counters.totals(t.spark, path)
+
+
+_REPEATED_SQL = """
+SELECT user_id AS item, event_id AS page, event_type, ts FROM events
+"""
+
+
+@CATALOG.query(_REPEATED_SQL)
+def stream_drop_repeats(t: Tables) -> DataFrame:
+    """Each poll delivers again what the polls before have delivered; each record stays once."""
+    stateful.state_on_disk(t.spark)
+    rows = t.events.select(
+        F.col("user_id").alias("item"), F.col("event_id").alias("page"), "event_type", F.col("ts").cast("timestamp").alias("ts")
+    )
+    parts = _dealt(rows, "page")
+    polls = [reduce(DataFrame.unionByName, parts[: i + 1]) for i in range(len(parts))]
+    results, progress = new_folder(t.spark, "once"), new_folder(t.spark, "progress")
+
+    def drain(stream: DataFrame) -> None:
+        # the polls repeat records of the whole span of the table
+        once = stateful.drop_repeats(stream, "ts", "1000 days", ("item", "page"))
+        jobs.drain(jobs.to_files(once, results, progress, drain=True))
+
+    _delivered(t, polls, drain)
+    return t.spark.read.parquet(results).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@CATALOG.query(sources.PAGES_SQL)
+def stream_page_assembly(t: Tables) -> DataFrame:
+    """Pages that arrive in any order, over several batches, give the lists of one batch run."""
+    stateful.state_on_disk(t.spark)
+    pages = ingest.parse_pages(views.with_payload(t.events))
+    sized = pages.select("item", "page", F.size("ratings").alias("size"))
+    results, progress = new_folder(t.spark, "pages"), new_folder(t.spark, "progress")
+
+    def drain(stream: DataFrame) -> None:
+        pruned = stateful.prune_pages(stream, "item", "page", "size")
+        jobs.drain(jobs.to_files(pruned, results, progress, drain=True))
+
+    _delivered(t, _dealt(sized, "page"), drain)
+    return ingest.assemble_pages(t.spark.read.parquet(results), "item", "page", "size")
+
+
+@CATALOG.query(
+    """
+SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq FROM events
+"""
+)
+def sink_keyed_order(t: Tables) -> DataFrame:
+    """Messages numbered within their key, batch after batch."""
+    rows = t.events.select("user_id", "event_id", "ts")
+    # deliveries follow the time, as a topic's partitions do
+    cuts = [F.lit("2024-01-10").cast("date"), F.lit("2024-01-20").cast("date")]
+    parts = [
+        rows.filter(F.col("ts") < cuts[0]),
+        rows.filter((F.col("ts") >= cuts[0]) & (F.col("ts") < cuts[1])),
+        rows.filter(F.col("ts") >= cuts[1]),
+    ]
+    results, progress = new_folder(t.spark, "ordered"), new_folder(t.spark, "progress")
+    handle = delivery.append_in_order(results, "user_id", ("ts", "event_id"))
+    _delivered(t, parts, lambda stream: jobs.drain(jobs.each_batch(stream, handle, progress, drain=True)))
+    return t.spark.read.parquet(results).select("user_id", "event_id", "seq")
+
+
+@CATALOG.query("SELECT event_id, event_type FROM events")
+def stream_restart(t: Tables) -> DataFrame:
+    """Each delivery's batch fails once between its write and its commit; each message once."""
+    results, progress = new_folder(t.spark, "restarted"), new_folder(t.spark, "progress")
+    store, failed = jobs.append_batches(results), set()
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        store(batch, batch_id)
+        if batch_id not in failed:
+            failed.add(batch_id)
+            raise RuntimeError("the batch is written and not committed")
+
+    def drain(stream: DataFrame) -> None:
+        delivery.supervise(lambda: jobs.each_batch(stream, handle, progress, drain=True), sleep=lambda _: None)
+
+    _delivered(t, _dealt(t.events.select("event_id", "event_type"), "event_id"), drain)
+    return t.spark.read.parquet(results).drop("batch_id")
