@@ -29,14 +29,13 @@ _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))[_LOWER]
 _PLACE = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+def _factors(n: int) -> np.ndarray:
+    """A factor for each place in a word. They follow no rule that texts could follow, as
+    the powers of a number do, so unlike words have unlike sums however long they are."""
+    return mix(np.arange(1 << 32, (1 << 32) + n, dtype=np.uint64)) | np.uint64(1)
 
 
-_POWER = _powers(_BASE, SLICE + 1)
-_UNPOWER = _powers(pow(_BASE, -1, 1 << 64), SLICE + 1)
+_FACTOR = _factors(SLICE + 1)
 
 
 def _slices(raw: bytes):
@@ -61,13 +60,17 @@ def _bounds(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _of_slice(raw: bytes, bounds: tuple | None = None) -> np.ndarray:
     data, start, end = bounds or _bounds(raw)
-    power, unpower = _POWER, _UNPOWER
-    if len(data) >= len(power):
-        power, unpower = _powers(_BASE, len(data) + 1), _powers(pow(_BASE, -1, 1 << 64), len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[data] * power[: len(data)], out=total[1:])
-    word = (total[end] - total[start]) * unpower[start]
-    return mix(word + (end - start).astype(np.uint64))
+    length = end - start
+    if not len(length):
+        return np.zeros(0, dtype=np.uint64)
+    longest = int(length.max())
+    factor = _FACTOR if longest <= len(_FACTOR) else _factors(longest)
+    # the bytes of the words, one word after the other, and each one's place in its word
+    ends = np.cumsum(length)
+    place = np.arange(ends[-1]) - np.repeat(ends - length, length)
+    inside = data[place + np.repeat(start, length)]
+    word = np.add.reduceat(_BYTE[inside] * factor[place], ends - length)
+    return mix(word + length.astype(np.uint64))
 
 
 def word_hashes(raw: bytes) -> np.ndarray:

@@ -1,24 +1,24 @@
-"""Near duplicates: a Jaccard self-join of word n-gram sets over a count-vector R-tree.
+"""Near duplicates: a Jaccard self-join of word n-gram sets over count-vector R-trees.
 
 A text's tokens are its distinct runs of five words, as 64-bit hashes. Tokens are hashed
-into groups; the number of tokens in each group is the text's point. For two sets the sum
-of the coordinate minima bounds the size of their intersection from above, for a point
-and a box the minima with the box's upper corner do. Boxes and points that cannot reach
-the needed intersection are left out, the rest is verified on the sets themselves.
-
-The tree's upper levels are cut so that Spark can spread them. A fine hash, one group for
-each token, gives sparse points, and two linked sets must both be non-zero in one of the
-first coordinates of either: with all tokens in one fixed order, those of the texts'
-first quarter. Those coordinates are the cells; a cell holds the texts that are non-zero
-there. The order puts tokens of sparsely filled groups first, by counts of all tokens of
-all texts in 2^20 groups, so that passages found in many texts make few cells. Inside a
-cell, texts are points of 64 coarse groups in a packed R-tree.
-
-Work on large groups of copies stays in proportion. Equal sets are one vertex. Then each
-vertex is verified against one partner, the first text of the cells they share, and what
-is linked becomes a component. The trees are searched only for links between different
-components, as links inside one change nothing, and cells with the same texts are
-searched once.
+into groups; the number of tokens in each group is the text's point. The sum of coordinate
+minima of two points bounds the size of the intersection, and that of a point with a node's
+upper corner bounds it for all that is below the node. Packed trees are searched from the
+root down, and what is left is verified on the sets (``rtree``).
+
+A tree over all texts would be one task's, so texts are dealt to regions first. In one
+order of all tokens, two linked texts share one of the first quarter of either's tokens;
+tokens that many texts hold come last in it, by counts of all tokens of all texts in 2^20
+groups. The texts with a token among their first form a cell, each cell goes to the region of
+one of its texts, the hub, and a region's texts are searched once, in however many of its cells
+they are. Equal sets are one class, named by a 64-bit hash that is checked to be unique.
+
+Large groups of copies stay in proportion. Before the search each class is verified against
+two hubs of its cells, and what is linked becomes one component; cells of a single component
+are done with. In a region's search two sets of one component are not compared, a link joins
+their components at once, and so a task hands on fewer links than it has components. A region
+that is too large for one task is cut into blocks, by component first, and pairs of blocks are
+searched, except those of one component with itself.
 
 Defined results: a null, empty or blank text has no tokens, size 0 and no links; a text of
 fewer words than five is one token; rows with one id stand for one document, which has
@@ -33,36 +33,45 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
 from .hashing import mix, shingle_sets
-from .rtree import GROUPS, bound, pairs_within, point
+from .rtree import links as tree_links
 from .scratch import Scratch, bounded_batches
 
 SHINGLE = 5
 #: Groups whose counts order the tokens; a fixed number, so their table is small anywhere.
 ORDER_GROUPS = 1 << 20
 ORDER_SLICES = 64
-#: Times that each text is held against one partner before the trees are searched.
+#: Bits of the filter of shared tokens; a fixed number, beyond which more rows pass it that
+#: the join behind it drops.
+FILTER_BITS = 26
+FILTER_SLICES = 64
+#: Hubs that each class is held against before the search.
 STAR_TURNS = 2
-#: Texts of a cell that one task searches; more are dealt over pairs of blocks.
-BLOCK = 512
-#: Texts with a token, by its group's count, above which its cell is dealt out.
-HOT = 50_000
-#: Ids below this number are broadcast when texts are fetched again, others are joined.
-FEW_IDS = 2_000_000
+#: Sets, and tokens of sets, of a block of a region.
+BLOCK = 1024
+BLOCK_TOKENS = 2_000_000
 
 
 def _columns(batch: pa.RecordBatch) -> tuple[pa.Array, list[bytes | None]]:
     return batch.column(0), batch.column(1).cast(pa.binary()).to_pylist()
 
 
-def _signatures(size: int):
+def _name(tokens: np.ndarray, seed: int) -> int:
+    """The class of a set, as a signed number."""
+    with np.errstate(over="ignore"):
+        salted = mix(tokens + np.uint64(0x9E3779B97F4A7C15 * (2 * seed + 1) % (1 << 64)))
+        name = mix(np.array([salted.sum(dtype=np.uint64)], dtype=np.uint64))
+    return int(name.view(np.int64)[0])
+
+
+def _signatures(size: int, seed: int):
     """(id, text) to a row for each text, and the group counts of the task in slices."""
     schema = pa.schema(
-        [("id", pa.int64()), ("n", pa.int64()), ("sig_a", pa.int64()), ("sig_b", pa.int64()),
+        [("id", pa.int64()), ("n", pa.int64()), ("c", pa.int64()), ("sig", pa.int64()),
          ("slice", pa.int32()), ("counts", pa.binary())]
     )
 
@@ -76,11 +85,10 @@ def _signatures(size: int):
                 (tokens >> np.uint64(44)).astype(np.int64), minlength=ORDER_GROUPS
             ).astype(np.uint32)
             n = len(sets)
-            sums = [[int(x) for x in (np.bitwise_xor.reduce(s), mix(s).sum(dtype=np.uint64))] for s in sets]
-            as_int = np.array(sums, dtype=np.uint64).reshape(n, 2).view(np.int64)
+            xors = np.array([np.bitwise_xor.reduce(s) for s in sets], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [ids.cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array(as_int[:, 0]), pa.array(as_int[:, 1]),
+                 pa.array([_name(s, seed) for s in sets], pa.int64()), pa.array(xors.view(np.int64)),
                  pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
                 schema=schema,
             )
@@ -88,7 +96,7 @@ def _signatures(size: int):
         full = [i for i in range(ORDER_SLICES) if parts[i].any()]
         k = len(full)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(k, pa.int64()), *[pa.nulls(k, pa.int64())] * 3, pa.array(full, pa.int32()),
+            [*[pa.nulls(k, pa.int64())] * 4, pa.array(full, pa.int32()),
              pa.array([zlib.compress(parts[i].tobytes(), 1) for i in full], pa.binary())],
             schema=schema,
         )
@@ -125,150 +133,200 @@ def _levels(table: DataFrame) -> bytes:
     return out.tobytes()
 
 
-def prefix_lengths(n: int, numerator: int, denominator: int) -> tuple[int, int]:
-    """Tokens, first in the common order, that a set of n must look up against sets of its
-    size or less, and that it must offer to sets of its size or more.
+def prefix_length(n: int, numerator: int, denominator: int) -> int:
+    """Tokens, first in the common order, of which one is shared with each set that is linked.
 
-    With the similarity a/b, an intersection with a set of at most n tokens is at least
-    n*a/b, one with a set of at least n tokens at least 2n*a/(a+b); n minus that plus one
-    tokens cannot all be missing from it.
+    With the similarity a/b an intersection is at least n*a/b, so n minus that plus one tokens
+    cannot all be missing from it.
     """
-    look_up = n - -(-n * numerator // denominator) + 1
-    offer = n - -(-2 * n * numerator // (numerator + denominator)) + 1
-    return look_up, offer
+    return n - -(-n * numerator // denominator) + 1
 
 
-def _cells(size: int, numerator: int, denominator: int, levels):
-    schema = pa.schema(
-        [("h", pa.int64()), ("id", pa.int64()), ("n", pa.int32()), ("offered", pa.bool_()),
-         ("salt", pa.int16())]
-    )
+def _first_tokens(tokens: np.ndarray, level: np.ndarray, numerator: int, denominator: int) -> np.ndarray:
+    own = level[(tokens >> np.uint64(44)).astype(np.int64)]
+    # by level, then by the token itself; tokens are sorted already
+    return tokens[np.argsort(own, kind="stable")[: prefix_length(len(tokens), numerator, denominator)]]
+
+
+def _cells(size: int, seed: int, numerator: int, denominator: int, levels):
+    """(id, text) to (h, c): the first tokens of each class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = np.frombuffer(levels.value, dtype=np.uint8)
         for batch in batches:
             ids, texts = _columns(batch)
-            kept, own_ids, own_sizes, offers = [], [], [], []
+            first, names = [], []
             for i, tokens in zip(ids.to_pylist(), shingle_sets(texts, size), strict=True):
-                n = len(tokens)
-                if not n or i is None:
-                    continue
-                look_up, offer = prefix_lengths(n, numerator, denominator)
-                own = level[(tokens >> np.uint64(44)).astype(np.int64)]
-                # by level, then by the token itself; tokens are sorted already
-                kept.append(tokens[np.argsort(own, kind="stable")[:look_up]])
-                own_ids.append(i)
-                own_sizes.append(n)
-                offers.append(offer)
-            if not kept:
-                continue
-            lengths = np.array([len(x) for x in kept])
-            tokens = np.concatenate(kept)
-            place = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            holders = np.repeat(np.array(own_ids, dtype=np.int64), lengths)
-            estimate = np.exp2(level[(tokens >> np.uint64(44)).astype(np.int64)] / 8.0)
-            spread = np.minimum(estimate // HOT + 1, 1000).astype(np.uint64)
-            salt = np.where(spread > 1, (mix(holders.view(np.uint64)) % spread).astype(np.int16) + 1, 0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(tokens.view(np.int64)), pa.array(holders),
-                 pa.array(np.repeat(np.array(own_sizes, dtype=np.int32), lengths)),
-                 pa.array(place < np.repeat(np.array(offers), lengths)),
-                 pa.array(salt.astype(np.int16))],
-                schema=schema,
-            )
+                if len(tokens) and i is not None:
+                    first.append(_first_tokens(tokens, level, numerator, denominator))
+                    names.append(_name(tokens, seed))
+            if first:
+                holders = np.repeat(np.array(names, dtype=np.int64), [len(x) for x in first])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(first).view(np.int64)), pa.array(holders)], names=["h", "c"]
+                )
 
     return run
 
 
-def _sets(size: int):
-    """(id, text) to (c, tokens)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, texts = _columns(batch)
-            sets = [s.view(np.int64) for s in shingle_sets(texts, size)]
-            yield pa.RecordBatch.from_arrays(
-                [ids.cast(pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["c", "tokens"]
-            )
-
-    return run
+_PART = 1 << (FILTER_BITS - 6)
 
 
-def _points(size: int):
-    """(id, text) to (c, point)."""
+def _filter_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bits of tokens, in slices by their first bits."""
+    bits: dict[int, np.ndarray] = {}
+    for batch in batches:
+        at = batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)
+        for part in np.unique(at // np.uint64(_PART)).tolist():
+            own = at[at // np.uint64(_PART) == part] % np.uint64(_PART)
+            held = bits.setdefault(int(part), np.zeros(_PART, dtype=bool))
+            held[own.astype(np.int64)] = True
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(bits), pa.int32()),
+         pa.array([zlib.compress(np.packbits(x).tobytes(), 1) for x in bits.values()], pa.binary())],
+        names=["slice", "bits"],
+    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, texts = _columns(batch)
-            points = [point(s).tobytes() for s in shingle_sets(texts, size)]
-            yield pa.RecordBatch.from_arrays(
-                [ids.cast(pa.int64()), pa.array(points, pa.binary())], names=["c", "point"]
-            )
 
-    return run
+def _token_filter(tokens: DataFrame) -> bytes:
+    """A table of bits that holds the one of each token (h); its size does not grow."""
+    part = F.shiftrightunsigned("h", 58)
+    rows = tokens.repartition(FILTER_SLICES, part).mapInArrow(_filter_slices, "slice int, bits binary").collect()
+    out = np.zeros((FILTER_SLICES, _PART // 8), dtype=np.uint8)
+    for row in rows:
+        out[row["slice"]] |= np.frombuffer(zlib.decompress(row["bits"]), dtype=np.uint8)
+    return out.tobytes()
 
 
-def _bounded(numerator: int, denominator: int):
-    """Of pairs with both points, those whose bound reaches the needed intersection."""
+def _near_sets(size: int, seed: int, numerator: int, denominator: int, levels, bits):
+    """(id, text) to (c, n, tokens, first): texts with a first token that may be shared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level = np.frombuffer(levels.value, dtype=np.uint8)
+        shared = np.unpackbits(np.frombuffer(bits.value, dtype=np.uint8)).view(bool)
         for batch in batches:
-            one, two = (
-                np.frombuffer(b"".join(batch.column(x).to_pylist()), dtype=np.uint16).reshape(-1, GROUPS)
-                for x in ("pa", "pb")
+            ids, texts = _columns(batch)
+            rows = []
+            for i, tokens in zip(ids.to_pylist(), shingle_sets(texts, size), strict=True):
+                if not len(tokens) or i is None:
+                    continue
+                first = _first_tokens(tokens, level, numerator, denominator)
+                first = first[shared[(first >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]]
+                if len(first):
+                    rows.append((_name(tokens, seed), len(tokens), tokens.view(np.int64), first.view(np.int64)))
+            columns = list(zip(*rows, strict=True)) or [[], [], [], []]
+            types = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=["c", "n", "tokens", "first"]
             )
-            n = batch.column("n").to_numpy()
-            fits = bound(one, two) * (numerator + denominator) >= numerator * n
-            yield batch.select(["a", "b"]).filter(pa.array(fits))
 
     return run
 
 
 def _search(numerator: int, denominator: int):
-    """Some cells, or two blocks of one: packed trees, searched for what may be linked."""
+    """Some regions, or two blocks of one: their trees, searched for links of components."""
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("h")
-        points = np.frombuffer(b"".join(table["point"].to_pylist()), dtype=np.uint16)
-        points = points.reshape(-1, GROUPS)
-        h, c, n, comp, side, offered = (
-            table[x].to_numpy() for x in ("h", "c", "n", "comp", "side", "offered")
-        )
-        starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        found_a, found_b = [], []
-        for lo, hi in zip(starts, [*starts[1:], len(h)], strict=True):
-            own = slice(lo, hi)
-            a, b = pairs_within(
-                points[own], n[own], comp[own], side[own], offered[own], numerator, denominator
+        table = table.sort_by([("region", "ascending"), ("comp", "ascending"), ("c", "ascending")])
+        region, c, comp, side = (table[x].to_numpy() for x in ("region", "c", "comp", "side"))
+        listed = table["tokens"].combine_chunks()
+        tokens = listed.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        starts = np.concatenate([[0], np.cumsum(listed.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+        cuts = np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1], [True]]))
+        out = []
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            own = starts[lo : hi + 1]
+            found = tree_links(
+                tokens[own[0] : own[-1]], own - own[0], comp[lo:hi], side[lo:hi], numerator, denominator
             )
-            found_a.append(c[own][a])
-            found_b.append(c[own][b])
-        a, b = np.concatenate(found_a), np.concatenate(found_b)
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-        return pa.table({"a": pairs[0], "b": pairs[1]})
+            out += [(int(c[lo + a]), int(c[lo + b])) for a, b in found]
+        a, b = zip(*out, strict=True) if out else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
 
-def _renamed(links: DataFrame, reached: DataFrame) -> DataFrame:
-    """Links between the components of their ends."""
-    return (
-        links.join(reached.toDF("a", "of_a"), "a", "left")
-        .join(reached.toDF("b", "of_b"), "b", "left")
+def _joined(found: DataFrame, moved: DataFrame | None, scratch: Scratch) -> DataFrame | None:
+    """The components (v, component) after more links between classes, of which earlier
+    ones are in ``moved``."""
+    if moved is None:
+        return components(found, scratch)
+    renamed = (
+        found.join(moved.toDF("a", "of_a"), "a", "left").join(moved.toDF("b", "of_b"), "b", "left")
         .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
     )
+    more = components(renamed, scratch)
+    again = moved.join(more.toDF("component", "to"), "component", "left").select(
+        "v", F.coalesce("to", "component").alias("component")
+    )
+    return scratch.put(again.union(more.join(moved.select("v"), "v", "left_anti")))
 
 
-def _moved(reached: DataFrame, moved: DataFrame, member: DataFrame, scratch: Scratch) -> DataFrame:
-    """The component of each text after components have joined (``moved``)."""
-    known = (
-        member.select("c").distinct().join(reached, "c", "full")
-        .select("c", F.coalesce("comp", "c").alias("comp"))
+def _regions(live: DataFrame, scratch: Scratch) -> DataFrame:
+    """The classes of live cells (h, c, n, comp), once for each search they take part in:
+    (g, i, j, region, c, comp, side); tasks are groups of (g, i, j)."""
+    by = lambda c: F.struct(F.xxhash64(c, F.lit(7)).alias("x"), F.col(c).alias("c"))
+    hubs = live.groupBy("h").agg(F.min(by("c")).getField("c").alias("region"))
+    dealt = scratch.put(
+        live.join(hubs, "h").groupBy("region", "c").agg(F.first("n").alias("n"), F.first("comp").alias("comp"))
+    )
+    of_comp = dealt.groupBy("region", "comp").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("tokens"))
+    blocks = F.greatest(F.ceil(F.col("k") / BLOCK), F.ceil(F.col("tokens") / BLOCK_TOKENS))
+    of_comp = of_comp.withColumn("own", blocks.cast("int"))
+    large = F.col("own") > 1
+    rest = F.greatest(
+        F.ceil(F.sum(F.when(~large, F.col("k"))) / BLOCK), F.ceil(F.sum(F.when(~large, F.col("tokens"))) / BLOCK_TOKENS)
     )
-    return scratch.put(
-        known.join(moved, F.col("comp") == F.col("v"), "left")
-        .select("c", F.coalesce("component", "comp").alias("comp"))
+    of_region = of_comp.groupBy("region").agg(
+        F.count(F.lit(1)).alias("n_comps"), F.coalesce(rest, F.lit(0)).cast("int").alias("rest"), F.max("own").alias("most")
     )
+    # a region of one component has nothing left to find
+    of_region = scratch.put(of_region.filter("n_comps > 1"))
+    whole = (F.col("most") <= 1) & (F.col("rest") <= 1)
+    groups = max(1, dealt.count() // (4 * BLOCK))
+    small = dealt.join(of_region.filter(whole).select("region"), "region").select(
+        F.pmod(F.xxhash64("region"), F.lit(groups)).alias("g"), F.lit(-1).alias("i"), F.lit(-1).alias("j"),
+        "region", "c", "comp", F.lit(0).alias("side"),
+    )
+    cut = of_comp.join(of_region.filter(~whole).select("region", "rest"), "region")
+    # blocks are numbered: those of small components first, then those of each large one
+    sizes = cut.filter(large).select("region", "comp", "own")
+    numbers = sizes.groupBy("region").agg(F.sort_array(F.collect_list(F.struct("comp", "own"))).alias("list"))
+    firsts = numbers.select(
+        "region",
+        F.explode(
+            F.transform(
+                "list",
+                lambda x, i: F.struct(
+                    x["comp"].alias("comp"), x["own"].alias("own"),
+                    F.aggregate(F.slice("list", 1, i), F.lit(0), lambda s, y: s + y["own"]).alias("before"),
+                ),
+            )
+        ).alias("x"),
+    ).select("region", "x.*")
+    totals = cut.groupBy("region").agg(
+        F.max("rest").alias("rest"), (F.max("rest") + F.coalesce(F.sum(F.when(large, F.col("own"))), F.lit(0))).alias("blocks")
+    )
+    placed = (
+        dealt.join(totals, "region").join(firsts, ["region", "comp"], "left")
+        .withColumn(
+            "block",
+            F.when(F.col("own").isNull(), F.pmod(F.xxhash64("comp"), F.col("rest")))
+            .otherwise(F.col("rest") + F.col("before") + F.pmod(F.xxhash64("c"), F.col("own"))).cast("int"),
+        )
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
+        # blocks of one large component have nothing to find among themselves
+        .filter(
+            F.col("own").isNull() | (F.col("other") < F.col("rest") + F.col("before"))
+            | (F.col("other") >= F.col("rest") + F.col("before") + F.col("own"))
+        )
+        .select(
+            F.col("region").alias("g"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+            "region", "c", "comp",
+            F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2).alias("side"),
+        )
+    )
+    return small.union(placed)
 
 
 def ngram_join(
@@ -289,148 +347,85 @@ def ngram_join(
     num, den = similarity
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
-    found = scratch.put(
-        texts.mapInArrow(
-            _signatures(size),
-            "id long, n long, sig_a long, sig_b long, slice int, counts binary",
+    seed = 0
+    while True:
+        found = scratch.put(
+            texts.mapInArrow(_signatures(size, seed), "id long, n long, c long, sig long, slice int, counts binary")
         )
-    )
+        rows = found.filter("slice is null").select("id", "n", "c", "sig")
+        names = rows.filter("n > 0").groupBy("c").agg(
+            *[f(x).alias(f"{f.__name__}_{x}") for x in ("n", "sig") for f in (F.min, F.max)]
+        )
+        if names.filter("min_n <> max_n or min_sig <> max_sig").isEmpty():
+            break
+        # two sets under one name: other names
+        scratch.drop(found)
+        seed += 1
     levels = spark.sparkContext.broadcast(_levels(found))
-    rows = found.filter("slice is null").select("id", "n", "sig_a", "sig_b")
-    with_tokens = rows.filter("n > 0 and id is not null")
-    classes = with_tokens.groupBy("sig_a", "sig_b", "n").agg(F.min("id").alias("c"))
-    named = scratch.put(
-        with_tokens.join(classes, ["sig_a", "sig_b", "n"]).select("id", "c").distinct()
-    )
+    known = rows.filter("n > 0 and id is not null")
 
-    own_cell = Window.partitionBy("h", "salt")
-    cells = scratch.put(
+    shared = scratch.put(
+        texts.mapInArrow(_cells(size, seed, num, den, levels), "h long, c long")
+        .groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("h")
+    )
+    bits = spark.sparkContext.broadcast(_token_filter(shared))
+    near = scratch.put(
         texts.mapInArrow(
-            _cells(size, num, den, levels), "h long, id long, n int, offered boolean, salt short"
+            _near_sets(size, seed, num, den, levels, bits), "c long, n int, tokens array<long>, first array<long>"
         )
-        .withColumn("k", F.count(F.lit(1)).over(own_cell))
-        .filter("k > 1 or salt > 0")
-        .drop("k", "salt")
     )
-    in_cells = (
-        cells.join(named, "id")
-        .groupBy("h", "c")
-        .agg(F.max("n").alias("n"), F.max("offered").alias("offered"))
+    member = scratch.put(
+        near.select(F.explode("first").alias("h"), "c", "n").join(shared, "h")
+        .groupBy("h", "c").agg(F.first("n").alias("n")).withColumn("comp", F.col("c"))
     )
-    in_cells = scratch.put(in_cells)
-    scratch.drop(cells)
-    shared = in_cells.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("h")
-    member = scratch.put(in_cells.join(shared, "h").withColumn("comp", F.col("c")))
-    scratch.drop(in_cells)
-
-    def fetched(ids: DataFrame, make, columns: str) -> DataFrame:
-        """What ``make`` gives for the texts of the ids (c)."""
-        ids = scratch.put(ids.distinct())
-        few = ids.count() <= FEW_IDS
-        return scratch.put(
-            texts.join(F.broadcast(ids) if few else ids, F.col("id") == F.col("c"), "left_semi")
-            .mapInArrow(make, columns)
-            .dropDuplicates(["c"])
-        )
+    sets = scratch.put(
+        near.select("c", "tokens").join(member.select("c").distinct(), "c", "left_semi").dropDuplicates(["c"])
+    )
+    scratch.drop(near, shared)
 
-    points = fetched(member.select("c"), _points(size), "c long, point binary")
+    # the texts of one id are one document
+    same = known.groupBy("id").agg(F.min("c").alias("a"), F.max("c").alias("b")).filter("a <> b").select("id", "a")
+    moved = _joined(known.join(same, "id").filter("a <> c").select("a", F.col("c").alias("b")), None, scratch)
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Pairs whose sets reach the similarity: den*I >= num*U, with U = na + nb - I."""
-        sets = fetched(
-            pairs.select(F.col("a").alias("c")).union(pairs.select("b")), _sets(size), "c long, tokens array<long>"
-        )
-        both = F.size(F.array_intersect("ta", "tb"))
-        return (
-            pairs.join(sets.toDF("a", "ta"), "a").join(sets.toDF("b", "tb"), "b")
-            .filter(both * (num + den) >= num * (F.size("ta") + F.size("tb")))
-            .select("a", "b")
-        )
+    def with_components(cells: DataFrame) -> DataFrame:
+        """The cells that still hold several components."""
+        named = cells.drop("comp").join(moved.toDF("c", "comp"), "c", "left").withColumn("comp", F.coalesce("comp", "c"))
+        several = named.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+        return scratch.put(named.join(several.select("h"), "h").select("h", "c", "n", "comp"))
 
-    # First each text against one partner: the text that comes first, in an order that
-    # changes, in most of its cells. What is linked becomes one component.
-    reached = None
+    # First each class against one text: of the first in its cells, in an order that changes,
+    # the one that is first in most of them.
     for turn in range(STAR_TURNS):
         order = [F.col("n")] if not turn else [F.xxhash64("c", F.lit(turn))]
-        hubs = member.groupBy("h").agg(
-            F.min(F.struct(*[x.alias("first") for x in order], "n", "c", "comp")).alias("hub")
-        )
-        stars = (
+        hubs = member.groupBy("h").agg(F.min(F.struct(*[x.alias("x") for x in order], "n", "c", "comp")).alias("hub"))
+        stars = scratch.put(
             member.join(hubs, "h")
-            .filter(
-                f"comp <> hub.comp and least(n, hub.n) * {den} >= greatest(n, hub.n) * {num}"
-            )
-            .groupBy("c", "hub.c", "n", "hub.n").agg(F.count(F.lit(1)).alias("k"))
-            .toDF("b", "a", "nb", "na", "k")
-            .groupBy("b").agg(F.max(F.struct("k", "a", (F.col("na") + F.col("nb")).alias("n"))).alias("best"))
-            .select("best.a", "b", "best.n")
-            .join(points.toDF("a", "pa"), "a").join(points.toDF("b", "pb"), "b")
-            .select("a", "b", "n", "pa", "pb")
-            .mapInArrow(_bounded(num, den), "a long, b long")
-        )
-        links = verified(scratch.put(stars))
-        if not turn:
-            rows_of = named.groupBy("id").agg(F.min("c").alias("a"), F.max("c").alias("b"))
-            links = links.union(rows_of.filter("a <> b").select("a", "b"))
-            moved = components(links, scratch)
-            reached = moved.toDF("c", "comp")
-        else:
-            moved = components(_renamed(links, reached), scratch)
-            reached = _moved(reached, moved, member, scratch)
-        old = member
-        member = scratch.put(
-            member.drop("comp").join(reached, "c", "left")
-            .select("h", "c", "n", "offered", F.coalesce("comp", "c").alias("comp"))
-        )
-        scratch.drop(old)
-
-    # Then the trees, for links between components.
-    key = F.struct(F.bit_xor(F.xxhash64("c")), F.bit_xor(F.xxhash64("c", F.lit(1))), F.count(F.lit(1)))
-    live = scratch.put(
-        member.groupBy("h")
-        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), key.alias("texts"))
-        .filter("lo <> hi")
-        .select("h", "texts")
-    )
-    cell = live.groupBy("texts").agg(F.min("h").alias("cell"))
-    once = (
-        member.join(live, "h").join(cell, "texts")
-        .groupBy("cell", "c")
-        .agg(
-            F.first("n").alias("n"), F.first("comp").alias("comp"), F.max("offered").alias("offered"),
-            F.first("texts.col3").alias("k"),
+            .filter(f"comp <> hub.comp and least(n, hub.n) * {den} >= greatest(n, hub.n) * {num}")
+            .groupBy("c", F.col("hub.c").alias("a")).agg(F.count(F.lit(1)).alias("k"))
+            .groupBy(F.col("c").alias("b")).agg(F.max_by("a", F.struct("k", "a")).alias("a"))
         )
-    )
-    once = scratch.put(once)
-    groups = max(1, once.count() // (4 * BLOCK))
-    blocks = F.ceil(F.col("k") / BLOCK).cast("int")
-    dealt = (
-        once.withColumn("blocks", blocks)
-        .withColumn("own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-        .select(
-            F.col("cell").alias("h"), "c", "n", "offered", "comp",
-            # small cells are searched many at a time
-            F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cell"), F.lit(groups))).otherwise(F.col("cell")).alias("g"),
-            F.when(F.col("blocks") == 1, -1).otherwise(F.least("own", "other")).alias("i"),
-            F.greatest("own", "other").alias("j"),
-            F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"),
+        held = sets.toDF("a", "ta"), sets.toDF("b", "tb")
+        linked = (
+            stars.join(held[1], "b").join(held[0], "a")
+            .filter(F.size(F.array_intersect("ta", "tb")) * (num + den) >= num * (F.size("ta") + F.size("tb")))
+            .select("a", "b")
         )
-        .join(points, "c")
-    )
-    candidates = scratch.put(
-        dealt.groupBy("g", "i", "j").applyInArrow(_search(num, den), "a long, b long").distinct()
-    )
-    second = components(_renamed(verified(candidates), reached), scratch)
-    final = (
-        named.groupBy("id").agg(F.min("c").alias("c"))
-        .join(reached, "c", "left")
-        .select(F.col("id").alias("own_id"), F.coalesce("comp", "c").alias("in_first"))
-        .join(second, F.col("in_first") == F.col("v"), "left")
-        .select("own_id", F.coalesce("component", "in_first").alias("component"))
+        moved = _joined(linked, moved, scratch)
+        old, member = member, with_components(member)
+        scratch.drop(old, stars)
+
+    dealt = scratch.put(_regions(member, scratch))
+    linked = (
+        dealt.join(sets, "c").groupBy("g", "i", "j").applyInArrow(_search(num, den), "a long, b long")
     )
-    return rows.join(final, F.col("id") == F.col("own_id"), "left").select(
+    moved = _joined(linked, moved, scratch)
+    scratch.drop(member, dealt, sets)
+
+    least = known.groupBy("c").agg(F.min("id").alias("least")).join(moved.toDF("c", "comp"), "c", "left")
+    least = scratch.put(least.withColumn("comp", F.coalesce("comp", "c")))
+    named = least.join(least.groupBy("comp").agg(F.min("least").alias("component")), "comp").select("c", "component")
+    return rows.join(named, "c", "left").select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
-        F.coalesce("component", "id").alias("component_id"),
+        F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id")).alias("component_id"),
     )

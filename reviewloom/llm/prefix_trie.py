@@ -302,11 +302,11 @@ def prefix_trie(
         nodes.drop("p1", "p2").join(children, ["r", "d"], "left").fillna(0, ["n_children"])
         .withColumn("v1", (F.col("n_children") == 0).cast("long"))
     )
-    top = nodes.filter("d = 0").select(F.col("r").alias("tr"), F.col("d").alias("td"))
-    sums = centroid_rollup(
-        # one row, the root
-        nodes.select("r", "d", "pr", "m", "v1", "v2").join(F.broadcast(top)), paths, scratch, together
+    root = nodes.filter("d = 0").first()
+    forest = nodes.select("r", "d", "pr", "m", "v1", "v2").withColumns(
+        {"tr": F.lit(root["r"] if root else None).cast("long"), "td": F.lit(0).cast("long")}
     )
+    sums = centroid_rollup(forest, paths, scratch, together)
     return (
         nodes.join(sums, ["r", "d"]).join(_end_hashes(paths), ["r", "d"], "left")
         .select(

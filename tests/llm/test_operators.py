@@ -16,12 +16,15 @@ from reviewloom.llm.chat import format_chats
 from reviewloom.llm.components import components
 from reviewloom.llm.decontaminate import decontaminate, proximity_matches
 from reviewloom.llm.exact_dedup import exact_dedup
+from reviewloom.llm.hashing import shingle_sets
 from reviewloom.llm.language import identify_language
 from reviewloom.llm.licenses import scan_licenses
 from reviewloom.llm.mixing import mix_sources
+from reviewloom.llm import ngram_join as ngram_module
 from reviewloom.llm.ngram_join import ngram_join
 from reviewloom.llm.privacy import digest, find_personal_data, sanitise
-from reviewloom.llm.rtree import GROUPS, pairs_within
+from reviewloom.llm.rtree import Tree
+from reviewloom.llm.rtree import links as tree_links
 from reviewloom.llm.scratch import Scratch
 from reviewloom.llm.token_counts import BYTE, WORD_MARK, ForwardTrie, count_tokens
 from reviewloom.llm.url_filter import filter_urls
@@ -97,22 +100,114 @@ def test_ngram_join(spark):
     assert got == {i: (len(s), group[i]) for i, s in enumerate(sets)}
 
 
-def test_tree_finds_all_pairs_that_the_bound_allows():
-    rng = np.random.default_rng(1)
-    points = rng.poisson(1.0, (90, GROUPS)).astype(np.uint16)
-    points[40:80] = points[:40]
-    points[40:80, 0] += 1
-    sizes = points.sum(axis=1).astype(np.int64)
-    a, b = pairs_within(
-        points, sizes, np.arange(90), np.zeros(90, dtype=int), np.ones(90, dtype=bool), 3, 4
-    )
-    want = {
-        (i, j)
-        for i, j in itertools.combinations(range(90), 2)
-        if 7 * np.minimum(points[i], points[j]).sum() >= 3 * (sizes[i] + sizes[j])
-        and 4 * min(sizes[i], sizes[j]) >= 3 * max(sizes[i], sizes[j])
-    }
-    assert {(min(x), max(x)) for x in zip(a.tolist(), b.tolist())} == want and len(want) >= 40
+def classes(pairs, members):
+    """The smallest member that links lead to, for each member."""
+    least = {m: m for m in members}
+    for _ in members:
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+    return least
+
+
+def set_pairs(sets):
+    return [
+        (i, j) for i, j in itertools.combinations(range(len(sets)), 2)
+        if 4 * len(sets[i] & sets[j]) >= 3 * len(sets[i] | sets[j]) and sets[i]
+    ]
+
+
+def random_sets(rng, groups, copies):
+    out = []
+    for _ in range(groups):
+        base = rng.sample(range(1 << 60), rng.randint(1, 60))
+        for _ in range(rng.randint(1, copies)):
+            own = set(base)
+            for _ in range(rng.randint(0, len(base) // 4)):
+                own.discard(rng.choice(base))
+                own.add(rng.randrange(1 << 60))
+            out.append({(x * 0x9E3779B97F4A7C15) % (1 << 64) for x in own})
+    rng.shuffle(out)
+    return out
+
+
+def laid(sets):
+    tokens = [np.array(sorted(x), dtype=np.uint64) for x in sets]
+    return np.concatenate(tokens), np.concatenate([[0], np.cumsum([len(x) for x in tokens])])
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_tree_search_joins_what_is_linked(seed):
+    rng = random.Random(seed)
+    sets = random_sets(rng, 30, 25)
+    tokens, starts = laid(sets)
+    n = len(sets)
+    found = tree_links(tokens, starts, np.arange(n), np.zeros(n, dtype=int), 3, 4)
+    pairs = set_pairs(sets)
+    assert {(min(p), max(p)) for p in found} <= set(pairs)
+    want = classes(pairs, range(n))
+    assert classes(found, range(n)) == want
+    # a forest: one link fewer than members in each class
+    assert len(found) == n - len(set(want.values()))
+    # two sides, some of them joined already
+    comps = np.array([want[i] if rng.random() < 0.5 else i for i in range(n)])
+    sides = np.array([1 + (rng.random() < 0.5) for _ in range(n)])
+    known = [(i, int(c)) for i, c in enumerate(comps)]
+    across = [(i, j) for i, j in pairs if sides[i] != sides[j]]
+    got = tree_links(tokens, starts, comps, sides, 3, 4)
+    assert all(sides[i] != sides[j] and comps[i] != comps[j] for i, j in got)
+    assert classes(got + known, range(n)) == classes(across + known, range(n))
+
+
+def test_tree_has_inner_nodes_that_bound_what_is_below():
+    rng = np.random.default_rng(2)
+    at = rng.poisson(2.0, (5000, 64)).astype(np.int32)
+    sizes = at.sum(axis=1)
+    tree = Tree(at, sizes, np.arange(5000))
+    assert [len(x[0]) for x in tree.levels] == [1, 2, 20, 313]
+    for (upper, least, most, _, _), (below, lo, hi, _, _) in itertools.pairwise(tree.levels):
+        for i in range(len(upper)):
+            own = slice(i * 16, i * 16 + 16)
+            assert (upper[i] == below[own].max(axis=0)).all()
+            assert least[i] == lo[own].min() and most[i] == hi[own].max()
+
+
+def test_ngram_join_of_ids_with_several_texts(spark):
+    a = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    b = "red orange yellow green blue indigo violet black white grey pink brown cyan magenta"
+    rows = [(1, a), (1, b), (2, a + " zz"), (3, b + " yy"), (4, "else"), (4, a + " qq"), (9, "else"), (None, a), (7, None)]
+    table = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, c string, n int")
+    got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join(table).collect()]
+    want = [(i, len(shingles(t)), None if i is None else 7 if i == 7 else 1) for i, t in rows]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_long_words_are_told_apart():
+    word = "a"
+    for _ in range(12):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    one, two, again = shingle_sets([word.encode(), other.encode(), word.upper().encode()], 5)
+    assert one != two and one == again
+
+
+@pytest.mark.parametrize("block", [3, 1024])
+def test_ngram_join_of_a_large_group(spark, monkeypatch, block):
+    """Chains and near misses in one region, cut into blocks, without stars that help."""
+    monkeypatch.setattr(ngram_module, "BLOCK", block)
+    monkeypatch.setattr(ngram_module, "STAR_TURNS", 1 if block == 3 else 2)
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for _ in range(70):
+        own = list(base)
+        for _ in range(rng.randrange(0, 4)):
+            own[rng.randrange(len(own))] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(own))
+    texts += [" ".join(f"y{i + k}" for i in range(40)) for k in range(25)]
+    sets = [shingles(t) for t in texts]
+    want = classes(set_pairs(sets), range(len(sets)))
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join(frame(spark, texts)).collect()}
+    assert got == want and 2 < len(set(want.values())) < 60
 
 
 def test_components(spark):
