@@ -45,9 +45,9 @@ SHINGLE = 5
 #: Groups whose counts order the tokens; a fixed number, so their table is small anywhere.
 ORDER_GROUPS = 1 << 20
 ORDER_SLICES = 64
-#: Bits of the filter of shared tokens; a fixed number, beyond which more rows pass it that
-#: the join behind it drops.
-FILTER_BITS = 26
+#: Bits of the filters of shared tokens and of their classes, as a power of two; a fixed
+#: number, so that more rows pass that the join behind drops where there are very many.
+FILTER_BITS = 27
 FILTER_SLICES = 64
 #: Hubs that each class is held against before the search.
 STAR_TURNS = 2
@@ -148,22 +148,28 @@ def _first_tokens(tokens: np.ndarray, level: np.ndarray, numerator: int, denomin
     return tokens[np.argsort(own, kind="stable")[: prefix_length(len(tokens), numerator, denominator)]]
 
 
-def _cells(size: int, seed: int, numerator: int, denominator: int, levels):
-    """(id, text) to (h, c): the first tokens of each class."""
+def _cells(size: int, seed: int, numerator: int, denominator: int, levels, bits=None):
+    """(id, text) to (h, c, n): the first tokens of each class, or those that pass a filter."""
+    schema = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("n", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = np.frombuffer(levels.value, dtype=np.uint8)
         for batch in batches:
             ids, texts = _columns(batch)
-            first, names = [], []
+            first, names, sizes = [], [], []
             for i, tokens in zip(ids.to_pylist(), shingle_sets(texts, size), strict=True):
                 if len(tokens) and i is not None:
-                    first.append(_first_tokens(tokens, level, numerator, denominator))
+                    own = _first_tokens(tokens, level, numerator, denominator)
+                    first.append(own if bits is None else own[_passes(own, bits.value)])
                     names.append(_name(tokens, seed))
+                    sizes.append(len(tokens))
             if first:
-                holders = np.repeat(np.array(names, dtype=np.int64), [len(x) for x in first])
+                lengths = [len(x) for x in first]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(first).view(np.int64)), pa.array(holders)], names=["h", "c"]
+                    [pa.array(np.concatenate(first).view(np.int64)),
+                     pa.array(np.repeat(np.array(names, dtype=np.int64), lengths)),
+                     pa.array(np.repeat(np.array(sizes, dtype=np.int32), lengths))],
+                    schema=schema,
                 )
 
     return run
@@ -173,7 +179,7 @@ _PART = 1 << (FILTER_BITS - 6)
 
 
 def _filter_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bits of tokens, in slices by their first bits."""
+    """The bits of hashes, in slices by their first bits."""
     bits: dict[int, np.ndarray] = {}
     for batch in batches:
         at = batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)
@@ -188,36 +194,38 @@ def _filter_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     )
 
 
-def _token_filter(tokens: DataFrame) -> bytes:
-    """A table of bits that holds the one of each token (h); its size does not grow."""
-    part = F.shiftrightunsigned("h", 58)
-    rows = tokens.repartition(FILTER_SLICES, part).mapInArrow(_filter_slices, "slice int, bits binary").collect()
+def _filter(hashes: DataFrame) -> bytes:
+    """A table of bits that holds the one of each hash of the one column; its size does not
+    grow, and what passes it wrongly goes in the join behind it."""
+    part = F.shiftrightunsigned(hashes.columns[0], 58)
+    rows = hashes.repartition(FILTER_SLICES, part).mapInArrow(_filter_slices, "slice int, bits binary").collect()
     out = np.zeros((FILTER_SLICES, _PART // 8), dtype=np.uint8)
     for row in rows:
         out[row["slice"]] |= np.frombuffer(zlib.decompress(row["bits"]), dtype=np.uint8)
     return out.tobytes()
 
 
-def _near_sets(size: int, seed: int, numerator: int, denominator: int, levels, bits):
-    """(id, text) to (c, n, tokens, first): texts with a first token that may be shared."""
+def _passes(hashes: np.ndarray, bits: bytes) -> np.ndarray:
+    at = hashes >> np.uint64(64 - FILTER_BITS)
+    held = np.frombuffer(bits, dtype=np.uint8)[(at >> np.uint64(3)).astype(np.int64)]
+    return (held >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & np.uint8(1) > 0
+
+
+def _sets(size: int, seed: int, bits):
+    """(id, text) to (c, tokens) of the classes that pass a filter."""
+    schema = pa.schema([("c", pa.int64()), ("tokens", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = np.frombuffer(levels.value, dtype=np.uint8)
-        shared = np.unpackbits(np.frombuffer(bits.value, dtype=np.uint8)).view(bool)
         for batch in batches:
             ids, texts = _columns(batch)
-            rows = []
-            for i, tokens in zip(ids.to_pylist(), shingle_sets(texts, size), strict=True):
-                if not len(tokens) or i is None:
-                    continue
-                first = _first_tokens(tokens, level, numerator, denominator)
-                first = first[shared[(first >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]]
-                if len(first):
-                    rows.append((_name(tokens, seed), len(tokens), tokens.view(np.int64), first.view(np.int64)))
-            columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-            types = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            sets = [
+                x for i, x in zip(ids.to_pylist(), shingle_sets(texts, size), strict=True) if len(x) and i is not None
+            ]
+            names = np.array([_name(x, seed) for x in sets], dtype=np.int64)
+            fits = np.flatnonzero(_passes(names.view(np.uint64), bits.value))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=["c", "n", "tokens", "first"]
+                [pa.array(names[fits]), pa.array([sets[i].view(np.int64) for i in fits], pa.list_(pa.int64()))],
+                schema=schema,
             )
 
     return run
@@ -364,24 +372,24 @@ def ngram_join(
     levels = spark.sparkContext.broadcast(_levels(found))
     known = rows.filter("n > 0 and id is not null")
 
+    cells = "h long, c long, n int"
     shared = scratch.put(
-        texts.mapInArrow(_cells(size, seed, num, den, levels), "h long, c long")
+        texts.mapInArrow(_cells(size, seed, num, den, levels), cells)
         .groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("h")
     )
-    bits = spark.sparkContext.broadcast(_token_filter(shared))
-    near = scratch.put(
-        texts.mapInArrow(
-            _near_sets(size, seed, num, den, levels, bits), "c long, n int, tokens array<long>, first array<long>"
-        )
-    )
+    bits = spark.sparkContext.broadcast(_filter(shared))
     member = scratch.put(
-        near.select(F.explode("first").alias("h"), "c", "n").join(shared, "h")
-        .groupBy("h", "c").agg(F.first("n").alias("n")).withColumn("comp", F.col("c"))
+        texts.mapInArrow(_cells(size, seed, num, den, levels, bits), cells)
+        .groupBy("h", "c").agg(F.first("n").alias("n")).join(shared, "h", "left_semi").withColumn("comp", F.col("c"))
     )
+    scratch.drop(shared)
+    wanted = scratch.put(member.select("c").distinct())
+    held = spark.sparkContext.broadcast(_filter(wanted))
     sets = scratch.put(
-        near.select("c", "tokens").join(member.select("c").distinct(), "c", "left_semi").dropDuplicates(["c"])
+        texts.mapInArrow(_sets(size, seed, held), "c long, tokens array<long>")
+        .join(wanted, "c", "left_semi").dropDuplicates(["c"])
     )
-    scratch.drop(near, shared)
+    scratch.drop(wanted)
 
     # the texts of one id are one document
     same = known.groupBy("id").agg(F.min("c").alias("a"), F.max("c").alias("b")).filter("a <> b").select("id", "a")
@@ -404,9 +412,8 @@ def ngram_join(
             .groupBy("c", F.col("hub.c").alias("a")).agg(F.count(F.lit(1)).alias("k"))
             .groupBy(F.col("c").alias("b")).agg(F.max_by("a", F.struct("k", "a")).alias("a"))
         )
-        held = sets.toDF("a", "ta"), sets.toDF("b", "tb")
         linked = (
-            stars.join(held[1], "b").join(held[0], "a")
+            stars.join(sets.toDF("b", "tb"), "b").join(sets.toDF("a", "ta"), "a")
             .filter(F.size(F.array_intersect("ta", "tb")) * (num + den) >= num * (F.size("ta") + F.size("tb")))
             .select("a", "b")
         )
