@@ -10,7 +10,6 @@ from collections.abc import Callable, Sequence
 
 from ..functions import patterns as p
 from ..functions.lexicon import DEFAULT, NEGATIVE, POSITIVE
-from ..functions.steps import chained
 
 Sql = Callable[[str], str]
 
@@ -145,10 +144,11 @@ def replace_phrases(pairs) -> Sql:
 
 
 def map_tokens(pairs) -> Sql:
-    cases = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in chained(pairs).items())
-    return lambda x: squeeze(
-        join(f"list_transform({tokens(x)}, lambda w: CASE w {cases} ELSE w END)")
-    )
+    """Row by row: a token that equals the row's key becomes its value and goes on."""
+    word = "w"
+    for key, value in pairs:
+        word = f"replace(chr(1) || {word} || chr(1), chr(1) || {lit(key)} || chr(1), chr(1) || {lit(value)} || chr(1))[2:-2]"
+    return lambda x: squeeze(join(f"list_transform({tokens(x)}, lambda w: {word})"))
 
 
 def join_compounds(compounds: Sequence[str]) -> Sql:
@@ -168,15 +168,16 @@ def join_compounds(compounds: Sequence[str]) -> Sql:
     return step
 
 
-def serving(lex=DEFAULT) -> list[Sql]:
+def serving(lex=DEFAULT, drop: Joined | None = None, mapped: Joined | None = None) -> list[Sql | Joined]:
+    """``drop`` and ``mapped`` take the place of the stop words and the abbreviations."""
     single = [w for w in lex.stopwords if " " not in w]
     return [
         blank_guard,
         drop_label("Chất lượng sản phẩm:"),
         drop_label("Tính năng nổi bật:"),
-        drop_tokens(single),
+        drop or drop_tokens(single),
         lower,
-        *_shared(lex),
+        *_shared(lex, mapped),
     ]
 
 
@@ -184,7 +185,7 @@ def training(lex=DEFAULT) -> list[Sql]:
     return [blank_guard, lower, *_shared(lex), drop_tokens(lex.joined_stopwords)]
 
 
-def _shared(lex) -> list[Sql]:
+def _shared(lex, mapped: Joined | None = None) -> list[Sql | Joined]:
     return [
         replace_all(lex.char_to_emoji),
         url,
@@ -198,17 +199,36 @@ def _shared(lex) -> list[Sql]:
         emoji,
         repeats,
         special,
-        map_tokens(lex.abbreviations),
+        mapped or map_tokens(lex.abbreviations),
         join_compounds(lex.compounds),
     ]
 
 
+class Joined:
+    """A step on the tokens of all texts at once, for lists that are tables: ``rewrite`` is
+    a join of the tokens (key, i, w), giving those that stay."""
+
+    def __init__(self, key: str, rewrite: str):
+        self.key, self.rewrite = key, rewrite
+
+    def of(self, previous: str, keep: str) -> str:
+        kept = ", ".join(f"p.{x.strip()}" for x in keep.split(","))
+        listed = f"(SELECT {self.key}, generate_subscripts({tokens('x')}, 1) AS i, unnest({tokens('x')}) AS w FROM {previous})"
+        return f"""
+SELECT {kept}, coalesce(o.x, '') AS x FROM {previous} p LEFT JOIN (
+  SELECT {self.key}, string_agg(w, ' ' ORDER BY i) AS x
+  FROM (SELECT t.{self.key}, t.i, {self.rewrite.replace("{tokens}", listed)}) GROUP BY {self.key}) o USING ({self.key})"""
+
+
 def chain(source: str, column: str, steps: Sequence[Sql], output: str, keep: str) -> str:
     """``WITH`` clauses that apply the steps one after another; the last is ``cleaned``
     with the columns ``keep`` and ``output``."""
     parts = [f"s0 AS (SELECT {keep}, {column} AS x FROM ({source}))"]
     for i, step in enumerate(steps, 1):
-        parts.append(f"s{i} AS (SELECT {keep}, {step('x')} AS x FROM s{i - 1})")
+        if isinstance(step, Joined):
+            parts.append(f"s{i} AS MATERIALIZED ({step.of(f's{i - 1}', keep)})")
+        else:
+            parts.append(f"s{i} AS (SELECT {keep}, {step('x')} AS x FROM s{i - 1})")
     # Materialised, or the engine would put the whole chain in place of each mention.
     parts.append(f"cleaned AS MATERIALIZED (SELECT {keep}, x AS {output} FROM s{len(steps)})")
     return "WITH " + ",\n".join(parts)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,10 +11,11 @@ from pyspark.sql import types as T
 from ..functions import lexicon as lex
 from ..functions import steps as s
 from ..functions.score import sentiment
-from ..operators import lookup
+from ..operators import lookup, phrases
 from ..plans.profiles import SERVING, TRAINING, clean, run_steps
 from ..plans.scoring import score_messages
-from ..session import spread
+from ..session import new_folder, spread
+from ..sources import files
 from . import duck, views
 from .registry import Catalog, Tables
 
@@ -171,6 +172,75 @@ def drop_words_table(t: Tables) -> DataFrame:
     return lookup.drop_tokens(texts, "doc_id", "text", _benchmark_words(t), "out").select("doc_id", "out")
 
 
+# Every run of one to four words of the benchmark texts.
+_RUNS_SQL = f"""
+SELECT DISTINCT array_to_string(w[i:i+n-1], ' ') AS key, n
+FROM (SELECT {duck.tokens('text')} AS w FROM benchmark), (SELECT unnest([1, 2, 3, 4]) AS n),
+LATERAL (SELECT unnest(range(1, len(w) - n + 2)) AS i)
+"""
+
+
+def _benchmark_runs(t: Tables, sizes: Sequence[int]) -> DataFrame:
+    def runs(n: int) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.size("w")), lambda i: i + n - 1 <= F.size("w"))
+        return F.transform(starts, lambda i: F.array_join(F.slice(F.col("w"), i, n), " "))
+
+    listed = t.benchmark.select(s.token_array(F.col("text")).alias("w")).filter(F.size("w") > 0)
+    return listed.select(F.explode(F.concat(*map(runs, sizes))).alias("key")).distinct()
+
+
+def _longest_from_the_left(sizes: str, value: str) -> str:
+    """The scan as steps from hit to hit: each goes to the first hit behind its own end."""
+    return f"""
+WITH RECURSIVE tok AS MATERIALIZED (
+  SELECT doc_id, generate_subscripts({duck.tokens('text')}, 1) AS i, unnest({duck.tokens('text')}) AS w
+  FROM documents),
+runs AS MATERIALIZED (SELECT * FROM ({_RUNS_SQL}) WHERE n IN ({sizes})),
+probes AS (
+  SELECT doc_id, i, unnest([
+    {{'n': 1, 'p': w}}, {{'n': 2, 'p': w || ' ' || w2}}, {{'n': 3, 'p': w || ' ' || w2 || ' ' || w3}},
+    {{'n': 4, 'p': w || ' ' || w2 || ' ' || w3 || ' ' || w4}}]) AS x
+  FROM (
+    SELECT doc_id, i, w, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4
+    FROM tok WINDOW o AS (PARTITION BY doc_id ORDER BY i))),
+hits AS MATERIALIZED (
+  SELECT doc_id, i, max(n) AS n, arg_max(key, n) AS key
+  FROM (SELECT doc_id, i, x.n AS n, x.p AS key FROM probes WHERE x.p IS NOT NULL) JOIN runs USING (n, key)
+  GROUP BY doc_id, i),
+following AS MATERIALIZED (
+  SELECT a.doc_id, a.i, a.n, a.key, b.i AS next
+  FROM hits a ASOF LEFT JOIN hits b ON a.doc_id = b.doc_id AND a.i + a.n <= b.i),
+taken AS (
+  SELECT f.* FROM following f JOIN (SELECT doc_id, min(i) AS i FROM hits GROUP BY doc_id) USING (doc_id, i)
+  UNION ALL SELECT f.* FROM taken k JOIN following f ON f.doc_id = k.doc_id AND f.i = k.next),
+pieces AS (
+  SELECT doc_id, i, {value} AS w FROM taken
+  UNION ALL
+  SELECT doc_id, i, w FROM tok ANTI JOIN (
+    SELECT doc_id, unnest(range(i, i + n)) AS i FROM taken) USING (doc_id, i))
+SELECT d.doc_id, coalesce(o.out, '') AS out
+FROM documents d LEFT JOIN (
+  SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS out FROM pieces GROUP BY doc_id) o USING (doc_id)
+"""
+
+
+@CATALOG.query(_longest_from_the_left("1, 2, 3, 4", "'<' || n || '>'"))
+def map_phrases_table(t: Tables) -> DataFrame:
+    """Every run of one to four benchmark words, replaced by its number of words."""
+    runs = _benchmark_runs(t, (1, 2, 3, 4))
+    number = F.size(F.split("key", " ")).cast("string")
+    table = runs.withColumn("value", F.concat(F.lit("<"), number, F.lit(">")))
+    texts = spread(t.documents.select("doc_id", "text"))
+    return phrases.map_phrases(texts, "doc_id", "text", table, "out").select("doc_id", "out")
+
+
+@CATALOG.query(_longest_from_the_left("2, 3, 4", "replace(key, ' ', '_')"))
+def join_compounds_table(t: Tables) -> DataFrame:
+    texts = spread(t.documents.select("doc_id", "text"))
+    runs = _benchmark_runs(t, (2, 3, 4))
+    return phrases.join_compounds(texts, "doc_id", "text", runs, "out").select("doc_id", "out")
+
+
 # --- profiles and scores --------------------------------------------------------------
 
 _SERVED = duck.chain(views.MAIL_REVIEWS_SQL, "comment", duck.serving(), "processed_comment", "doc_id")
@@ -183,6 +253,51 @@ def clean_serving(t: Tables) -> DataFrame:
     return clean(texts, "comment", name=SERVING).drop("comment")
 
 
+_STOP_SQL = f"""
+SELECT word AS entry FROM ({_WORDS_SQL})
+UNION SELECT w FROM (SELECT unnest({duck.tokens("text")}) AS w FROM documents) WHERE length(w) > 8
+UNION SELECT 'entry' || o_orderkey FROM orders
+"""
+_SERVED_BY_TABLES = duck.chain(
+    views.MAIL_REVIEWS_SQL,
+    "comment",
+    duck.serving(
+        drop=duck.Joined("doc_id", f"t.w FROM {{tokens}} t WHERE t.w NOT IN ({_STOP_SQL})"),
+        mapped=duck.Joined(
+            "doc_id",
+            "coalesce(m.value, t.w) AS w FROM {tokens} t LEFT JOIN ("
+            "SELECT DISTINCT c_mktsegment || c_custkey AS key, 'segment' AS value FROM customer"
+            " UNION SELECT 'le', 'una') m ON m.key = t.w",
+        ),
+    ),
+    "processed_comment",
+    "doc_id",
+)
+
+
+@CATALOG.query(f"{_SERVED_BY_TABLES}\nSELECT doc_id, processed_comment FROM cleaned")
+def clean_serving_tables(t: Tables) -> DataFrame:
+    """The serving profile with a stop-word file and a dictionary file of many entries."""
+    long_words = t.documents.select(F.explode(s.token_array(F.col("text"))).alias("entry"))
+    entries = (
+        _benchmark_words(t).select(F.col("word").alias("entry"))
+        .union(long_words.filter(F.length("entry") > 8))
+        .union(t.orders.select(F.concat(F.lit("entry"), "o_orderkey")))
+        .distinct()
+    )
+    stop_path, dictionary_path = new_folder(t.spark, "stopwords"), new_folder(t.spark, "dictionary")
+    entries.write.text(stop_path)
+    keys = t.customer.select(F.concat("c_mktsegment", "c_custkey").alias("key"), F.lit("segment").alias("value"))
+    rows = keys.union(t.spark.createDataFrame([("le", "una")], "key STRING, value STRING")).distinct()
+    files.write_csv(rows.select(F.xxhash64("key").alias("ord"), "key", "value"), dictionary_path)
+    lexicons = lex.Lexicons(
+        stopwords=files.words(files.read_lines(t.spark, stop_path), limit=100),
+        abbreviations=files.pairs(files.read_dictionary(t.spark, dictionary_path), limit=100),
+    )
+    texts = spread(views.reviews(t, views.COMMENT_WITH_MAIL))
+    return clean(texts, "comment", lexicons=lexicons).drop("comment")
+
+
 @CATALOG.query(f"{_TRAINED}\nSELECT doc_id, free_text FROM cleaned")
 def clean_training(t: Tables) -> DataFrame:
     texts = spread(views.reviews(t, views.COMMENT_WITH_MAIL))

@@ -2,13 +2,15 @@
 
 The lists below are a small default vocabulary. A deployment passes its own: stop words
 as one entry per line, dictionaries as ordered ``ord,key,value`` rows
-(``sources.dictionaries``). Order matters, since entries chain.
+(``sources.files``). Order matters, since entries chain.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame
+
 # The words the score looks for.
 POSITIVE = ("tốt", "đẹp", "chất_lượng", "hài_lòng", "tuyệt", "ok", "oke")
 NEGATIVE = ("tệ", "kém", "xấu", "không_tốt", "thất_vọng", "dở")
@@ -98,14 +100,18 @@ COMPOUNDS = (
 
 @dataclass(frozen=True)
 class Lexicons:
-    """Everything the cleaning profiles look words up in."""
+    """Everything the cleaning profiles look words up in.
+
+    Stop words, abbreviations and compounds may be tables of any size instead (one column of
+    entries; ``ord, key, value``). ``sources.files.words`` and ``pairs`` choose by the size.
+    """
 
-    stopwords: tuple[str, ...] = STOPWORDS
+    stopwords: tuple[str, ...] | DataFrame = STOPWORDS
     char_to_emoji: tuple[tuple[str, str], ...] = CHAR_TO_EMOJI
     emoji_to_word: tuple[tuple[str, str], ...] = EMOJI_TO_WORD
-    abbreviations: tuple[tuple[str, str], ...] = ABBREVIATIONS
+    abbreviations: tuple[tuple[str, str], ...] | DataFrame = ABBREVIATIONS
     phrases: tuple[tuple[str, str], ...] = PHRASES
-    compounds: tuple[str, ...] = COMPOUNDS
+    compounds: tuple[str, ...] | DataFrame = COMPOUNDS
 
     @property
     def joined_stopwords(self) -> tuple[str, ...]:

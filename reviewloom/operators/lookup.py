@@ -82,15 +82,22 @@ def resolve_chains(dictionary: DataFrame) -> DataFrame:
     return first.join(reached, [_ORD, _WORD]).join(last, "__end").select(_WORD, _VALUE)
 
 
-def _replace(df: DataFrame, key: str, text: str, lexicon: DataFrame, output: str, finish) -> DataFrame:
-    per_text = _placed(df, key, text, lexicon)
+def rebuild(
+    df: DataFrame, key: str, text: str, hits: DataFrame, output: str, finish=s.squeeze
+) -> DataFrame:
+    """The texts with what ``hits`` (key, ``__hits``: array of place and value) puts in the
+    place of tokens; a null value drops its token."""
     return (
-        df.join(per_text, key, "left")
+        df.join(hits, key, "left")
         .withColumn(output, finish(F.array_join(_rebuilt(text), " ")))
         .drop(_HITS)
     )
 
 
+def _replace(df: DataFrame, key: str, text: str, lexicon: DataFrame, output: str, finish) -> DataFrame:
+    return rebuild(df, key, text, _placed(df, key, text, lexicon), output, finish)
+
+
 def map_tokens(
     df: DataFrame, key: str, text: str, dictionary: DataFrame, output: str | None = None
 ) -> DataFrame:

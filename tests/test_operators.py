@@ -195,12 +195,12 @@ def test_small_lexicons_become_literals(spark, tmp_path):
     rows = spark.createDataFrame([(2, "b", "c"), (1, "a", "b")], "ord LONG, key STRING, value STRING")
     files.write_csv(rows, str(tmp_path / "d"))
     dictionary = files.read_dictionary(spark, str(tmp_path / "d"))
-    assert files.literal_pairs(dictionary) == (("a", "b"), ("b", "c"))
-    assert files.literal_pairs(dictionary, limit=1) is None
+    assert files.pairs(dictionary) == (("a", "b"), ("b", "c"))
+    assert files.pairs(dictionary, limit=1) is dictionary
     (tmp_path / "words.txt").write_text("rất\n\n \nvới nhau\n á\nrất\n", encoding="utf-8")
     lines = files.read_lines(spark, str(tmp_path / "words.txt"))
-    assert files.literal_words(lines) == tuple(sorted(["rất", "với nhau", " á"]))
-    assert files.literal_words(lines, limit=2) is None
+    assert files.words(lines) == tuple(sorted(["rất", "với nhau", " á"]))
+    assert files.words(lines, limit=2) is lines
     assert files.read_lines(spark, str(tmp_path / "words.txt"), keep_blank=True).count() == 5
 
 
