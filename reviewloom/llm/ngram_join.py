@@ -6,7 +6,9 @@ minima of two points bounds the size of the intersection, and that of a point wi
 upper corner bounds it for all that is below the node. Packed trees are searched from the
 root down, and what is left is verified on the sets (``rtree``).
 
-A tree over all texts would be one task's, so texts are dealt to regions first. In one
+A tree over all texts would be one task's, so texts are dealt to regions first. A text can
+only be linked if three quarters of its tokens are in other texts too; the tokens of all
+texts are brought together once, packed, to learn which are, and most texts go. In one
 order of all tokens, two linked texts share one of the first quarter of either's tokens;
 tokens that many texts hold come last in it, by counts of all tokens of all texts in 2^20
 groups. The texts with a token among their first form a cell, each cell goes to the region of
@@ -45,10 +47,13 @@ SHINGLE = 5
 #: Groups whose counts order the tokens; a fixed number, so their table is small anywhere.
 ORDER_GROUPS = 1 << 20
 ORDER_SLICES = 64
-#: Bits of the filters of shared tokens and of their classes, as a power of two; a fixed
-#: number, so that more rows pass that the join behind drops where there are very many.
+#: Bits of the filter of shared tokens, as a power of two, and of a token that are looked at
+#: for it; fixed numbers.
 FILTER_BITS = 27
-FILTER_SLICES = 64
+KEPT_BITS = 48
+#: Tokens of texts that a task packs together, and of all texts that are unpacked together.
+STRETCH = 4_000_000
+PART_TOKENS = 4_000_000
 #: Hubs that each class is held against before the search.
 STAR_TURNS = 2
 #: Sets, and tokens of sets, of a block of a region.
@@ -148,60 +153,76 @@ def _first_tokens(tokens: np.ndarray, level: np.ndarray, numerator: int, denomin
     return tokens[np.argsort(own, kind="stable")[: prefix_length(len(tokens), numerator, denominator)]]
 
 
-def _cells(size: int, seed: int, numerator: int, denominator: int, levels, bits=None):
-    """(id, text) to (h, c, n): the first tokens of each class, or those that pass a filter."""
-    schema = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("n", pa.int32())])
+def _blobs(size: int, part_bits: int):
+    """(id, text) to (part, blob): the tokens of stretches of texts, by their first bits."""
+    rest = np.uint64(KEPT_BITS - part_bits)
+
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        kept = np.sort(np.concatenate(held)) >> np.uint64(64 - KEPT_BITS)
+        # of tokens that many of the texts hold two places tell as much as all
+        kept = kept[np.concatenate([[True, True], kept[2:] != kept[:-2]])[: len(kept)]]
+        parts, starts = np.unique(kept >> rest, return_index=True)
+        blobs = [
+            zlib.compress(_planes(x & ((np.uint64(1) << rest) - np.uint64(1))), 1) for x in np.split(kept, starts[1:])
+        ]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(parts.astype(np.int64)), pa.array(blobs, pa.binary())], names=["part", "blob"]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = np.frombuffer(levels.value, dtype=np.uint8)
+        held, n = [], 0
         for batch in batches:
             ids, texts = _columns(batch)
-            first, names, sizes = [], [], []
             for i, tokens in zip(ids.to_pylist(), shingle_sets(texts, size), strict=True):
                 if len(tokens) and i is not None:
-                    own = _first_tokens(tokens, level, numerator, denominator)
-                    first.append(own if bits is None else own[_passes(own, bits.value)])
-                    names.append(_name(tokens, seed))
-                    sizes.append(len(tokens))
-            if first:
-                lengths = [len(x) for x in first]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(first).view(np.int64)),
-                     pa.array(np.repeat(np.array(names, dtype=np.int64), lengths)),
-                     pa.array(np.repeat(np.array(sizes, dtype=np.int32), lengths))],
-                    schema=schema,
-                )
+                    held.append(tokens)
+                    n += len(tokens)
+            if n >= STRETCH:
+                yield packed(held)
+                held, n = [], 0
+        if held:
+            yield packed(held)
 
     return run
 
 
-_PART = 1 << (FILTER_BITS - 6)
+def _planes(values: np.ndarray) -> bytes:
+    """Sorted numbers as their distances, the first bytes of all, the second ones of all..."""
+    gaps = np.diff(values, prepend=np.uint64(0)).astype("<u8")
+    return np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-def _filter_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bits of hashes, in slices by their first bits."""
-    bits: dict[int, np.ndarray] = {}
-    for batch in batches:
-        at = batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)
-        for part in np.unique(at // np.uint64(_PART)).tolist():
-            own = at[at // np.uint64(_PART) == part] % np.uint64(_PART)
-            held = bits.setdefault(int(part), np.zeros(_PART, dtype=bool))
-            held[own.astype(np.int64)] = True
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(bits), pa.int32()),
-         pa.array([zlib.compress(np.packbits(x).tobytes(), 1) for x in bits.values()], pa.binary())],
-        names=["slice", "bits"],
-    )
+def _from_planes(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(raw, dtype=np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+
 
+def _shared_bits(part_bits: int):
+    """The blobs of a part to the filter's bits of the tokens that are there twice."""
+    bits = max(3, FILTER_BITS - part_bits)
+    shift = np.uint64(KEPT_BITS - part_bits - bits)
+
+    def run(table: pa.Table) -> pa.Table:
+        values = np.sort(np.concatenate([_from_planes(zlib.decompress(x)) for x in table["blob"].to_pylist()]))
+        own = np.zeros(1 << bits, dtype=bool)
+        own[(values[1:][values[1:] == values[:-1]] >> shift).astype(np.int64)] = True
+        packed = zlib.compress(np.packbits(own).tobytes(), 1)
+        return pa.table({"part": table["part"][:1], "bits": pa.array([packed], pa.binary())})
 
-def _filter(hashes: DataFrame) -> bytes:
-    """A table of bits that holds the one of each hash of the one column; its size does not
-    grow, and what passes it wrongly goes in the join behind it."""
-    part = F.shiftrightunsigned(hashes.columns[0], 58)
-    rows = hashes.repartition(FILTER_SLICES, part).mapInArrow(_filter_slices, "slice int, bits binary").collect()
-    out = np.zeros((FILTER_SLICES, _PART // 8), dtype=np.uint8)
+    return run
+
+
+def _shared_tokens(texts: DataFrame, size: int, n_tokens: int) -> bytes:
+    """A table of bits that holds the one of each token found in two texts; its size does
+    not grow. Where it is too full to tell tokens apart more texts pass, and none is lost."""
+    part_bits = min(FILTER_BITS - 3, max(6, (n_tokens // PART_TOKENS).bit_length()))
+    rows = (
+        texts.mapInArrow(_blobs(size, part_bits), "part long, blob binary")
+        .groupBy("part").applyInArrow(_shared_bits(part_bits), "part long, bits binary").collect()
+    )
+    out = np.zeros((1 << part_bits, (1 << (FILTER_BITS - part_bits)) // 8), dtype=np.uint8)
     for row in rows:
-        out[row["slice"]] |= np.frombuffer(zlib.decompress(row["bits"]), dtype=np.uint8)
+        out[row["part"]] = np.frombuffer(zlib.decompress(row["bits"]), dtype=np.uint8)
     return out.tobytes()
 
 
@@ -211,26 +232,55 @@ def _passes(hashes: np.ndarray, bits: bytes) -> np.ndarray:
     return (held >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & np.uint8(1) > 0
 
 
-def _sets(size: int, seed: int, bits):
-    """(id, text) to (c, tokens) of the classes that pass a filter."""
+def _sets(size: int, seed: int, numerator: int, denominator: int, bits):
+    """(id, text) to (c, tokens) of the texts that may be linked: enough of their tokens are
+    in other texts too."""
     schema = pa.schema([("c", pa.int64()), ("tokens", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = _columns(batch)
             sets = [
-                x for i, x in zip(ids.to_pylist(), shingle_sets(texts, size), strict=True) if len(x) and i is not None
+                x for i, x in zip(ids.to_pylist(), shingle_sets(texts, size), strict=True)
+                if len(x) and i is not None
+                and int(_passes(x, bits.value).sum()) * denominator >= len(x) * numerator
             ]
-            names = np.array([_name(x, seed) for x in sets], dtype=np.int64)
-            fits = np.flatnonzero(_passes(names.view(np.uint64), bits.value))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names[fits]), pa.array([sets[i].view(np.int64) for i in fits], pa.list_(pa.int64()))],
+                [pa.array([_name(x, seed) for x in sets], pa.int64()),
+                 pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))],
                 schema=schema,
             )
 
     return run
 
 
+def _cells(numerator: int, denominator: int, levels):
+    """(c, tokens) to (h, c, n): the first tokens of each class."""
+    schema = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("n", pa.int32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level = np.frombuffer(levels.value, dtype=np.uint8)
+        for batch in batches:
+            listed = batch.column("tokens")
+            sizes = listed.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = np.cumsum(sizes)
+            tokens = listed.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            first = [
+                _first_tokens(tokens[end - n : end], level, numerator, denominator)
+                for n, end in zip(sizes.tolist(), ends.tolist(), strict=True)
+            ]
+            if first:
+                lengths = [len(x) for x in first]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(first).view(np.int64)),
+                     pa.array(np.repeat(batch.column("c").to_numpy(), lengths)),
+                     pa.array(np.repeat(sizes.astype(np.int32), lengths))],
+                    schema=schema,
+                )
+
+    return run
+
+
 def _search(numerator: int, denominator: int):
     """Some regions, or two blocks of one: their trees, searched for links of components."""
 
@@ -372,24 +422,14 @@ def ngram_join(
     levels = spark.sparkContext.broadcast(_levels(found))
     known = rows.filter("n > 0 and id is not null")
 
-    cells = "h long, c long, n int"
-    shared = scratch.put(
-        texts.mapInArrow(_cells(size, seed, num, den, levels), cells)
-        .groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("h")
-    )
-    bits = spark.sparkContext.broadcast(_filter(shared))
-    member = scratch.put(
-        texts.mapInArrow(_cells(size, seed, num, den, levels, bits), cells)
-        .groupBy("h", "c").agg(F.first("n").alias("n")).join(shared, "h", "left_semi").withColumn("comp", F.col("c"))
-    )
-    scratch.drop(shared)
-    wanted = scratch.put(member.select("c").distinct())
-    held = spark.sparkContext.broadcast(_filter(wanted))
+    n_tokens = known.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    bits = spark.sparkContext.broadcast(_shared_tokens(texts, size, n_tokens))
     sets = scratch.put(
-        texts.mapInArrow(_sets(size, seed, held), "c long, tokens array<long>")
-        .join(wanted, "c", "left_semi").dropDuplicates(["c"])
+        texts.mapInArrow(_sets(size, seed, num, den, bits), "c long, tokens array<long>").dropDuplicates(["c"])
     )
-    scratch.drop(wanted)
+    cells = sets.mapInArrow(_cells(num, den, levels), "h long, c long, n int")
+    shared = cells.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("h")
+    member = scratch.put(cells.join(shared, "h").withColumn("comp", F.col("c")))
 
     # the texts of one id are one document
     same = known.groupBy("id").agg(F.min("c").alias("a"), F.max("c").alias("b")).filter("a <> b").select("id", "a")
