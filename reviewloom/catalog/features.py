@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import records as r
-from ..operators import abbreviations, features, training
+from ..operators import abbreviations, features, model_tables, training
 from ..session import materialise, new_folder, spread
 from . import duck
 from .registry import Catalog, Tables
@@ -55,14 +55,105 @@ def top_terms(t: Tables) -> DataFrame:
     return features.top_terms(_bigrams(t), "ngrams", abbreviations.TERMS)
 
 
+# The published 32-bit murmur3 hash of a text's bytes, seed 42, and the bucket it falls into.
+_M = 4294967296
+_MIX = f"(({{k}}) * 3432918353 % {_M})"
+_MIXED = f"(((({{k}}) * 32768 % {_M}) + ({{k}}) // 131072) * 461845907 % {_M})"
+_BUCKETS_SQL = f"""{_BIGRAMS_SQL},
+terms AS (SELECT DISTINCT term FROM bigrams),
+bytes AS (
+  SELECT term, [('0x' || substr(hex(encode(term)), 2 * i - 1, 2))::INT::HUGEINT FOR i IN range(1, octet_length(encode(term)) + 1)] AS b
+  FROM terms),
+blocks AS (
+  SELECT term, len(b) AS n,
+    [b[4*i+1] + b[4*i+2] * 256 + b[4*i+3] * 65536 + b[4*i+4] * 16777216 FOR i IN range(0, len(b) // 4)] AS k,
+    list_sum([b[4 * (len(b) // 4) + j + 1] * (256 ** j)::HUGEINT FOR j IN range(0, len(b) % 4)]) AS tail
+  FROM bytes),
+mixed AS (
+  SELECT term, n, [{_MIXED.format(k="x")} FOR x IN [{_MIX.format(k="y")} FOR y IN k]] AS k,
+    {_MIXED.format(k=_MIX.format(k="coalesce(tail, 0)"))} AS tail FROM blocks),
+body AS (
+  SELECT term, n, tail, list_reduce([42::HUGEINT] || k,
+    lambda h, x: (((xor(h, x) * 8192 % {_M}) + xor(h, x) // 524288) * 5 + 3864292196) % {_M}) AS h FROM mixed),
+a1 AS (SELECT term, xor(xor(h, tail), n::HUGEINT) AS h FROM body),
+a2 AS (SELECT term, xor(h, h // 65536) * 2246822507 % {_M} AS h FROM a1),
+a3 AS (SELECT term, xor(h, h // 8192) * 3266489909 % {_M} AS h FROM a2),
+a4 AS (SELECT term, xor(h, h // 65536) AS h FROM a3),
+buckets AS (
+  SELECT term, (((CASE WHEN h >= 2147483648 THEN h - {_M} ELSE h END) % {features.BUCKETS} + {features.BUCKETS}) % {features.BUCKETS})::INT AS feature
+  FROM a4),
+counted AS (SELECT doc_id, feature, count(*)::DOUBLE AS value FROM bigrams JOIN buckets USING (term) GROUP BY doc_id, feature)
+"""
+
+
+def _bucket_rows(t: Tables) -> DataFrame:
+    return model_tables.feature_rows(features.hashed_counts(_bigrams(t)), "doc_id", "raw_features")
+
+
+@CATALOG.query(f"{_BUCKETS_SQL} SELECT doc_id, feature, value FROM counted")
+def hashing_tf(t: Tables) -> DataFrame:
+    """The number of bigrams in each bucket; SQL hashes them once more."""
+    return _bucket_rows(t)
+
+
+# Weights by counts: how much more often a bucket is filled in good texts than in others.
+_WEIGHTS_SQL = f"""{_BUCKETS_SQL},
+labelled AS (SELECT feature, quality FROM counted JOIN labels USING (doc_id) WHERE quality IS NOT NULL),
+sides AS (
+  SELECT feature, count(*) FILTER (quality = 1) AS good, count(*) FILTER (quality <> 1) AS bad
+  FROM labelled GROUP BY feature)
+"""
+
+
+def _sides(t: Tables, rows: DataFrame) -> DataFrame:
+    labels = t.labels.filter("quality is not null").select("doc_id", "quality")
+    return rows.join(labels, "doc_id").groupBy("feature").agg(
+        F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") != 1).alias("bad")
+    )
+
+
 @CATALOG.query(
-    f"""{_BIGRAMS_SQL}
-SELECT doc_id, count(term)::DOUBLE AS total FROM documents LEFT JOIN bigrams USING (doc_id) GROUP BY doc_id"""
+    f"""{_WEIGHTS_SQL}, weights AS (SELECT feature, ln((good + 1) / (bad + 1)) AS weight FROM sides),
+m AS (
+  SELECT d.doc_id, coalesce(sum(value * weight), 0) - 0.25 AS margin
+  FROM documents d LEFT JOIN counted c ON c.doc_id = d.doc_id LEFT JOIN weights w ON w.feature = c.feature GROUP BY d.doc_id)
+SELECT doc_id, round(margin, 6) AS margin, (margin > 0)::INT AS prediction FROM m"""
 )
-def hashing_tf(t: Tables) -> DataFrame:
-    """Buckets depend on the hash, their sum does not: it is the number of bigrams."""
-    counted = features.hashed_counts(_bigrams(t))
-    return counted.select("doc_id", features.vector_sum("raw_features").alias("total"))
+def score_linear_table(t: Tables) -> DataFrame:
+    """A linear model that is a table of weights, scored by a sparse join."""
+    rows = materialise(_bucket_rows(t), "buckets")
+    share = (F.col("good") + 1) / (F.col("bad") + 1)
+    weights = _sides(t, rows).select("feature", F.log(share).alias("weight"))
+    scored = model_tables.score_linear(t.documents, "doc_id", rows, weights, -0.25)
+    return scored.withColumn("margin", F.round("margin", 6))
+
+
+@CATALOG.query(
+    f"""{_WEIGHTS_SQL},
+ranked AS (SELECT feature, row_number() OVER (ORDER BY abs(good - bad) DESC, feature) - 1 AS node FROM sides),
+v AS (
+  SELECT d.doc_id, node, coalesce(value, 0) > 1 AS upper
+  FROM documents d CROSS JOIN (SELECT * FROM ranked WHERE node < 7) r
+  LEFT JOIN counted c ON c.doc_id = d.doc_id AND c.feature = r.feature),
+u AS (SELECT doc_id, map_from_entries(list({{'k': node, 'v': upper}})) AS m FROM v GROUP BY doc_id),
+one AS (SELECT doc_id, m, 1 + m[0]::INT AS n FROM u),
+two AS (SELECT doc_id, m, 2 * n + 1 + m[n]::INT AS n FROM one),
+three AS (SELECT doc_id, 2 * n + 1 + m[n]::INT AS n FROM two)
+SELECT doc_id, n::INT AS node, (n % 2)::DOUBLE AS prediction FROM three"""
+)
+def score_tree_table(t: Tables) -> DataFrame:
+    """A tree that is a table of nodes: the seven buckets that tell good texts best, in three
+    levels, and eight leaves."""
+    rows = materialise(_bucket_rows(t), "buckets")
+    best = _sides(t, rows).orderBy(F.abs(F.col("good") - F.col("bad")).desc(), "feature").limit(7)
+    order = F.sort_array(F.collect_list(F.struct((-F.abs(F.col("good") - F.col("bad"))).alias("by"), "feature")))
+    inner = best.agg(order.alias("x")).select(F.posexplode("x").alias("node", "x")).select(
+        "node", F.col("x.feature").alias("feature"), F.lit(1.0).alias("threshold"),
+        (2 * F.col("node") + 1).alias("lower"), (2 * F.col("node") + 2).alias("upper"), F.lit(None).cast("double").alias("prediction"),
+    )
+    none = [F.lit(None).cast(kind).alias(x) for x, kind in (("feature", "int"), ("threshold", "double"), ("lower", "int"), ("upper", "int"))]
+    leaves = t.spark.range(7, 15).select(F.col("id").cast("int").alias("node"), *none, (F.col("id") % 2).cast("double").alias("prediction"))
+    return model_tables.score_tree(t.documents, "doc_id", rows, materialise(inner.union(leaves), "nodes"))
 
 
 @CATALOG.query(
@@ -116,35 +207,53 @@ def predict_lr(t: Tables) -> DataFrame:
     return _predicted(t, "logistic")
 
 
-_HOLDOUT_SQL = f"""{duck.chain(
+LABELLED_SQL = f"""{duck.chain(
     "SELECT doc_id, quality AS label, text FROM documents JOIN labels USING (doc_id)",
     "text", duck.training(), "free_text", "doc_id, label",
 )},
-h AS (
-  SELECT CASE WHEN label = 2 THEN 1 ELSE label END AS label FROM cleaned
-  WHERE label IS NOT NULL AND length(free_text) > 0 AND md5(doc_id::VARCHAR)[1] IN ('0', '1', '2')
-)
-SELECT label::VARCHAR AS class, count(*) AS support, true AS measured FROM h GROUP BY label
-UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), (SELECT count(*) FROM h), true
+labelled AS (
+  SELECT doc_id, CASE WHEN label = 2 THEN 1 ELSE label END AS label FROM cleaned
+  WHERE label IS NOT NULL AND length(free_text) > 0)
 """
 
 
-def _holdout(t: Tables, kind: str) -> DataFrame:
-    """The report on rows held out: SQL knows its classes and their support, and that all
-    measures are shares; ``training.holdout_report`` has the measures themselves."""
-    report = training.holdout_report(_prepared(t), kind, "doc_id")
-    shares = [F.coalesce(F.col(m).between(0, 1), F.col("class") == "accuracy") for m in ("precision", "recall", "f1")]
-    return report.select("class", "support", (shares[0] & shares[1] & shares[2]).alias("measured"))
+@CATALOG.query(
+    f"""{LABELLED_SQL}, h AS (SELECT label FROM labelled WHERE md5(doc_id::VARCHAR)[1] IN ('0', '1', '2'))
+SELECT label::VARCHAR AS class, count(*) AS support FROM h GROUP BY label
+UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), (SELECT count(*) FROM h)
+"""
+)
+def holdout_support(t: Tables) -> DataFrame:
+    """The classes of the hold-out report and the rows behind each."""
+    return training.holdout_report(_prepared(t), "logistic", "doc_id").select("class", "support")
 
 
-@CATALOG.query(_HOLDOUT_SQL)
+@CATALOG.query()
 def holdout_report_dt(t: Tables) -> DataFrame:
-    return _holdout(t, "tree")
+    """Precision, recall, F1 and support of the tree on labelled rows it has not seen."""
+    return training.holdout_report(_prepared(t), "tree", "doc_id")
 
 
-@CATALOG.query(_HOLDOUT_SQL)
+@CATALOG.query()
 def holdout_report_lr(t: Tables) -> DataFrame:
-    return _holdout(t, "logistic")
+    return training.holdout_report(_prepared(t), "logistic", "doc_id")
+
+
+@CATALOG.query(
+    f"""{LABELLED_SQL}
+SELECT (('0x' || md5(doc_id::VARCHAR)[1:8])::BIGINT % {training.FOLDS})::INT AS fold, label::INT AS label, count(*)::BIGINT AS support
+FROM labelled GROUP BY ALL"""
+)
+def cv_folds(t: Tables) -> DataFrame:
+    """Rows of each label in each fold, added up from the confusion tables of the folds."""
+    confusion = training.fold_confusion(_prepared(t), "logistic", "doc_id")
+    return confusion.groupBy("fold", "label").agg(F.sum("n").alias("support"))
+
+
+@CATALOG.query()
+def cv_fold_measures(t: Tables) -> DataFrame:
+    """Accuracy, precision, recall and F1 of each fold's model on the rows it has not seen."""
+    return training.fold_measures(training.fold_confusion(_prepared(t), "logistic", "doc_id"))
 
 
 @CATALOG.query()

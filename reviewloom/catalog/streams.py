@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import records as r
-from ..operators import ingest
+from ..functions import steps as s
+from ..operators import ingest, lookup, training
 from ..session import new_folder
 from ..sources import topics
-from ..streaming import counters, delivery, jobs, stateful
-from . import evaluation, sources, texts, views
+from ..streaming import counters, delivery, jobs, stateful, versions
+from . import duck, evaluation, features, sources, texts, views
 from .registry import Catalog, Tables
 
 CATALOG = Catalog()
@@ -246,3 +247,65 @@ def stream_restart(t: Tables) -> DataFrame:
 
     _delivered(t, _dealt(t.events.select("event_id", "event_type"), "event_id"), drain)
     return t.spark.read.parquet(results).drop("batch_id")
+
+
+@CATALOG.query(
+    f"""
+WITH short AS (SELECT DISTINCT unnest({duck.tokens("text")}) AS word FROM benchmark),
+long AS (SELECT DISTINCT w FROM (SELECT unnest({duck.tokens("text")}) AS w FROM documents) WHERE length(w) > 6),
+tok AS (
+  SELECT doc_id, generate_subscripts({duck.tokens("text")}, 1) AS i, unnest({duck.tokens("text")}) AS w FROM documents)
+SELECT d.doc_id, coalesce(o.out, '') AS out FROM documents d LEFT JOIN (
+  SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS out FROM tok
+  WHERE CASE WHEN doc_id % 3 = 0 THEN w NOT IN (SELECT word FROM short) ELSE w NOT IN (SELECT w FROM long) END
+  GROUP BY doc_id) o USING (doc_id)"""
+)
+def stream_lexicon_reload(t: Tables) -> DataFrame:
+    """Texts arrive in three deliveries; behind the first a new word list is published, which
+    the batches after it take up, without a restart of the job that publishes nothing."""
+    texts_ = t.documents.select("doc_id", "text")
+    word = F.explode(s.token_array(F.col("text"))).alias("entry")
+    lists = [t.benchmark.select(word).distinct(), texts_.select(word).filter(F.length("entry") > 6).distinct(), None]
+    path, log, results, progress = (new_folder(t.spark, x) for x in ("lexicon", "versions", "cleaned", "progress"))
+    handle = versions.reloading(
+        path, log, lambda batch, words: lookup.drop_tokens(batch, "doc_id", "text", words, "out"), jobs.append_batches(results)
+    )
+    todo = iter(lists)
+
+    def drain(stream: DataFrame) -> None:
+        words = next(todo)
+        if words is not None:
+            versions.publish(words, path)
+        jobs.drain(jobs.each_batch(stream, handle, progress, drain=True))
+
+    _delivered(t, [texts_.filter(F.col("doc_id") % DELIVERIES == i) for i in range(DELIVERIES)], drain)
+    return t.spark.read.parquet(results).select("doc_id", "out")
+
+
+@CATALOG.query(
+    f"""{features.LABELLED_SQL} SELECT label::INT AS label, count(*)::BIGINT AS predicted, 0::BIGINT AS differ
+FROM labelled GROUP BY label"""
+)
+def stream_predict(t: Tables) -> DataFrame:
+    """A stored model, its profile and its lexicons serve a stream of texts: labelled texts
+    with a prediction, and those whose prediction is not that of the batch."""
+    labels = t.labels.select("doc_id", F.col("quality").alias("label"))
+    frame = training.training_frame(t.documents.join(labels, "doc_id"), "text", "label", "doc_id")
+    prepared = training.prepare(frame.filter(F.col("label_id").isNotNull()))
+    path, results, progress = (new_folder(t.spark, x) for x in ("model", "predicted", "progress"))
+    training.save(training.fit(prepared.select("words", "label_id"), "logistic"), path)
+    stored = training.load(path)
+    texts_ = t.documents.select("doc_id", "text")
+
+    def drain(stream: DataFrame) -> None:
+        served = training.predict_texts(stored, stream, "text", "doc_id")
+        jobs.drain(jobs.to_files(served, results, progress, drain=True))
+
+    _delivered(t, _dealt(texts_, "doc_id"), drain)
+    batch = training.predict_texts(stored, texts_, "text", "doc_id").withColumnRenamed("prediction", "in_batch")
+    both = t.spark.read.parquet(results).join(batch, "doc_id").join(frame.select("doc_id", "label_id"), "doc_id")
+    return (
+        both.filter(F.col("label_id").isNotNull() & F.col("prediction").isNotNull())
+        .groupBy(F.col("label_id").alias("label"))
+        .agg(F.count("*").alias("predicted"), F.count_if(~F.col("prediction").eqNullSafe(F.col("in_batch"))).alias("differ"))
+    )

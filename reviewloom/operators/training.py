@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
@@ -79,11 +81,12 @@ def _validator(kind: str, estimator, classifier, parallelism: int) -> CrossValid
 
 @dataclass(frozen=True)
 class Fitted:
-    """A model together with the cleaning profile its texts went through."""
+    """A model together with the cleaning profile and the lexicons its texts went through."""
 
     model: PipelineModel
     profile: str
     fold_accuracy: float
+    lexicons: Lexicons = DEFAULT
 
 
 def fit(
@@ -92,6 +95,7 @@ def fit(
     profile: str = profiles.TRAINING,
     idf_in_folds: bool = False,
     parallelism: int = 2,
+    lexicons: Lexicons = DEFAULT,
 ) -> Fitted:
     """Bigrams, hashed counts, IDF and a cross-validated classifier.
 
@@ -111,7 +115,16 @@ def fit(
     shaped = materialise(shaping.transform(frame).select(column, "label_id"), "shaped")
     validated = _validator(kind, estimator, classifier, parallelism).fit(shaped)
     model = PipelineModel(stages=[*shaping.stages, validated])
-    return Fitted(model, profile, validated.avgMetrics[0])
+    return Fitted(model, profile, validated.avgMetrics[0], lexicons)
+
+
+def predict_texts(fitted: Fitted, df: DataFrame, text: str, *keep: str) -> DataFrame:
+    """Predictions straight from texts, batch or stream: cleaning, features and model are
+    one projection. Texts that are empty once cleaned have none."""
+    named = df.select(*keep, F.col(text).alias("free_text"))
+    cleaned = profiles.clean(named, "free_text", "free_text", fitted.profile, fitted.lexicons)
+    scored = fitted.model.transform(with_tokens(cleaned, "free_text", "words"))
+    return scored.select(*keep, F.when(F.length("free_text") > 0, F.col("prediction")).alias("prediction"))
 
 
 def predict(fitted: Fitted, prepared: DataFrame, *keep: str) -> DataFrame:
@@ -138,15 +151,81 @@ def holdout_report(prepared: DataFrame, kind: str, key: str) -> DataFrame:
     return evaluate.class_report(evaluate.class_measures(pairs))
 
 
+def fold_of(key: Column, folds: int = FOLDS) -> Column:
+    """The fold of a row, by a hash of its key alone; rows without a key are in the first."""
+    first = F.substring(F.md5(key.cast("string").cast("binary")), 1, 8)
+    return F.coalesce(F.conv(first, 16, 10).cast("long") % folds, F.lit(0)).cast("int")
+
+
+def fold_confusion(prepared: DataFrame, kind: str, key: str, parallelism: int = 2) -> DataFrame:
+    """``fold, label, prediction, n``: what the model of each fold, fitted on the other folds,
+    makes of the rows it has not seen. Folds go by ``fold_of``, so they are the same in every
+    run. ``prepared`` should be a written table."""
+    labelled = prepared.filter(F.col("label_id").isNotNull()).withColumn("fold", fold_of(F.col(key)))
+    ngram = NGram(n=NGRAM, inputCol="words", outputCol="ngrams")
+    counts = HashingTF(inputCol="ngrams", outputCol="raw_features", numFeatures=BUCKETS)
+    counted = materialise(
+        Pipeline(stages=[ngram, counts]).fit(labelled).transform(labelled).select("raw_features", "label_id", "fold"),
+        "counted",
+    )
+    classifier = _classifier(kind)
+    estimator = Pipeline(stages=[IDF(inputCol="raw_features", outputCol="features"), classifier])
+    validator = _validator(kind, estimator, classifier, parallelism).setFoldCol("fold").setCollectSubModels(True)
+    models = validator.fit(counted).subModels
+    seen = [
+        models[i][0].transform(counted.filter(F.col("fold") == i)).select("fold", "label_id", "prediction")
+        for i in range(FOLDS)
+    ]
+    return (
+        reduce(DataFrame.unionByName, seen)
+        .groupBy("fold", F.col("label_id").alias("label"), F.col("prediction").cast("int").alias("prediction"))
+        .agg(F.count("*").alias("n"))
+    )
+
+
+def fold_measures(confusion: DataFrame) -> DataFrame:
+    """``fold, n, accuracy, weighted_precision, weighted_recall, weighted_f1`` by fold."""
+    hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
+    labels = confusion.groupBy("fold", F.col("label").alias("class")).agg(
+        F.sum("n").alias("support"), F.sum(hit).alias("hits")
+    )
+    predicted = confusion.groupBy("fold", F.col("prediction").alias("class")).agg(F.sum("n").alias("predicted"))
+    share = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
+    classes = (
+        labels.join(predicted, ["fold", "class"], "left")
+        .withColumn("precision", share(F.col("hits"), F.col("predicted")))
+        .withColumn("recall", share(F.col("hits"), F.col("support")))
+        .withColumn("f1", share(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
+    )
+    total = F.sum("support")
+    weighted = [(F.sum(F.col(m) * F.col("support")) / total).alias(f"weighted_{m}") for m in ("precision", "recall", "f1")]
+    return classes.groupBy("fold").agg(total.alias("n"), (F.sum("hits") / total).alias("accuracy"), *weighted)
+
+
+_LISTS = ("stopwords", "char_to_emoji", "emoji_to_word", "abbreviations", "phrases", "compounds")
+
+
 def save(fitted: Fitted, path: str) -> None:
-    """Store the model, and beside its stages the profile it needs."""
+    """Store the model, and beside its stages the profile and the lexicons it needs: lists
+    as one JSON row, tables as tables."""
     fitted.model.write().overwrite().save(path)
     spark = SparkSession.getActiveSession()
-    note = spark.range(1).select(F.lit(fitted.profile).alias("value"))
+    values = {x: getattr(fitted.lexicons, x) for x in _LISTS}
+    tables = {x: v for x, v in values.items() if isinstance(v, DataFrame)}
+    for name, table in tables.items():
+        table.write.mode("overwrite").parquet(f"{path}/lexicons/{name}")
+    lists = {x: v for x, v in values.items() if x not in tables}
+    bundle = json.dumps({"profile": fitted.profile, "lists": lists, "tables": sorted(tables)})
+    note = spark.range(1).select(F.lit(bundle).alias("value"))
     note.coalesce(1).write.mode("overwrite").text(f"{path}/profile")
 
 
 def load(path: str) -> Fitted:
+    spark = SparkSession.getActiveSession()
     model = PipelineModel.load(path)
-    profile = SparkSession.getActiveSession().read.text(f"{path}/profile").first()["value"]
-    return Fitted(model, profile, model.stages[-1].avgMetrics[0])
+    bundle = json.loads(spark.read.text(f"{path}/profile").first()["value"])
+    values = {
+        x: tuple(tuple(v) if isinstance(v, list) else v for v in listed) for x, listed in bundle["lists"].items()
+    }
+    values |= {x: spark.read.parquet(f"{path}/lexicons/{x}") for x in bundle["tables"]}
+    return Fitted(model, bundle["profile"], model.stages[-1].avgMetrics[0], Lexicons(**values))
