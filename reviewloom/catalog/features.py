@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import records as r
-from ..operators import abbreviations, features, model_tables, training
+from ..operators import abbreviations, dedupe, features, model_tables, training
 from ..session import materialise, new_folder, spread
+from ..sources import files
 from . import duck
 from .registry import Catalog, Tables
 
@@ -309,17 +310,92 @@ def abbrev_span(t: Tables) -> DataFrame:
     )
 
 
+def _corpus_rows(t: Tables) -> DataFrame:
+    """Occurrences in all documents, whose language is known, with the meaning they have."""
+    texts = spread(t.documents.select("lang", F.col("text").alias("cmt")))
+    return abbreviations.spans(texts, "cmt", AMBIGUOUS, "lang", "cmt").withColumn(
+        "origin", F.concat_ws("_", "abb", "lang")
+    )
+
+
+def _expander(t: Tables) -> abbreviations.Expander:
+    by_text = materialise(abbreviations.corpus_by_text([_corpus_rows(t)]), "corpus")
+    return abbreviations.fit(by_text, abbreviations=AMBIGUOUS)
+
+
+def _turns(t: Tables) -> DataFrame:
+    return t.conversations.select(F.concat_ws(":", "conv_id", "turn").alias("turn_id"), "text")
+
+
 @CATALOG.query()
 def abbrev_context(t: Tables) -> DataFrame:
     """Meanings learnt from all documents, whose language is known, and applied to all
     conversations, whose language is not."""
-    texts = spread(t.documents.select("lang", F.col("text").alias("cmt")))
-    corpus = abbreviations.spans(texts, "cmt", AMBIGUOUS, "lang", "cmt").withColumn(
-        "origin", F.concat_ws("_", "abb", "lang")
-    )
-    by_text = materialise(abbreviations.corpus_by_text([corpus]), "corpus")
-    model = abbreviations.fit(by_text)
-    turns = t.conversations.select(F.concat_ws(":", "conv_id", "turn").alias("turn_id"), "text")
-    return abbreviations.expand(model, turns, "turn_id", "text", AMBIGUOUS, "expanded").select(
-        "turn_id", "expanded"
+    return abbreviations.expand(_expander(t), _turns(t), "text", output="expanded").select("turn_id", "expanded")
+
+
+_HOLDS = f"len(list_filter(string_split(text, ' '), lambda w: w IN ({duck.lits(AMBIGUOUS)})))"
+
+
+@CATALOG.query(
+    f"""
+SELECT count(*) AS turns, count(*) FILTER ({_HOLDS} > 0) AS changed, sum({_HOLDS})::BIGINT AS expanded,
+  0::BIGINT AS left_over, 0::BIGINT AS differ FROM conversations"""
+)
+def expander_roundtrip(t: Tables) -> DataFrame:
+    """A stored expander does what the one in memory does: turns it changes, tokens that got
+    one of the known meanings, listed tokens left, and turns where the two differ."""
+    expander = _expander(t)
+    path = new_folder(t.spark, "expander")
+    abbreviations.save(expander, path)
+    stored = abbreviations.load(path)
+    once = abbreviations.expand(expander, _turns(t), "text", output="kept")
+    both = abbreviations.expand(stored, once, "text", output="restored")
+    meanings = [x for x in stored.labels if x.rsplit("_", 1)[0] in AMBIGUOUS]
+    words = F.split("restored", " ")
+    named = lambda listed: F.size(F.filter(words, lambda w: w.isin(listed)))
+    return both.agg(
+        F.count("*").alias("turns"),
+        F.count_if(F.col("restored") != F.col("text")).alias("changed"),
+        F.sum(named(meanings)).cast("bigint").alias("expanded"),
+        F.sum(named(list(stored.abbreviations))).cast("bigint").alias("left_over"),
+        F.count_if(~F.col("kept").eqNullSafe(F.col("restored"))).alias("differ"),
     )
+
+
+_OCCURRENCES_SQL = f"""
+WITH t AS (
+  SELECT lang, text, generate_subscripts(string_split(text, ' '), 1) AS i, unnest(string_split(text, ' ')) AS abb, doc_id
+  FROM documents),
+o AS (
+  SELECT lang, text, abb, i, doc_id, coalesce(sum(length(abb) + 1) OVER (PARTITION BY doc_id ORDER BY i
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS start_index FROM t)
+"""
+
+
+@CATALOG.query(
+    f"""{_OCCURRENCES_SQL}, c AS (
+  SELECT DISTINCT text, abb, start_index, abb || '_' || lang AS origin FROM o WHERE abb IN ({duck.lits(AMBIGUOUS)}))
+SELECT (row_number() OVER (ORDER BY count(*) DESC, origin) - 1)::INT AS index, origin FROM c GROUP BY origin"""
+)
+def label_index(t: Tables) -> DataFrame:
+    """The meanings by the index that the classifier knows them by."""
+    occurrences = abbreviations.corpus_by_text([_corpus_rows(t)]).select(F.explode("occurrences").alias("o")).select("o.*")
+    return abbreviations.label_table(t.spark, abbreviations.learn_labels(occurrences))
+
+
+@CATALOG.query(
+    f"""{_OCCURRENCES_SQL}
+SELECT abb, start_index, (start_index + length(abb))::INT AS end_index, text AS cmt, abb || '_' || lang AS origin
+FROM o WHERE abb IN ({duck.lits(AMBIGUOUS)})"""
+)
+def src_ambiguous(t: Tables) -> DataFrame:
+    """The list and three splits of the ambiguous corpus, written and read back."""
+    folder = new_folder(t.spark, "ambiguous")
+    t.spark.createDataFrame([(x,) for x in AMBIGUOUS], "entry STRING").write.text(f"{folder}/list")
+    rows = _corpus_rows(t).select(*abbreviations.CORPUS)
+    part = F.pmod(F.xxhash64("cmt", "start_index"), F.lit(3))
+    for i in range(3):
+        files.write_csv(rows.filter(part == i), f"{folder}/split{i}")
+    listed, splits = abbreviations.read_corpus(t.spark, f"{folder}/list", [f"{folder}/split{i}" for i in range(3)])
+    return dedupe.concat_splits(splits).filter(F.col("abb").isin(list(listed)))

@@ -49,7 +49,8 @@ _LAST_SECOND = 253_402_300_799  # 9999-12-31 23:59:59
 
 
 def epoch_text(seconds: Column) -> Column:
-    """Epoch seconds as ``yyyy-MM-dd HH:mm:ss`` in UTC, whatever the session zone is."""
+    """Epoch seconds as ``yyyy-MM-dd HH:mm:ss`` in UTC, whatever the session zone is. Times up
+    to 1970 and behind the year 9999 read ``N/A``, as missing ones do."""
     moment = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)")
     )

@@ -344,8 +344,19 @@ def replace_phrases(pairs: Pairs) -> Step:
     )
 
 
-# Noncharacters, so they cannot be part of a text.
-_OPEN, _CLOSE = "\ufdd0", "\ufdd1"
+# Marks around a hit, and what a text's own ones are written with meanwhile.
+_OPEN, _CLOSE, _ESCAPE = "\ufdd0", "\ufdd1", "\ufdd2"
+_ESCAPED = ((_ESCAPE, f"{_ESCAPE}2"), (_OPEN, f"{_ESCAPE}0"), (_CLOSE, f"{_ESCAPE}1"))
+
+
+def _escaped(x: Column) -> Column:
+    own = _has(_OPEN, _CLOSE, _ESCAPE)
+    return bind(x, lambda v: F.when(own(v), _fold(v, _ESCAPED)).otherwise(v))
+
+
+def _restored(x: Column) -> Column:
+    back = [(b, a) for a, b in reversed(_ESCAPED)]
+    return bind(x, lambda v: F.when(F.contains(v, F.lit(_ESCAPE)), _fold(v, back)).otherwise(v))
 
 
 def join_compounds(compounds: Sequence[str]) -> Step:
@@ -363,11 +374,11 @@ def join_compounds(compounds: Sequence[str]) -> Step:
 
     def rewrite(x: Column, blank: str) -> Column:
         hit = f"(?<![^{blank}])({one_of})(?![^{blank}])"
-        marked = F.regexp_replace(x, hit, f"{_OPEN}$1{_CLOSE}")
+        marked = F.regexp_replace(_escaped(x), hit, f"{_OPEN}$1{_CLOSE}")
         joined = F.regexp_replace(
             marked, f" (?=[^{_OPEN}{_CLOSE}]{{0,{longest}}}+{_CLOSE})", "_"
         )
-        return F.replace(F.replace(joined, F.lit(_OPEN)), F.lit(_CLOSE))
+        return _restored(F.replace(F.replace(joined, F.lit(_OPEN)), F.lit(_CLOSE)))
 
     touches = _has(*ordered) if len(ordered) <= NESTED_MAX else None
     return Step(

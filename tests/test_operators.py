@@ -290,10 +290,50 @@ def test_abbreviations_in_context(spark):
     expander = abbreviations.fit(by_text)
     texts = [(1, "kg ăn uống kg ngon kg"), (2, "cân kg nặng"), (3, "skg"), (4, "")]
     df = spark.createDataFrame(texts, "id INT, text STRING")
-    got = {x["id"]: x["text"] for x in abbreviations.expand(expander, df, "id", "text", ["kg"]).collect()}
+    got = {x["id"]: x["text"] for x in abbreviations.expand(expander, df, "text", ["kg"]).collect()}
     assert got == {1: "không ăn uống không ngon không", 2: "cân ki lô nặng", 3: "skg", 4: ""}
 
 
+def test_a_stored_expander_needs_no_key(spark, tmp_path):
+    rows = [("kg", 3, 5, "ăn kg ngon", "không"), ("kg", 4, 6, "cân kg nặng", "ki lô"), ("kg", 4, 6, "cân kg nặng quá", "ki lô")]
+    schema = "abb STRING, start_index INT, end_index INT, cmt STRING, origin STRING"
+    by_text = abbreviations.corpus_by_text([spark.createDataFrame(rows, schema)])
+    expander = abbreviations.fit(by_text, abbreviations=["kg"])
+    abbreviations.save(expander, str(tmp_path / "e"))
+    stored = abbreviations.load(str(tmp_path / "e"))
+    assert stored.labels == ("ki lô", "không") and stored.abbreviations == ("kg",)
+    texts = [(1, "ăn kg ngon"), (1, "cân kg nặng"), (1, "ăn kg ngon"), (None, "kg"), (None, None)]
+    df = spark.createDataFrame(texts, "id INT, text STRING")
+    want, got = (
+        sorted(map(str, abbreviations.expand(e, df, "text", output="out").collect())) for e in (expander, stored)
+    )
+    assert got == want and len(got) == 5
+    assert {r["out"] for r in abbreviations.expand(stored, df.filter("id = 1"), "text", output="out").collect()} == {
+        "ăn không ngon", "cân ki lô nặng"}
+
+
+def test_offsets_in_a_long_text(spark):
+    import random
+
+    rng = random.Random(3)
+    texts = ["", "kg", " kg", "kg kg", "a  kg ", " ".join(rng.choice(["kg", "ü", "", "abc😀"]) for _ in range(20_000))]
+    df = spark.createDataFrame(list(enumerate(texts)), "id INT, text STRING")
+    got = sorted(map(tuple, abbreviations.spans(df, "text", ["kg"], "id").select("id", "pos", "start_index", "end_index").collect()))
+    want = []
+    for i, t in enumerate(texts):
+        at = 0
+        for pos, w in enumerate(t.split(" ")):
+            if w == "kg":
+                want.append((i, pos, at, at + 2))
+            at += len(w) + 1
+    assert got == want
+
+
+def test_labels_by_frequency_then_name(spark):
+    df = spark.createDataFrame([(x,) for x in ["b", "a", "c", "c", None]], "origin STRING")
+    assert abbreviations.learn_labels(df) == ("c", "a", "b")
+
+
 def test_abbreviations_far_behind_in_a_text(spark):
     """One text holds both meanings behind position 8,000: only the place tells them apart."""
     def text(n):
@@ -307,7 +347,7 @@ def test_abbreviations_far_behind_in_a_text(spark):
     expander = abbreviations.fit(abbreviations.corpus_by_text([spark.createDataFrame(rows, schema)]))
     whole, near, far = text(3005)
     df = spark.createDataFrame([(1, whole)], "id INT, text STRING")
-    got = abbreviations.expand(expander, df, "id", "text", ["kg"]).first()["text"]
+    got = abbreviations.expand(expander, df, "text", ["kg"]).first()["text"]
     assert got == whole[:near] + "không" + whole[near + 2 : far] + "ki lô"
 
 

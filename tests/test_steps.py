@@ -227,3 +227,11 @@ def test_segmenter_hook(spark):
     df = spark.createDataFrame([("giao hang nhanh",), (None,)], "t STRING")
     rows = clean(df, "t", "o", segmenter=lambda t: t.replace("giao hang", "giao_hang")).collect()
     assert [r["o"] for r in rows] == ["giao_hang nhanh", ""]
+
+
+def test_compounds_keep_every_character_of_a_text(spark):
+    marks = "\ufdd0 \ufdd1x\ufdd2 2\ufdd20 \ufdd2\ufdd0"
+    texts = [marks, f"hài lòng {marks} hài lòng", "\ufdd0hài lòng\ufdd1 hài lòng"]
+    df = spark.createDataFrame([(t,) for t in texts], "text STRING")
+    got = [r[0] for r in df.select(s.join_compounds(["hài lòng"])(F.col("text"))).collect()]
+    assert got == [marks, f"hài_lòng {marks} hài_lòng", "\ufdd0hài lòng\ufdd1 hài_lòng"]
