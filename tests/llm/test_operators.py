@@ -27,7 +27,8 @@ from reviewloom.llm.rtree import Tree
 from reviewloom.llm.rtree import links as tree_links
 from reviewloom.llm.scratch import Scratch
 from reviewloom.llm.token_counts import BYTE, WORD_MARK, ForwardTrie, count_tokens
-from reviewloom.llm.url_filter import filter_urls
+from reviewloom.llm import url_filter as url_module
+from reviewloom.llm.url_filter import filter_urls, held_out_report, labelled_urls
 
 DOCS = "doc_id long, text string, lang string, source string, n_words string, kept int, id string, k int, block int"
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -384,6 +385,52 @@ def test_url_rules_and_verdicts(spark):
     assert (got[6]["verdict"], got[7]["verdict"]) == ("block", "allow")
 
 
+def plain_verdict(url):
+    """Host, path and the rule, by hand."""
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    host = re.match(r"[^/?#]*", rest).group()
+    path = re.match(r"[^?#]*", rest[len(host) :]).group()
+    host = "".join(c.lower() if c.isascii() else c for c in host)
+    fits = [
+        r for r in url_module.RULES
+        if (host == r[1] or host.endswith("." + r[1])) and path.startswith(r[2])
+    ]
+    best = max(fits, key=lambda r: len(r[1] + r[2]), default=None)
+    return host, path, best and best[1] + best[2], best and best[0]
+
+
+def test_url_rules_against_plain_python(spark):
+    rng = random.Random(6)
+    bits = ["http", "s", "://", "/", "?", "#", ".", "org", "com", "example.org", "A.example.ORG", "/es/", "/en/1", "/fr/", "/de/", "net", "É", "a"]
+    urls = [None, "", "://"] + ["".join(rng.choice(bits) for _ in range(rng.randint(1, 9))) for _ in range(1500)]
+    urls += urls[:20]
+    table = spark.createDataFrame(
+        [(i % 1400, u, "x", "y", 0.5) for i, u in enumerate(urls)], "page_id long, url string, host string, rule string, probability double"
+    )
+    rows = filter_urls(table).collect()
+    got = sorted((r["page_id"], r["host"], r["path"], r["rule"] or "") for r in rows)
+    want = [(i % 1400, *plain_verdict(u)) for i, u in enumerate(urls)]
+    assert got == sorted((i, h, p, r or "") for i, h, p, r, _ in want)
+    verdicts = {r["rule"]: r["verdict"] for r in rows if r["rule"]}
+    assert verdicts == {r: v for _, _, _, r, v in want if r}
+    assert filter_urls(table.filter("false")).count() == 0
+
+
+def test_url_model_on_words_it_has_not_seen(spark):
+    report = held_out_report(labelled_urls(spark)).collect()
+    blocked, caught, alarms = (sum(r[x] for r in report) for x in ("blocked", "caught", "alarms"))
+    assert caught / blocked > 0.5 and caught / (caught + alarms) > 0.8
+    known = {w for w in (*url_module.BLOCKED, *url_module.ALLOWED)}
+    assert not known & {"cheap-pills", "free-bets", "spam-farm", "ads-track", "casino-win", "adult-x"}
+
+
+def test_url_labels_as_a_parameter(spark):
+    rows = [(f"http://{'zzq' if i % 2 else 'library'}{i}.net/a", float(i % 2)) for i in range(60)]
+    pages = spark.createDataFrame([(1, "http://zzq999.net/a"), (2, "http://library999.net/a")], "page_id long, url string")
+    got = filter_urls(pages, labelled=spark.createDataFrame(rows, "url string, label double")).collect()
+    assert {r["page_id"]: r["verdict"] for r in got} == {1: "block", 2: "allow"}
+
+
 def test_language_held_out_accuracy(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = identify_language(table).join(table.select("doc_id", "lang"), "doc_id").filter("held_out")
