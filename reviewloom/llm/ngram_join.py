@@ -304,11 +304,14 @@ def _search(numerator: int, denominator: int):
     return run
 
 
-def _joined(found: DataFrame, moved: DataFrame | None, scratch: Scratch) -> DataFrame | None:
+def _joined(found: DataFrame, moved: DataFrame | None, scratch: Scratch) -> DataFrame:
     """The components (v, component) after more links between classes, of which earlier
     ones are in ``moved``."""
+    found = scratch.put(found)
     if moved is None:
         return components(found, scratch)
+    if found.isEmpty():
+        return moved
     renamed = (
         found.join(moved.toDF("a", "of_a"), "a", "left").join(moved.toDF("b", "of_b"), "b", "left")
         .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
@@ -444,6 +447,8 @@ def ngram_join(
     # First each class against one text: of the first in its cells, in an order that changes,
     # the one that is first in most of them.
     for turn in range(STAR_TURNS):
+        if member.isEmpty():
+            break
         order = [F.col("n")] if not turn else [F.xxhash64("c", F.lit(turn))]
         hubs = member.groupBy("h").agg(F.min(F.struct(*[x.alias("x") for x in order], "n", "c", "comp")).alias("hub"))
         stars = scratch.put(
@@ -461,12 +466,12 @@ def ngram_join(
         old, member = member, with_components(member)
         scratch.drop(old, stars)
 
-    dealt = scratch.put(_regions(member, scratch))
-    linked = (
-        dealt.join(sets, "c").groupBy("g", "i", "j").applyInArrow(_search(num, den), "a long, b long")
-    )
-    moved = _joined(linked, moved, scratch)
-    scratch.drop(member, dealt, sets)
+    if not member.isEmpty():
+        dealt = scratch.put(_regions(member, scratch))
+        linked = dealt.join(sets, "c").groupBy("g", "i", "j").applyInArrow(_search(num, den), "a long, b long")
+        moved = _joined(linked, moved, scratch)
+        scratch.drop(dealt)
+    scratch.drop(member, sets)
 
     least = known.groupBy("c").agg(F.min("id").alias("least")).join(moved.toDF("c", "comp"), "c", "left")
     least = scratch.put(least.withColumn("comp", F.coalesce("comp", "c")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import new_folder
@@ -23,6 +25,8 @@ class Scratch:
         df.write.parquet(path)
         table = self.spark.read.schema(df.schema).parquet(path)
         table._scratch_path = path
+        if _noted:
+            _noted[-1].append(table)
         return table
 
     def drop(self, *tables: DataFrame) -> None:
@@ -33,6 +37,22 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
+#: Tables written inside calls of ``settled``, the innermost last.
+_noted: list[list[DataFrame]] = []
+
+
+def settled(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` gives, written; all tables that operators wrote for it are deleted."""
+    scratch = Scratch(spark, name)
+    _noted.append([])
+    try:
+        kept = scratch.put(make())
+    finally:
+        made = _noted.pop()
+    scratch.drop(*[x for x in made if x is not kept])
+    return kept
+
+
 def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Keep Arrow batches small: texts can be long."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -495,12 +495,80 @@ def test_pipeline_stages_keep_columns(spark):
     odd = table.union(odd).union(odd.withColumn("doc_id", F.lit(None).cast("long"))).union(
         odd.withColumn("text", F.lit(None).cast("string")).withColumn("doc_id", F.col("doc_id") + 10**6)
     )
-    for name, stage in p.STAGES[:-1]:
+    for name, stage in p.STAGES:
         out = stage(spark, odd, folder)
-        assert out.columns == table.columns, name
+        assert out.columns == table.columns + ["probability"] * (name == "mixing"), name
         assert stage(spark, odd.filter("false"), folder).count() == 0
         if name == "language":
             assert out.filter("text is null").count() == 0 and out.count() >= table.count()
         if name == "exact_dedup":
             own = [re.sub(r"[\x20\x09-\x0D]", "", r[0] or "") for r in out.select("text").collect()]
             assert len(own) == len(set(own))
+
+
+def test_pipeline_keeps_columns_of_any_name(spark):
+    import corpus_pipeline as p
+
+    folder = "/root/testdata/sf0.001"
+    names = ["probability", "row_", "_row", "file_", "path_", "id", "kept", "n_tokens", "draw", "topic", "predicted_", "h", "c"]
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    odd = table.select("*", *[F.concat(F.lit(n), F.col("doc_id")).alias(n) for n in names])
+    for name, stage in p.STAGES:
+        out = stage(spark, odd, folder)
+        added = ["_probability"] if name == "mixing" else []
+        assert out.columns == odd.columns + added, name
+        wrong = " or ".join(f"`{n}` <> concat('{n}', doc_id)" for n in names)
+        assert out.count() > 0 and out.filter(wrong).isEmpty(), name
+
+
+def test_pipeline_gives_a_language_to_those_without(spark, tmp_path):
+    import corpus_pipeline as p
+
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    given = {r["doc_id"]: r["lang"] for r in table.collect()}
+    table.withColumn("lang", F.when(F.col("doc_id") % 5 > 0, F.col("lang"))).write.parquet(str(tmp_path / "docs"))
+    out = p.known_language(spark, spark.read.parquet(str(tmp_path / "docs")), "").collect()
+    assert all(r["lang"] is not None for r in out) and len(out) == len(given)
+    filled = [r for r in out if r["doc_id"] % 5 == 0]
+    assert sum(r["lang"] == given[r["doc_id"]] for r in filled) >= 0.9 * len(filled)
+    assert all(r["lang"] == given[r["doc_id"]] for r in out if r["doc_id"] % 5)
+
+
+def test_pipeline_as_a_whole(spark):
+    """run() against the same steps by hand, from the texts and the operators' own tests."""
+    import corpus_pipeline as p
+
+    folder = "/root/testdata/sf0.001"
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    bench = [r["text"] for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    left = {i for i, r in docs.items() if any(c.isalpha() for c in r["text"] or "")}
+    best = {}
+    for i in left:
+        key = re.sub(r"[\x20\x09-\x0D]", "", docs[i]["text"])
+        best.setdefault(key, []).append((-len(docs[i]["text"]), i))
+    left = sorted(min(v)[1] for v in best.values())
+    sets = [shingles(docs[i]["text"]) for i in left]
+    least = classes(set_pairs(sets), range(len(left)))
+    left = [i for k, i in enumerate(left) if least[k] == k]
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    low = lambda t: word.findall(re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
+    windows = set()
+    for t in bench:
+        w = low(t)
+        n = min(10, len(w))
+        windows |= {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if n else set()
+    sizes = {len(x) for x in windows}
+
+    def clean(t):
+        w = low(t)
+        return not any(tuple(w[i : i + n]) in windows for n in sizes for i in range(len(w) - n + 1))
+
+    left = [i for i in left if clean(docs[i]["text"])]
+    got = p.run(spark, folder).collect()
+    ids = [r["doc_id"] for r in got]
+    assert len(ids) == len(set(ids)) and set(ids) <= set(left)
+    # the sample keeps about the wanted share of the tokens, and documents with one surely
+    tokens = {i: len((docs[i]["text"] or "").split()) for i in left}
+    assert 0.6 < sum(tokens[i] for i in ids) / sum(tokens.values()) < 0.95
+    assert all(0 < r["probability"] <= 1 for r in got)
+    assert [r["text"] for r in got] == [docs[r["doc_id"]]["text"] for r in got]
