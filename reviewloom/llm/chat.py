@@ -13,12 +13,15 @@ of one block.
 Defined results: rows that repeat a turn count once; turns with one number keep the order
 of role, then text, nulls first; null role renders as ``unknown``, null text as empty;
 turns without a number come first; rows without a conversation id go; an empty table gives
-no rows; other columns are not read.
+no rows; other columns are not read. What opens and closes a mark of the template is written
+with a space inside where it stands in a role or text, so that no turn can forge another. A
+null role and the role ``unknown``, or null and empty text, read alike and are told apart: the
+conversations stay two.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
@@ -26,6 +29,15 @@ from .scratch import Scratch
 #: Turn numbers of a block.
 BLOCK = 64
 TEMPLATE = "<|{role}|>\n{text}\n<|end|>\n"
+#: What marks are made of, and how it is written inside a role or a text.
+MARKS = (("<|", "< |"), ("|>", "| >"))
+
+
+def escaped(text: Column) -> Column:
+    """The text without marks; one pass each leaves none, as what is put in holds none."""
+    for mark, written in MARKS:
+        text = F.replace(text, F.lit(mark), F.lit(written))
+    return text
 
 
 def _turns(conversations: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
@@ -91,7 +103,8 @@ def format_chats(
     head, rest = TEMPLATE.split("{role}")
     middle, tail = rest.split("{text}")
     rendered = F.concat(
-        F.lit(head), F.coalesce("role", F.lit("unknown")), F.lit(middle), F.coalesce("text", F.lit("")), F.lit(tail)
+        F.lit(head), escaped(F.coalesce("role", F.lit("unknown"))), F.lit(middle),
+        escaped(F.coalesce("text", F.lit(""))), F.lit(tail),
     )
     return (
         turns.join(kept, F.col("conv") == F.col("c"), "left_semi")

@@ -109,7 +109,8 @@ def op4_benchmark_decontamination(t: Tables):
 CHAT_SQL = r"""
 WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
 p AS (
-  SELECT conv_id, turn, '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || chr(10)
+  SELECT conv_id, turn, '<|' || replace(replace(coalesce(role, 'unknown'), '<|', '< |'), '|>', '| >') || '|>' || chr(10)
+    || replace(replace(coalesce(text, ''), '<|', '< |'), '|>', '| >') || chr(10)
     || '<|end|>' || chr(10) AS piece, turn::VARCHAR || ':' || role || ':' || text || chr(0) AS exact FROM t),
 r AS (
   SELECT conv_id, turn, string_agg(exact, '') OVER (PARTITION BY conv_id ORDER BY turn) AS prefix,
@@ -225,7 +226,8 @@ x AS (
     OVER (PARTITION BY conv_id ORDER BY d), text FROM s),
 n AS (
   SELECT prefix, d, min(conv_id) AS r, count(*) AS n_convs,
-    (count(*) - 1) * max(len(regexp_extract_all(text, '[^ 	-]+'))) AS saved,
+    (count(*) - 1) * max(len(regexp_extract_all(text, '[^ 	-
+]+'))) AS saved,
     sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (d = length), '')) AS ends_sha256
   FROM x JOIN l USING (conv_id) GROUP BY prefix, d),
 e AS (
