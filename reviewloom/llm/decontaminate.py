@@ -11,8 +11,9 @@ Index and comparison lower-case A-Z alone.
 
 Defined results: null text has no words; an item without words is never found; rows of the
 benchmark that repeat, or share an id, count once; items without an id mark words as hit
-but are not listed; rows of documents that share an id share their hits; empty tables give
-no hits or no rows; other columns are not read.
+but are not listed; rows of documents that share an id, or have none, are told apart by a hash
+of their text and have hits of their own; empty tables give no hits or no rows; other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -39,6 +40,11 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """What tells documents apart, also where they share an id."""
+    return F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text"))
+
+
 def benchmark_windows(benchmark: DataFrame, scratch: Scratch, id_col: str, text_col: str, size: int):
     """Distinct windows (w, phrase, len, terms) and the items (w, item) that have them."""
     found = (
@@ -124,7 +130,7 @@ def intersect(postings: DataFrame, leading: DataFrame, n: int, slack: int = 0) -
 
 
 def _prepared(docs, benchmark, scratch, id_col, text_col, item_col, item_text_col, size):
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(row_key(id_col, text_col).alias("id"), F.col(text_col).alias("text"))
     windows, items = benchmark_windows(benchmark, scratch, item_col, item_text_col, size)
     vocabulary = scratch.put(
         windows.select(F.explode(F.split("phrase", " ")).alias("term")).distinct()
@@ -150,11 +156,15 @@ def occurrences(
         .groupBy(F.col("id").alias("own_id"))
         .agg(F.collect_set(F.struct("w", "start", "len", "phrase")).alias("places"))
     )
+    # places are compared inside the row, so its words are not copied for each of them
+    stands = F.filter(
+        "places",
+        lambda p: F.array_join(F.slice(F.col("words"), p["start"] + 1, p["len"]), " ") == p["phrase"],
+    )
     exact = (
         texts.join(by_doc, F.col("id").eqNullSafe(F.col("own_id")))
         .select("id", words(ascii_lower(F.col("text"))).alias("words"), "places")
-        .select("id", "words", F.explode("places").alias("p"))
-        .filter(F.array_join(F.expr("slice(words, p.start + 1, p.len)"), " ") == F.col("p.phrase"))
+        .select("id", F.explode(stands).alias("p"))
         .select("id", "p.w", "p.start", "p.len")
         .distinct()
     )
@@ -174,7 +184,7 @@ def proximity_matches(
     return (
         intersect(postings, leading, LEADING, slack)
         .join(windows, "w").join(items, "w")
-        .select(F.col("id").alias(id_col), F.col("item").alias(item_col), "start", "phrase")
+        .select(F.col("id.id").alias(id_col), F.col("item").alias(item_col), "start", "phrase")
     )
 
 
@@ -206,13 +216,13 @@ def decontaminate(
     )
     return (
         docs.select(
-            F.col(id_col).alias("id"),
+            row_key(id_col, text_col).alias("id"),
             F.size(words(F.col(text_col), SEPARATOR_ANY_CASE)).cast("long").alias("n_words"),
         )
         .join(hit, F.col("id").eqNullSafe(F.col("hit_id")), "left")
         .join(listed, F.col("id").eqNullSafe(F.col("list_id")), "left")
         .select(
-            F.col("id").alias(id_col),
+            F.col("id.id").alias(id_col),
             "n_words",
             F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
             F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),

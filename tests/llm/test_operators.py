@@ -265,6 +265,16 @@ def test_decontaminate(spark):
         assert r["items_sha256"] == hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
 
 
+def test_rows_that_share_an_id_have_hits_of_their_own(spark):
+    leak = "one two three four five six seven eight nine ten"
+    rows = [(1, leak), (1, "clean words"), (None, leak + " eleven"), (None, "clean words"), (None, None), (1, leak)]
+    docs = spark.createDataFrame([(*r, 0, 0) for r in rows], "doc_id long, text string, start int, w int")
+    items = spark.createDataFrame([(5, leak)], "item_id long, text string")
+    got = sorted((r["doc_id"] or 0, r["n_words"], r["n_hit"], r["contaminated"]) for r in decontaminate(docs, items).collect())
+    assert got == [(0, 0, 0, False), (0, 2, 0, False), (0, 11, 10, True), (1, 2, 0, False), (1, 10, 10, True), (1, 10, 10, True)]
+    assert {r["doc_id"] for r in proximity_matches(docs, items).collect()} == {1, None}
+
+
 def test_decontaminate_greek_capitals(spark):
     """Lower-casing of a final sigma depends on what follows it; the index does without."""
     bench = spark.createDataFrame([(1, "\u0391\u03a3 \u0392\u0393")], "item_id long, text string")
