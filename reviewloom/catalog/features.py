@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import records as r
 from ..operators import abbreviations, dedupe, features, model_tables, training
 from ..session import materialise, new_folder, spread
 from ..sources import files
@@ -177,35 +176,33 @@ def tfidf_vectors(t: Tables) -> DataFrame:
 
 
 def _prepared(t: Tables) -> DataFrame:
-    """All documents, cleaned for training, with their label where they have one."""
-    labels = t.labels.select("doc_id", F.col("quality").alias("label"))
+    """The labelled documents, cleaned for training. Labels are joined first, so no other
+    text is cleaned or written."""
+    labels = t.labels.filter("quality is not null").select("doc_id", F.col("quality").alias("label"))
     # spread on the scan: asking a join for its partitions would run it
-    joined = spread(t.documents.select("doc_id", "text")).join(labels, "doc_id", "left")
-    frame = joined.select(
-        "doc_id", F.col("text").alias("free_text"), r.binarize(F.col("label")).alias("label_id")
-    )
-    return training.prepare(frame)
+    joined = spread(t.documents.select("doc_id", "text")).join(labels, "doc_id")
+    return training.prepare(training.training_frame(joined, "text", "label", "doc_id"))
 
 
-def _fitted(prepared: DataFrame, kind: str) -> training.Fitted:
-    labelled = prepared.filter(F.col("label_id").isNotNull())
-    return training.fit(labelled.select("words", "label_id"), kind)
+def _fitted(t: Tables, kind: str) -> training.Fitted:
+    return training.fit(_prepared(t).select("words", "label_id"), kind)
 
 
-def _predicted(t: Tables, kind: str) -> DataFrame:
-    """Trained on every labelled document, applied to every document."""
-    prepared = _prepared(t)
-    return training.predict(_fitted(prepared, kind), prepared, "doc_id")
+def _predicted(t: Tables, fitted: training.Fitted) -> DataFrame:
+    """Every document with its prediction, in one projection from the scan on."""
+    return training.predict_texts(fitted, spread(t.documents.select("doc_id", "text")), "text", "doc_id")
 
 
 @CATALOG.query()
 def predict_dt(t: Tables) -> DataFrame:
-    return _predicted(t, "tree")
+    """Trained on every labelled document, applied to every document; texts that are empty
+    once cleaned have no prediction."""
+    return _predicted(t, _fitted(t, "tree"))
 
 
 @CATALOG.query()
 def predict_lr(t: Tables) -> DataFrame:
-    return _predicted(t, "logistic")
+    return _predicted(t, _fitted(t, "logistic"))
 
 
 LABELLED_SQL = f"""{duck.chain(
@@ -261,9 +258,8 @@ def cv_fold_measures(t: Tables) -> DataFrame:
 def cv_metrics(t: Tables) -> DataFrame:
     """Cross-validated accuracy with the IDF inside the folds, beside the label counts."""
     prepared = _prepared(t)
-    labelled = prepared.filter(F.col("label_id").isNotNull())
-    fitted = training.fit(labelled.select("words", "label_id"), "logistic", idf_in_folds=True)
-    return labelled.groupBy("label_id").agg(F.count("*").alias("n")).withColumn(
+    fitted = training.fit(prepared.select("words", "label_id"), "logistic", idf_in_folds=True)
+    return prepared.groupBy("label_id").agg(F.count("*").alias("n")).withColumn(
         "fold_accuracy", F.lit(fitted.fold_accuracy)
     )
 
@@ -271,15 +267,12 @@ def cv_metrics(t: Tables) -> DataFrame:
 @CATALOG.query()
 def model_roundtrip(t: Tables) -> DataFrame:
     """A stored model predicts what the model in memory does: rows with both."""
-    prepared = _prepared(t)
-    fitted = _fitted(prepared, "logistic")
+    fitted = _fitted(t, "logistic")
     path = new_folder(t.spark, "model")
     training.save(fitted, path)
-    stored = training.load(path)
-    once = fitted.model.transform(prepared).select("doc_id", "words", F.col("prediction").alias("kept"))
-    return stored.model.transform(once).select(
-        "doc_id", "kept", F.col("prediction").alias("restored")
-    )
+    kept = _predicted(t, fitted).withColumnRenamed("prediction", "kept")
+    restored = _predicted(t, training.load(path)).withColumnRenamed("prediction", "restored")
+    return kept.join(restored, "doc_id")
 
 
 # --- ambiguous abbreviations ----------------------------------------------------------
