@@ -30,6 +30,8 @@ from reviewloom.llm.scratch import Scratch, settled
 #: Score of the predicted language below which a document goes: one of the comparisons that
 #: chose it was lost. No held-out text of the given tables has less than 0.509, of 2,499.
 LEAST_SCORE = 0.5
+#: Files up to which their list is sent to all tasks; beyond that it is joined by a shuffle.
+FEW_FILES = 50_000
 #: Bits of a row's number inside its file.
 _ROW_BITS = 36
 
@@ -49,9 +51,11 @@ def _numbered(spark: SparkSession, docs: DataFrame, name: str) -> tuple[DataFram
     if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
         docs = Scratch(spark, name).put(docs)
     row, file, path, at, place = (_fresh(docs, x) for x in ("row_", "file_", "path_", "at_", "place_"))
-    # a row for each file; Spark broadcasts the table while it is small
+    # a row for each file, so its size is known
     files = sorted(r[0] for r in docs.select("_metadata.file_path").distinct().collect())
     numbers = spark.createDataFrame(list(enumerate(files)), f"{file} long, {path} string")
+    if len(files) <= FEW_FILES:
+        numbers = F.broadcast(numbers)
     placed = docs.select("*", F.col("_metadata.file_path").alias(at), F.col("_metadata.row_index").alias(place))
     number = F.shiftleft(F.col(file), _ROW_BITS) + F.col(place)
     return placed.join(numbers, F.col(at) == F.col(path)).select(*docs.columns, number.alias(row)), row
@@ -66,16 +70,19 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     no language was learned; the others have a language, given or predicted."""
     columns = docs.columns
     docs, row = _numbered(spark, docs, "pipeline-language")
-    predicted = _fresh(docs, "predicted_")
+    predicted, unsure, blank = (_fresh(docs, x) for x in ("predicted_", "unsure_", "blank_"))
 
     def decide() -> DataFrame:
-        found = identify_language(docs.select("doc_id", "text", "lang", row), carry=[row])
+        """The rows that go or get a language: few beside those that stay as they are."""
+        read = docs.select("doc_id", "text", "lang", row, F.col("lang").isNull().alias(blank))
+        found = identify_language(read, carry=[row, blank])
         sure = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)
-        return found.filter(sure).select(row, F.col("lang_pred").alias(predicted))
+        return found.filter(~sure | F.col(blank)).select(row, (~sure).alias(unsure), F.col("lang_pred").alias(predicted))
 
-    kept = settled(spark, "pipeline-language", decide)
+    changed = settled(spark, "pipeline-language", decide)
     lang = F.coalesce("lang", F.col(predicted).cast(docs.schema["lang"].dataType))
-    return _with(docs, kept, row, "inner").withColumn("lang", lang).select(*columns)
+    kept = _with(docs, changed, row, "left").filter(~F.coalesce(unsure, F.lit(False)))
+    return kept.withColumn("lang", lang).select(*columns)
 
 
 def no_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
