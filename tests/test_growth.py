@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from reviewloom.functions import lexicon as lex
 from reviewloom.functions import patterns as p
 from reviewloom.functions import steps as s
-from reviewloom.operators import abbreviations, dedupe, features, lookup
+from reviewloom.operators import abbreviations, dedupe, features, lookup, phrases
 from reviewloom.session import new_folder
 from reviewloom.sources import files
 
@@ -120,3 +120,21 @@ def test_steps_without_looking_behind(spark, state):
             assert r["got"] == r["want"], (name, r["x"])
     now = df.select(after["compounds"].on(x, state), after["numbered"].on(x, state))
     assert "(?<!" not in _plan(now)
+
+
+def test_a_repeated_token_meets_a_lexicon_once(spark):
+    """What a text repeats is joined and moved once, and texts are rebuilt in one pass."""
+    rows = [(1, "a b " * 3000 + "c"), (2, None), (3, " \t"), (None, "a  b"), (4, "b a"), (5, "a z a")]
+    texts = spark.createDataFrame(rows, "k LONG, text STRING")
+    found = lookup._found(texts, "k", "text", spark.createDataFrame([("a", "x")], "__word STRING, __value STRING"))
+    assert {r["k"]: len(r["__hits"]) for r in found.filter("k is not null").collect()} == {1: 1, 4: 1, 5: 1}
+    pairs = spark.createDataFrame([(1, "a", "x y"), (2, "b", None)], "ord LONG, key STRING, value STRING")
+    mapped = lookup.map_tokens(texts, "k", "text", pairs, "out")
+    want = {(1, "x y b " * 3000 + "c"), (2, None), (3, ""), (None, "a b"), (4, "b x y"), (5, "x y z x y")}
+    assert {(r["k"], r["out"]) for r in mapped.collect()} == want
+    listed = spark.createDataFrame([("a b", "1"), ("b a", "2"), ("b c", "3")], "key STRING, value STRING")
+    hits = phrases.phrase_hits(texts.filter("k = 1"), "k", "text", phrases.phrase_table(listed)).first()["__hits"]
+    assert sorted(tuple(h) for h in hits) == [("a b", "1"), ("b a", "2"), ("b c", "3")]
+    got = {(r["k"], r["out"]) for r in phrases.map_phrases(texts, "k", "text", listed, "out").collect()}
+    assert got == {(1, "1 " * 3000 + "c"), (2, None), (3, ""), (None, "a b"), (4, "2"), (5, "a z a")}
+    assert "sort_array" not in _plan(mapped)
