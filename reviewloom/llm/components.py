@@ -28,8 +28,9 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
             .agg(F.min(order(F.col("w"))).alias("best"))
             .select("u", F.least(F.col("best"), order(F.col("u"))).getField("v").alias("to"))
         )
-        labels = labels.join(moved.toDF("l", "to"), "l", "left").select(
-            "v", F.coalesce("to", "l").alias("l")
+        # written in each round, so that no plan, nor the code made for it, holds all rounds
+        labels = scratch.put(
+            labels.join(moved.toDF("l", "to"), "l", "left").select("v", F.coalesce("to", "l").alias("l"))
         )
         edges = scratch.put(
             edges.join(moved.toDF("a", "to_a"), "a")
@@ -38,6 +39,7 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
             .select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b"))
             .distinct()
         )
-    labels = scratch.put(labels)
+    if not round_:
+        labels = scratch.put(labels)
     least = labels.groupBy("l").agg(F.min("v").alias("component"))
     return scratch.put(labels.join(least, "l").select("v", "component"))

@@ -430,9 +430,11 @@ def ngram_join(
     sets = scratch.put(
         texts.mapInArrow(_sets(size, seed, num, den, bits), "c long, tokens array<long>").dropDuplicates(["c"])
     )
+    bits.destroy()
     cells = sets.mapInArrow(_cells(num, den, levels), "h long, c long, n int")
     shared = cells.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("h")
     member = scratch.put(cells.join(shared, "h").withColumn("comp", F.col("c")))
+    levels.destroy()
 
     # the texts of one id are one document
     same = known.groupBy("id").agg(F.min("c").alias("a"), F.max("c").alias("b")).filter("a <> b").select("id", "a")

@@ -590,3 +590,19 @@ def test_pipeline_as_a_whole(spark):
     assert 0.6 < sum(tokens[i] for i in ids) / sum(tokens.values()) < 0.95
     assert all(0 < r["probability"] <= 1 for r in got)
     assert [r["text"] for r in got] == [docs[r["doc_id"]]["text"] for r in got]
+
+
+def test_components_plan_no_round_twice(spark, monkeypatch):
+    """The plans of later rounds hold no joins of the rounds before."""
+    joins = []
+    put = Scratch.put
+
+    def noted(self, df):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return put(self, df)
+
+    monkeypatch.setattr(Scratch, "put", noted)
+    chain = spark.createDataFrame([(i, i + 1) for i in range(300)], "a LONG, b LONG")
+    got = components(chain, Scratch(spark, "chain")).collect()
+    assert sorted(map(tuple, got)) == [(i, 0) for i in range(301)]
+    assert len(joins) > 9 and max(joins) <= 2
