@@ -3,9 +3,11 @@
 A stage takes the documents that are left and returns the documents that stay, with the
 columns they came with; the last one adds the probability of the sample. Rows are told apart
 by their place in the files they are read from, so rows without a doc_id, or that share one,
-do not share a fate, and nothing is copied for it. A stage writes its decision, a row for each
-document that stays or goes, and deletes what its operator wrote on the way; the documents
-themselves are joined with it as they are read.
+do not share a fate, and nothing is copied for it. A stage writes its decision, a bit (in the
+last one a probability) for each document, 64 to a row, and deletes what its operator wrote on
+the way; the documents themselves are joined with it as they are read. So Spark can send the
+decision over many times as many documents to all tasks as with a row for each, and only
+beyond that the texts are shuffled for it.
 
 Defined results: of equal texts the exact de-duplication keeps one row, also where they have
 no doc_id; of near copies the row of the smallest doc_id stays, null ids last; null and empty
@@ -17,7 +19,7 @@ table stays empty.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm.decontaminate import decontaminate
@@ -32,8 +34,10 @@ from reviewloom.llm.scratch import Scratch, settled
 LEAST_SCORE = 0.5
 #: Files up to which their list is sent to all tasks; beyond that it is joined by a shuffle.
 FEW_FILES = 50_000
-#: Bits of a row's number inside its file.
+#: Bits of a row's number inside its file, and of the place among the rows that one word of a
+#: decision is for.
 _ROW_BITS = 36
+_PLACE_BITS = 6
 
 
 def _fresh(docs: DataFrame, name: str) -> str:
@@ -61,8 +65,26 @@ def _numbered(spark: SparkSession, docs: DataFrame, name: str) -> tuple[DataFram
     return placed.join(numbers, F.col(at) == F.col(path)).select(*docs.columns, number.alias(row)), row
 
 
-def _with(docs: DataFrame, rows: DataFrame, row: str, how: str) -> DataFrame:
-    return docs.join(rows, row, how).drop(row)
+def _word(row: str) -> Column:
+    return F.shiftright(F.col(row), _PLACE_BITS)
+
+
+def _place(row: str) -> Column:
+    return F.col(row).bitwiseAND((1 << _PLACE_BITS) - 1).cast("int")
+
+
+def _as_bits(rows: DataFrame, row: str) -> DataFrame:
+    """(word, bits): the rows listed, once or more, 64 numbers to a word."""
+    bit = F.expr(f"shiftleft(1L, cast(`{row}` & {(1 << _PLACE_BITS) - 1} as int))")
+    return rows.groupBy(_word(row).alias("word")).agg(F.bit_or(bit).alias("bits"))
+
+
+def _with_bits(docs: DataFrame, decided: DataFrame, row: str, listed: bool) -> DataFrame:
+    """The documents that are listed, or those that are not."""
+    word, bits = (_fresh(docs, x) for x in ("word_", "bits_"))
+    joined = docs.join(decided.toDF(word, bits), _word(row) == F.col(word), "inner" if listed else "left")
+    bit = F.getbit(F.coalesce(bits, F.lit(0).cast("long")), _place(row))
+    return joined.filter(bit == int(listed)).drop(row, word, bits)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -81,7 +103,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     changed = settled(spark, "pipeline-language", decide)
     lang = F.coalesce("lang", F.col(predicted).cast(docs.schema["lang"].dataType))
-    kept = _with(docs, changed, row, "left").filter(~F.coalesce(unsure, F.lit(False)))
+    kept = docs.join(changed, row, "left").filter(~F.coalesce(unsure, F.lit(False)))
     return kept.withColumn("lang", lang).select(*columns)
 
 
@@ -90,9 +112,9 @@ def no_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs, row = _numbered(spark, docs, "pipeline-copies")
     kept = settled(
         spark, "pipeline-copies",
-        lambda: exact_dedup(docs.select("doc_id", "text", row), carry=[row]).filter("kept").select(row),
+        lambda: _as_bits(exact_dedup(docs.select("doc_id", "text", row), carry=[row]).filter("kept"), row),
     )
-    return _with(docs, kept, row, "left_semi")
+    return _with_bits(docs, kept, row, True)
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -102,12 +124,13 @@ def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     def decide() -> DataFrame:
         found = ngram_join(docs.select(row, "text"), id_col=row).select(row, "component_id")
         first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", row))
-        return (
+        kept = (
             found.join(docs.select(row, "doc_id"), row)
             .groupBy("component_id").agg(first.alias("first")).select(F.col("first")[row].alias(row))
         )
+        return _as_bits(kept, row)
 
-    return _with(docs, settled(spark, "pipeline-near", decide), row, "left_semi")
+    return _with_bits(docs, settled(spark, "pipeline-near", decide), row, True)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -116,21 +139,26 @@ def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     gone = settled(
         spark, "pipeline-benchmark",
-        lambda: decontaminate(docs.select(row, "text"), benchmark, id_col=row).filter("contaminated").select(row),
+        lambda: _as_bits(decontaminate(docs.select(row, "text"), benchmark, id_col=row).filter("contaminated"), row),
     )
-    return _with(docs, gone, row, "left_anti")
+    return _with_bits(docs, gone, row, False)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sample by calibrated probabilities, with each document's probability."""
     columns, name = docs.columns, _fresh(docs, "probability")
     docs, row = _numbered(spark, docs, "pipeline-mixing")
+    rate = F.struct(_place(row).cast("tinyint"), "probability")
     rates = settled(
         spark, "pipeline-mixing",
         lambda: mix_sources(docs.select("doc_id", "text", "source", "lang", row), carry=[row])
-        .filter("kept").select(row, F.col("probability").alias(name)),
+        .filter("kept").groupBy(_word(row).alias("word")).agg(F.map_from_entries(F.collect_list(rate)).alias("rates")),
     )
-    return _with(docs, rates, row, "inner").select(*columns, name)
+    word, by_place = (_fresh(docs, x) for x in ("word_", "rates_"))
+    joined = docs.join(rates.toDF(word, by_place), _word(row) == F.col(word))
+    place = _place(row).cast("tinyint")
+    kept = joined.filter(F.map_contains_key(by_place, place))
+    return kept.select(*columns, F.try_element_at(by_place, place).alias(name))
 
 
 STAGES = [

@@ -592,6 +592,43 @@ def test_pipeline_as_a_whole(spark):
     assert [r["text"] for r in got] == [docs[r["doc_id"]]["text"] for r in got]
 
 
+def test_pipeline_decisions_are_small(spark, tmp_path):
+    """The decision over many documents is sent to the tasks, where a row for each would not be."""
+    import corpus_pipeline as p
+
+    text = F.concat_ws(" ", *[F.concat(F.lit(x), F.col("id")) for x in "abcdef"], F.pmod("id", F.lit(7)))
+    rows = spark.range(0, 20_000, 1, 2).select(F.col("id").alias("doc_id"), text.alias("text"))
+    rows = rows.withColumn("lang", F.lit("en")).withColumn("source", F.concat(F.lit("s"), F.pmod("doc_id", F.lit(3))))
+    rows.write.parquet(str(tmp_path / "docs"))
+    table = spark.read.parquet(str(tmp_path / "docs"))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(16 << 10))
+    try:
+        out = p.no_copies(spark, table, "")
+        assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == out.distinct().count() == 20_000
+    finally:
+        spark.conf.set(key, before)
+    mixed = p.mixed(spark, table, "").collect()
+    assert 0 < len(mixed) < 20_000 and len({r["doc_id"] for r in mixed}) == len(mixed)
+    want = {r["doc_id"]: r["probability"] for r in p.mix_sources(table).filter("kept").collect()}
+    assert {r["doc_id"]: r["probability"] for r in mixed} == want
+
+
+def test_pipeline_bits_by_hand(spark):
+    """Each place of a word, the sign bit too, and rows that are listed twice or in no word."""
+    import corpus_pipeline as p
+
+    docs = spark.range(300).select(F.col("id").alias("r"), (F.col("id") * 10).alias("word_"))
+    listed = {0, 1, 62, 63, 64, 127, 255, 200}
+    decided = p._as_bits(spark.createDataFrame([(x,) for x in [*listed, 63, 200]], "r LONG"), "r")
+    for kept in (True, False):
+        out = p._with_bits(docs, decided, "r", kept)
+        assert out.columns == ["word_"]
+        assert sorted(x[0] for x in out.collect()) == sorted(i * 10 for i in range(300) if (i in listed) == kept)
+
+
 def test_components_plan_no_round_twice(spark, monkeypatch):
     """The plans of later rounds hold no joins of the rounds before."""
     joins = []
