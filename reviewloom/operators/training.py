@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -160,7 +162,11 @@ def fold_of(key: Column, folds: int = FOLDS) -> Column:
 def fold_confusion(prepared: DataFrame, kind: str, key: str, parallelism: int = 2) -> DataFrame:
     """``fold, label, prediction, n``: what the model of each fold, fitted on the other folds,
     makes of the rows it has not seen. Folds go by ``fold_of``, so they are the same in every
-    run. ``prepared`` should be a written table."""
+    run. ``prepared`` should be a written table.
+
+    ``parallelism`` folds are fitted at a time, each from the written counts: the classifiers
+    keep their own copy of what they iterate over, so none is cached beside it. No model of
+    all rows is fitted."""
     labelled = prepared.filter(F.col("label_id").isNotNull()).withColumn("fold", fold_of(F.col(key)))
     ngram = NGram(n=NGRAM, inputCol="words", outputCol="ngrams")
     counts = HashingTF(inputCol="ngrams", outputCol="raw_features", numFeatures=BUCKETS)
@@ -168,13 +174,16 @@ def fold_confusion(prepared: DataFrame, kind: str, key: str, parallelism: int =
         Pipeline(stages=[ngram, counts]).fit(labelled).transform(labelled).select("raw_features", "label_id", "fold"),
         "counted",
     )
-    classifier = _classifier(kind)
-    estimator = Pipeline(stages=[IDF(inputCol="raw_features", outputCol="features"), classifier])
-    validator = _validator(kind, estimator, classifier, parallelism).setFoldCol("fold").setCollectSubModels(True)
-    models = validator.fit(counted).subModels
+    estimator = Pipeline(stages=[IDF(inputCol="raw_features", outputCol="features"), _classifier(kind)])
+
+    def fitted(fold: int) -> PipelineModel:
+        return estimator.fit(counted.filter(F.col("fold") != fold))
+
+    with ThreadPool(min(parallelism, FOLDS)) as pool:
+        models = pool.map(inheritable_thread_target(counted.sparkSession)(fitted), range(FOLDS))
     seen = [
-        models[i][0].transform(counted.filter(F.col("fold") == i)).select("fold", "label_id", "prediction")
-        for i in range(FOLDS)
+        model.transform(counted.filter(F.col("fold") == i)).select("fold", "label_id", "prediction")
+        for i, model in enumerate(models)
     ]
     return (
         reduce(DataFrame.unionByName, seen)

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
+from pyspark.ml.feature import IDF
 from pyspark.ml.linalg import DenseVector, SparseVector, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -107,6 +110,38 @@ def test_folds_are_the_same_in_every_run(labelled):
     assert sum(r["n"] for r in measured) == 90
 
 
+def test_folds_are_fitted_once_each(labelled, monkeypatch):
+    """No model beside those of the folds, and the same rows right and wrong as by CrossValidator."""
+    prepared = training.prepare(labelled).filter("label_id is not null").withColumn("fold", training.fold_of(F.col("doc_id")))
+    hashed = features.hashed_counts(features.with_ngrams(prepared)).select("raw_features", "label_id", "fold").cache()
+    classifier = LogisticRegression(featuresCol="features", labelCol="label_id", **training.LOGISTIC)
+    estimator = Pipeline(stages=[IDF(inputCol="raw_features", outputCol="features"), classifier])
+    validator = training._validator("logistic", estimator, classifier, 2).setFoldCol("fold").setCollectSubModels(True)
+    want = Counter()
+    for i, models in enumerate(validator.fit(hashed).subModels):
+        rows = models[0].transform(hashed.filter(F.col("fold") == i)).select("fold", "label_id", "prediction").collect()
+        want.update((r[0], r[1], int(r[2])) for r in rows)
+    fits, fit = [], LogisticRegression._fit
+
+    def counted(self, dataset):
+        fits.append(dataset.count())
+        return fit(self, dataset)
+
+    monkeypatch.setattr(LogisticRegression, "_fit", counted)
+    got = training.fold_confusion(prepared.drop("fold"), "logistic", "doc_id").collect()
+    assert {tuple(r)[:3]: r["n"] for r in got} == want
+    assert len(fits) == training.FOLDS and sum(fits) == (training.FOLDS - 1) * hashed.count()
+
+
+def test_weights_are_sent_to_the_bucket_rows(spark):
+    from reviewloom import catalog
+
+    scored = catalog.entries()["score_linear_table"].run(spark, "/root/testdata/sf0.001")
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(feature" not in plan and "BroadcastHashJoin [feature" in plan
+    assert scored.count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
+
+
 def test_fold_measures_by_hand(spark):
     rows = [(0, 0, 0, 3), (0, 0, 1, 1), (0, 1, 0, 2), (0, 1, 1, 4), (1, 0, 1, 5)]
     confusion = spark.createDataFrame(rows, "fold INT, label INT, prediction INT, n LONG")
