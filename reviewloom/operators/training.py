@@ -12,7 +12,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, NGram
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,17 +67,44 @@ def _grid(kind: str, classifier) -> list:
     return builder.build()
 
 
+def _together(kind: str, parallelism: int) -> int:
+    """Folds that are fitted at a time. A tree's fit holds each row at full width, so trees are
+    fitted one after the other."""
+    return 1 if kind == "tree" else min(parallelism, FOLDS)
+
+
+class FoldsTogether(CrossValidator):
+    """Cross-validation of one setting, ``parallelism`` folds at a time. The folds and their
+    measures are those of ``CrossValidator``, which fits settings of one fold at a time and
+    caches the fold's rows beside the classifier's own copy of what it iterates over."""
+
+    def _fit(self, dataset: DataFrame) -> CrossValidatorModel:
+        (setting,) = self.getEstimatorParamMaps()
+        folds = self._kFold(dataset)
+
+        def measured(fold: int) -> list[float]:
+            train, validation = folds[fold]
+            model = self.getEstimator().fit(train, setting)
+            return [self.getEvaluator().copy().evaluate(model.transform(validation, setting))]
+
+        with ThreadPool(self.getParallelism()) as pool:
+            measures = pool.map(inheritable_thread_target(dataset.sparkSession)(measured), range(len(folds)))
+        mean, deviation = self._gen_avg_and_std_metrics(measures)
+        best = self.getEstimator().fit(dataset, setting)
+        return self._copyValues(CrossValidatorModel(best, mean, None, deviation))
+
+
 def _validator(kind: str, estimator, classifier, parallelism: int) -> CrossValidator:
     accuracy = MulticlassClassificationEvaluator(
         labelCol="label_id", predictionCol="prediction", metricName="accuracy"
     )
-    return CrossValidator(
+    return FoldsTogether(
         estimator=estimator,
         estimatorParamMaps=_grid(kind, classifier),
         evaluator=accuracy,
         numFolds=FOLDS,
         seed=SEED,
-        parallelism=parallelism,
+        parallelism=_together(kind, parallelism),
     )
 
 
@@ -164,7 +191,7 @@ def fold_confusion(prepared: DataFrame, kind: str, key: str, parallelism: int =
     makes of the rows it has not seen. Folds go by ``fold_of``, so they are the same in every
     run. ``prepared`` should be a written table.
 
-    ``parallelism`` folds are fitted at a time, each from the written counts: the classifiers
+    ``parallelism`` folds (of trees one) are fitted at a time, each from the written counts: the classifiers
     keep their own copy of what they iterate over, so none is cached beside it. No model of
     all rows is fitted."""
     labelled = prepared.filter(F.col("label_id").isNotNull()).withColumn("fold", fold_of(F.col(key)))
@@ -177,9 +204,9 @@ def fold_confusion(prepared: DataFrame, kind: str, key: str, parallelism: int =
     estimator = Pipeline(stages=[IDF(inputCol="raw_features", outputCol="features"), _classifier(kind)])
 
     def fitted(fold: int) -> PipelineModel:
-        return estimator.fit(counted.filter(F.col("fold") != fold))
+        return estimator.copy().fit(counted.filter(F.col("fold") != fold))
 
-    with ThreadPool(min(parallelism, FOLDS)) as pool:
+    with ThreadPool(_together(kind, parallelism)) as pool:
         models = pool.map(inheritable_thread_target(counted.sparkSession)(fitted), range(FOLDS))
     seen = [
         model.transform(counted.filter(F.col("fold") == i)).select("fold", "label_id", "prediction")

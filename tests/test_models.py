@@ -8,13 +8,16 @@ from collections import Counter
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF
 from pyspark.ml.linalg import DenseVector, SparseVector, VectorUDT
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewloom.functions import lexicon as lex
 from reviewloom.operators import features, lookup, model_tables, training
+from reviewloom.session import materialise
 from reviewloom.sources import topics
 from reviewloom.streaming import jobs, versions
 
@@ -116,7 +119,11 @@ def test_folds_are_fitted_once_each(labelled, monkeypatch):
     hashed = features.hashed_counts(features.with_ngrams(prepared)).select("raw_features", "label_id", "fold").cache()
     classifier = LogisticRegression(featuresCol="features", labelCol="label_id", **training.LOGISTIC)
     estimator = Pipeline(stages=[IDF(inputCol="raw_features", outputCol="features"), classifier])
-    validator = training._validator("logistic", estimator, classifier, 2).setFoldCol("fold").setCollectSubModels(True)
+    accuracy = MulticlassClassificationEvaluator(labelCol="label_id", metricName="accuracy")
+    validator = CrossValidator(
+        estimator=estimator, estimatorParamMaps=training._grid("logistic", classifier), evaluator=accuracy,
+        numFolds=training.FOLDS, foldCol="fold", collectSubModels=True,
+    )
     want = Counter()
     for i, models in enumerate(validator.fit(hashed).subModels):
         rows = models[0].transform(hashed.filter(F.col("fold") == i)).select("fold", "label_id", "prediction").collect()
@@ -133,6 +140,35 @@ def test_folds_are_fitted_once_each(labelled, monkeypatch):
     assert len(fits) == training.FOLDS and sum(fits) == (training.FOLDS - 1) * hashed.count()
 
 
+@pytest.mark.parametrize("kind, at_once", [("logistic", 2), ("tree", 1)])
+def test_folds_together_measure_as_cross_validation_does(labelled, monkeypatch, kind, at_once):
+    """The same folds, measures and model, without a cached copy of each fold."""
+    prepared = training.prepare(labelled).filter("label_id is not null")
+    frame = features.tfidf(features.with_ngrams(prepared)).select("features", "label_id")
+    # some labels are wrong, so that folds differ
+    frame = materialise(frame.withColumn("label_id", F.when(F.rand(3) < 0.3, 1 - F.col("label_id")).otherwise(F.col("label_id"))), "frame")
+    classifier = training._classifier(kind)
+    validator = training._validator(kind, classifier, classifier, 2)
+    plain = CrossValidator(
+        estimator=classifier, estimatorParamMaps=training._grid(kind, classifier), evaluator=validator.getEvaluator(),
+        numFolds=training.FOLDS, seed=training.SEED,
+    )
+    plain._resetUid(validator.uid)
+    want, cached, fit = plain.fit(frame), [], type(classifier)._fit
+
+    def noted(self, dataset):
+        cached.append(dataset.storageLevel.useMemory or dataset.storageLevel.useDisk)
+        return fit(self, dataset)
+
+    monkeypatch.setattr(type(classifier), "_fit", noted)
+    got = validator.fit(frame)
+    assert cached == [False] * (training.FOLDS + 1) and validator.getParallelism() == at_once
+    assert got.avgMetrics == want.avgMetrics and got.stdMetrics == want.stdMetrics
+    assert got.avgMetrics[0] < 1
+    pairs = [sorted(map(tuple, m.transform(frame).select("label_id", "prediction").collect())) for m in (got, want)]
+    assert pairs[0] == pairs[1]
+
+
 def test_weights_are_sent_to_the_bucket_rows(spark):
     from reviewloom import catalog
 
