@@ -201,6 +201,9 @@ def fold_confusion(prepared: DataFrame, kind: str, key: str, parallelism: int =
         Pipeline(stages=[ngram, counts]).fit(labelled).transform(labelled).select("raw_features", "label_id", "fold"),
         "counted",
     )
+    found = {r["fold"] for r in counted.select("fold").distinct().collect()}
+    if len(found) < FOLDS:
+        raise ValueError(f"The data of folds {sorted(set(range(FOLDS)) - found)} is empty.")
     estimator = Pipeline(stages=[IDF(inputCol="raw_features", outputCol="features"), _classifier(kind)])
 
     def fitted(fold: int) -> PipelineModel:

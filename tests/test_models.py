@@ -169,6 +169,11 @@ def test_folds_together_measure_as_cross_validation_does(labelled, monkeypatch,
     assert pairs[0] == pairs[1]
 
 
+def test_a_fold_without_rows_is_refused(labelled):
+    with pytest.raises(ValueError, match="is empty"):
+        training.fold_confusion(training.prepare(labelled).limit(2), "logistic", "doc_id")
+
+
 def test_weights_are_sent_to_the_bucket_rows(spark):
     from reviewloom import catalog
 
