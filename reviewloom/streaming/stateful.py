@@ -11,6 +11,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 #: Groups that the pages of one item are dealt to.
 SALTS = 8
+#: Groups, for each salt, that the items share; a fixed number, as it names groups of the state.
+BUCKETS = 512
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -46,31 +48,42 @@ def prune_pages(
     order of arrival: a page that got through before the stop was known is behind an empty
     page that is in the table too. An item with very many pages is dealt to ``salts`` groups,
     to all of which its empty pages go. Pages without an item pass.
+
+    Items share ``BUCKETS`` groups for each salt, so a batch calls Python as often as that
+    and not for each item; a group's state lists its items, as text, and their stops.
     """
-    salt = "__salt"
+    bucket, salt, name = "__bucket", "__salt", "__item"
     every = F.sequence(F.lit(0), F.lit(salts - 1))
     own = F.array(F.pmod(F.xxhash64(page), F.lit(salts)).cast("int"))
-    dealt = pages.withColumn(salt, F.explode(F.when(F.col(size) == 0, every).otherwise(own)))
+    dealt = (
+        pages.withColumn(salt, F.explode(F.when(F.col(size) == 0, every).otherwise(own)))
+        .withColumn(bucket, F.pmod(F.xxhash64(item), F.lit(BUCKETS)).cast("int"))
+        .withColumn(name, F.col(item).cast("string"))
+    )
     columns = pages.columns
 
     def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        stop = state.get[0] if state.exists else None
+        stops = dict(zip(*state.get, strict=True)) if state.exists else {}
+        first, fell = key[-1] == 0, False
         for chunk in chunks:
-            if pd.isna(key[0]):
-                # no item, no list to end
-                yield chunk[(chunk[size] != 0) | (key[-1] == 0)][columns]
-                continue
-            empty = chunk[chunk[size] == 0]
-            least = empty[page].min() if len(empty) else None
-            if least is not None and not pd.isna(least) and (stop is None or least < stop):
-                stop = int(least)
-                state.update((stop,))
-                if key[-1] == 0:
-                    # one of the rows that are alike
-                    yield empty[empty[page] == least].head(1)[columns]
-            full = chunk[(chunk[size] != 0) | chunk[size].isna()]
-            yield (full if stop is None else full[full[page] < stop])[columns]
+            # no item, no list to end
+            listed = chunk[name].notna()
+            empty = chunk[size] == 0
+            least = chunk[empty & listed & chunk[page].notna()].sort_values(page)
+            # of the rows that are alike one
+            least = least.drop_duplicates(name)
+            least = least[[x not in stops or y < stops[x] for x, y in zip(least[name], least[page], strict=True)]]
+            if len(least):
+                fell = True
+                stops.update(zip(least[name], map(int, least[page]), strict=True))
+            known = chunk[name].map(stops.__contains__).astype(bool)
+            before = chunk[page] < chunk[name].map(lambda x: stops.get(x, 0))
+            yield chunk[(~empty & (~known | before)) | (empty & ~listed & first)][columns]
+            if first and len(least):
+                yield least[columns]
+        if fell:
+            state.update((list(stops), list(stops.values())))
 
-    return dealt.groupBy(item, salt).applyInPandasWithState(
-        step, pages.schema, "stop LONG", "append", GroupStateTimeout.NoTimeout
+    return dealt.groupBy(bucket, salt).applyInPandasWithState(
+        step, pages.schema, "items ARRAY<STRING>, stops ARRAY<LONG>", "append", GroupStateTimeout.NoTimeout
     )

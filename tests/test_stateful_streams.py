@@ -141,6 +141,29 @@ def test_pages_in_any_order(spark, tmp_path, seed):
     assert out.filter("size = 0").count() <= sum(r[2] == 0 for r in rows)
 
 
+def test_items_share_the_groups_of_the_state(spark, tmp_path, monkeypatch):
+    """Calls and rows of the state go by the groups; the lists are those of a batch, text items too."""
+    monkeypatch.setattr(stateful, "BUCKETS", 4)
+    stateful.state_on_disk(spark)
+    schema = "item STRING, page LONG, size INT"
+    far = 2**53
+    rows = [(f"i{i}", far + p, (i + p) % 4) for i in range(60) for p in range(7)]
+    # alike but for the last digit: the stop is no floating number
+    rows += [("far", far + 1, 0), ("far", far, 3), ("far", far + 2, 1), ("", 1, 2), ("", 1, 0), ("", 0, 2)]
+    random.Random(3).shuffle(rows)
+    for lo in range(0, len(rows), 150):
+        land(spark, tmp_path / "in", rows[lo : lo + 150], schema)
+    pruned = stateful.prune_pages(stream_of(spark, tmp_path / "in", schema), "item", "page", "size", salts=2)
+    query = jobs.to_files(pruned, str(tmp_path / "out"), str(tmp_path / "cp"), drain=True)
+    jobs.drain(query)
+    got, want = (
+        sorted(map(tuple, ingest.assemble_pages(x, "item", "page", "size").collect()))
+        for x in (spark.read.parquet(str(tmp_path / "out")), spark.createDataFrame(rows, schema))
+    )
+    assert got == want and ("far", far, 3) in got
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4 * 2
+
+
 # --- order ----------------------------------------------------------------------------
 
 MESSAGE = "k STRING, t INT, body STRING"
