@@ -13,7 +13,9 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
 
     Rounds of contraction: each vertex moves to the neighbour, or itself, that is first
     in a pseudo-random order, and links are renamed accordingly, until none is left. The
-    order keeps chains short, so the rounds grow with the logarithm of the graph.
+    order keeps chains short, so the rounds grow with the logarithm of the graph. Two rounds
+    go by one order: in the first the first of a vertex's neighbours takes its links, in the
+    second all of them follow, so many vertices around one are done with in two rounds.
     """
     edges = scratch.put(links.filter("a <> b").select("a", "b").distinct())
     labels = edges.select(F.col("a").alias("v")).union(edges.select("b")).distinct()
@@ -22,7 +24,7 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     while not edges.isEmpty():
         round_ += 1
         both = edges.union(edges.select("b", "a")).toDF("u", "w")
-        order = lambda c: F.struct(F.xxhash64(c, F.lit(round_)).alias("h"), c.alias("v"))  # noqa: B023, E731
+        order = lambda c: F.struct(F.xxhash64(c, F.lit((round_ + 1) // 2)).alias("h"), c.alias("v"))  # noqa: B023, E731
         moved = scratch.put(
             both.groupBy("u")
             .agg(F.min(order(F.col("w"))).alias("best"))

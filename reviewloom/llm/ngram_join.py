@@ -212,23 +212,29 @@ def _shared_bits(part_bits: int):
     return run
 
 
-def _shared_tokens(texts: DataFrame, size: int, n_tokens: int) -> bytes:
-    """A table of bits that holds the one of each token found in two texts; its size does
-    not grow. Where it is too full to tell tokens apart more texts pass, and none is lost."""
+def _shared_tokens(texts: DataFrame, size: int, n_tokens: int) -> tuple[int, list[tuple[int, bytes]]]:
+    """The parts, as a power of two, of a table of bits that holds the one of each token found
+    in two texts, and those that hold any, packed; its size does not grow. Where it is too full
+    to tell tokens apart more texts pass, and none is lost. It is unpacked where it is used, not
+    in the driver."""
     part_bits = min(FILTER_BITS - 3, max(6, (n_tokens // PART_TOKENS).bit_length()))
     rows = (
         texts.mapInArrow(_blobs(size, part_bits), "part long, blob binary")
         .groupBy("part").applyInArrow(_shared_bits(part_bits), "part long, bits binary").collect()
     )
+    return part_bits, [(row["part"], bytes(row["bits"])) for row in rows]
+
+
+def _unpacked(part_bits: int, parts: list[tuple[int, bytes]]) -> np.ndarray:
     out = np.zeros((1 << part_bits, (1 << (FILTER_BITS - part_bits)) // 8), dtype=np.uint8)
-    for row in rows:
-        out[row["part"]] = np.frombuffer(zlib.decompress(row["bits"]), dtype=np.uint8)
-    return out.tobytes()
+    for part, packed in parts:
+        out[part] = np.frombuffer(zlib.decompress(packed), dtype=np.uint8)
+    return out.ravel()
 
 
-def _passes(hashes: np.ndarray, bits: bytes) -> np.ndarray:
+def _passes(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
     at = hashes >> np.uint64(64 - FILTER_BITS)
-    held = np.frombuffer(bits, dtype=np.uint8)[(at >> np.uint64(3)).astype(np.int64)]
+    held = bits[(at >> np.uint64(3)).astype(np.int64)]
     return (held >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & np.uint8(1) > 0
 
 
@@ -238,12 +244,13 @@ def _sets(size: int, seed: int, numerator: int, denominator: int, bits):
     schema = pa.schema([("c", pa.int64()), ("tokens", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared = _unpacked(*bits.value)
         for batch in batches:
             ids, texts = _columns(batch)
             sets = [
                 x for i, x in zip(ids.to_pylist(), shingle_sets(texts, size), strict=True)
                 if len(x) and i is not None
-                and int(_passes(x, bits.value).sum()) * denominator >= len(x) * numerator
+                and int(_passes(x, shared).sum()) * denominator >= len(x) * numerator
             ]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_name(x, seed) for x in sets], pa.int64()),

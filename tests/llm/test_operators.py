@@ -643,3 +643,25 @@ def test_components_plan_no_round_twice(spark, monkeypatch):
     got = components(chain, Scratch(spark, "chain")).collect()
     assert sorted(map(tuple, got)) == [(i, 0) for i in range(301)]
     assert len(joins) > 9 and max(joins) <= 2
+
+
+def test_components_around_one_vertex_take_few_rounds(spark, monkeypatch):
+    """Also where most of the vertices come before the one they are all linked with."""
+    puts = []
+    put = Scratch.put
+    monkeypatch.setattr(Scratch, "put", lambda self, df: puts.append(df) or put(self, df))
+    star = spark.createDataFrame([(5, i) for i in range(1000) if i != 5], "a LONG, b LONG")
+    got = components(star, Scratch(spark, "star")).collect()
+    assert sorted(map(tuple, got)) == [(i, 0) for i in range(1000)]
+    # the links, three tables a round, the labels
+    assert len(puts) <= 2 + 3 * 2
+
+
+def test_shared_tokens_reach_the_driver_packed(spark):
+    """The driver holds what tokens there are and not the whole table of bits."""
+    texts = spark.createDataFrame([(i, f"a b c d e f{i % 2} g") for i in range(4)], "id LONG, text STRING")
+    part_bits, parts = ngram_module._shared_tokens(texts, 5, 12)
+    bits = ngram_module._unpacked(part_bits, parts)
+    assert sum(len(x) for _, x in parts) < 100_000 and bits.nbytes == (1 << ngram_module.FILTER_BITS) // 8
+    a, b = shingle_sets([b"a b c d e f0 g", b"a b c d f0 g"], 5)
+    assert ngram_module._passes(a, bits).all() and not ngram_module._passes(b, bits).any()
