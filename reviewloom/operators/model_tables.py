@@ -8,20 +8,28 @@ any width costs what the texts hold, and its tables can be kept, compared and jo
 from __future__ import annotations
 
 from pyspark.ml.classification import DecisionTreeClassificationModel, LogisticRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise, new_folder
 
 
-def feature_rows(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """``key, feature, value`` of the values of a vector that are not zero. Of a sparse vector
-    only the values it stores are looked at, so a row costs what it holds and not its width."""
+def _listed(vector: str) -> Column:
     parts = F.unwrap_udt(F.col(vector))
     stored = F.arrays_zip(parts["indices"].alias("feature"), parts["values"].alias("value"))
     every = F.transform(parts["values"], lambda v, i: F.struct(i.alias("feature"), v.alias("value")))
-    listed = F.when(parts["indices"].isNull(), every).otherwise(stored)
-    return df.select(key, F.explode(listed).alias("x")).select(key, "x.*").filter(F.col("value") != 0)
+    return F.when(parts["indices"].isNull(), every).otherwise(stored)
+
+
+def feature_rows(df: DataFrame, key: str, vector: str) -> DataFrame:
+    """``key, feature, value`` of the values of a vector that are not zero. Of a sparse vector
+    only the values it stores are looked at, so a row costs what it holds and not its width."""
+    return df.select(key, F.explode(_listed(vector)).alias("x")).select(key, "x.*").filter(F.col("value") != 0)
+
+
+def filled(vector: str) -> Column:
+    """The features of a vector whose values are not zero, without the values."""
+    return F.transform(F.filter(_listed(vector), lambda x: x["value"] != 0), lambda x: x["feature"])
 
 
 def linear_table(model: LogisticRegressionModel) -> tuple[DataFrame, float]:

@@ -15,6 +15,8 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reviewloom.catalog import features as feature_queries
+from reviewloom.catalog.registry import Tables
 from reviewloom.functions import lexicon as lex
 from reviewloom.operators import features, lookup, model_tables, training
 from reviewloom.session import materialise
@@ -243,3 +245,16 @@ def test_a_wide_vector_costs_what_it_holds(spark):
     df = spark.createDataFrame(rows, T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", VectorUDT())]))
     got = sorted(map(tuple, model_tables.feature_rows(df, "k", "v").collect()))
     assert got == [(1, 7, 2.0), (2, 1, 3.0)]
+
+
+def test_labels_meet_filled_buckets_without_their_values(spark, tmp_path):
+    """What crosses the shuffle with the labels has no numbers beside the buckets; zeros stored are none."""
+    rows = [(1, SparseVector(5, {1: 2.0, 3: 0.0})), (2, SparseVector(5, {1: 1.0, 4: 1.0})), (3, DenseVector([0.0, 3.0])), (4, None)]
+    schema = T.StructType([T.StructField("doc_id", T.IntegerType()), T.StructField("raw_features", VectorUDT())])
+    vectors = spark.createDataFrame(rows, schema)
+    spark.createDataFrame([(1, 1), (2, 0), (2, 1), (3, None)], "doc_id INT, quality INT").write.parquet(str(tmp_path / "labels.parquet"))
+    sides = feature_queries._sides(Tables(spark, str(tmp_path)), vectors)
+    assert sorted(map(tuple, sides.collect())) == [(1, 2, 1), (4, 1, 1)]
+    below = sides._jdf.queryExecution().optimizedPlan().toString().split("Join ", 1)[0]
+    assert "raw_features" not in below
+    assert [r[1] for r in vectors.select("doc_id", model_tables.filled("raw_features")).orderBy("doc_id").collect()] == [[1], [1, 4], [1], None]
