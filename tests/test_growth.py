@@ -6,6 +6,7 @@ import contextlib
 import io
 import os
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from reviewloom.functions import lexicon as lex
 from reviewloom.functions import patterns as p
 from reviewloom.functions import steps as s
 from reviewloom.operators import abbreviations, dedupe, features, lookup, phrases
-from reviewloom.session import new_folder
+from reviewloom.session import configure, new_folder
 from reviewloom.sources import files
 
 LISTED = ("de", "la")
@@ -138,3 +139,15 @@ def test_a_repeated_token_meets_a_lexicon_once(spark):
     got = {(r["k"], r["out"]) for r in phrases.map_phrases(texts, "k", "text", listed, "out").collect()}
     assert got == {(1, "1 " * 3000 + "c"), (2, None), (3, ""), (None, "a b"), (4, "2"), (5, "a z a")}
     assert "sort_array" not in _plan(mapped)
+
+
+def test_what_goes_to_python_at_once_is_bounded_by_bytes(spark):
+    """Batches by rows alone hold thousands of long texts, and each core has a worker."""
+
+    @F.pandas_udf("long")
+    def at_once(texts: pd.Series) -> pd.Series:
+        return pd.Series([int(texts.str.len().sum())] * len(texts))
+
+    long = spark.range(0, 4000, 1, 1).select(F.concat(F.col("id").cast("string"), F.repeat(F.lit("de la "), 1000)).alias("t"))
+    configure(spark)
+    assert long.select(at_once("t").alias("n")).agg(F.max("n")).first()[0] < 4 << 20
