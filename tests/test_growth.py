@@ -65,6 +65,22 @@ def test_split_has_each_text_once(spark):
     assert size < 100 * 6000  # with each of its occurrences the long text would take 2,000 times 6,000
 
 
+def test_split_takes_less_than_its_texts(spark):
+    """Files are compressed, and copies of a text, which are written as they come, are read once."""
+    folder = new_folder(spark, "split")
+    rows = [(f'la "{i}" \n ' + f"word{i} \\ de, " * 300, lang) for i in range(60) for lang in ("es", "fr", "es")]
+    texts = _texts(spark, rows).repartition(4)
+    abbreviations.write_split(texts, "text", "lang", LISTED, f"{folder}/rows", f"{folder}/texts")
+    size = sum(os.path.getsize(os.path.join(d, f)) for d, _, found in os.walk(folder) for f in found)
+    assert size < sum(len(t) for t, _ in rows) / 4
+    spark.createDataFrame([(x,) for x in LISTED], "entry STRING").write.text(f"{folder}/list")
+    _, (got,) = abbreviations.read_corpus(spark, f"{folder}/list", [f"{folder}/rows"], [f"{folder}/texts"])
+    want = abbreviations.spans(texts, "text", LISTED, "lang", F.col("text").alias("cmt"))
+    want = want.withColumn("origin", F.concat_ws("_", "abb", "lang")).select(*abbreviations.CORPUS)
+    found = sorted(map(tuple, got.collect()))
+    assert len(found) == 180 and found == sorted(map(tuple, want.collect()))
+
+
 def test_terms_and_lexicons_are_not_repeated(spark, monkeypatch):
     rows = spark.createDataFrame([(1, ["a b", "a b", "b c"]), (2, ["a b"]), (3, [])], "k LONG, ngrams ARRAY<STRING>")
     weighted = features.tfidf_terms(rows, "k")
