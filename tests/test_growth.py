@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import io
+import math
 import os
 
 import pandas as pd
@@ -93,6 +94,19 @@ def test_terms_and_lexicons_are_not_repeated(spark, monkeypatch):
     assert "salt" not in _plan(weighted) + _plan(dropped)
 
 
+def test_weighted_terms_move_once(spark):
+    """One shuffle by the term, whether a key repeats, is null, or its row has no terms."""
+    data = [(1, ["b c", "a b", "b c"]), (1, ["b c"]), (None, ["a b"]), (None, ["a b"]), (2, []), (3, None), (4, ["", "", None])]
+    weighted = features.tfidf_terms(spark.createDataFrame(data, "k LONG, ngrams ARRAY<STRING>"), "k")
+    got = sorted(((r["k"] or 0, r["term"], r["tf"]), r["weight"]) for r in weighted.collect())
+    df = {"b c": 2, "a b": 3, "": 1}
+    want = [(0, "a b", 2), (1, "a b", 1), (1, "b c", 3), (4, "", 2)]
+    assert [x for x, _ in got] == want
+    assert [w for _, w in got] == pytest.approx([n * math.log(8 / (df[t] + 1)) for _, t, n in want])
+    physical = _plan(weighted).split("Initial Plan")[-1]
+    assert physical.count("Exchange hashpartitioning") == 1 and "Join" not in physical
+
+
 ODD = [
     "hài lòng", "hài lòng hài lòng", "xhài lòng hài lòngx", "hài lòng", "hài lòng\thài lòng\n", " hài lòng ",
     "chất lượng sản phẩm chất lượng", "﷐hài lòng﷑ ﷒ hài lòng", "a1 b c2", " a1", "a1 ", "b  a1\t\n c ", "x² y ab٣ z",
