@@ -258,3 +258,22 @@ def test_labels_meet_filled_buckets_without_their_values(spark, tmp_path):
     below = sides._jdf.queryExecution().optimizedPlan().toString().split("Join ", 1)[0]
     assert "raw_features" not in below
     assert [r[1] for r in vectors.select("doc_id", model_tables.filled("raw_features")).orderBy("doc_id").collect()] == [[1], [1, 4], [1], None]
+
+
+def test_the_batch_beside_the_stream_is_of_labelled_texts(spark, tmp_path, monkeypatch):
+    """The stream serves every text; a batch prediction without a label would meet no row."""
+    from reviewloom import catalog
+
+    words = (["hàng đẹp lắm", "giao nhanh quá"], ["hàng xấu lắm", "giao chậm quá"])
+    texts = [(i, " ".join([*words[i % 2], f"từ {'abc'[i % 3]}"])) for i in range(90)]
+    spark.createDataFrame([*texts, (0, "hàng đẹp"), (None, "hàng")], "doc_id LONG, text STRING").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    labels = [(i, None if i == 7 else i % 2) for i in range(40)]
+    spark.createDataFrame(labels, "doc_id LONG, quality INT").write.parquet(str(tmp_path / "labels.parquet"))
+    served, predict = [], training.predict_texts
+    monkeypatch.setattr(training, "predict_texts", lambda f, df, *names: served.append(df) or predict(f, df, *names))
+    got = catalog.entries()["stream_predict"].run(spark, str(tmp_path))
+    # the repeated key meets itself: two served, two in the batch, two labelled rows
+    assert sorted(map(tuple, got.collect())) == [(0, 19 + 8, 0), (1, 19, 0)]
+    batch = [df for df in served if not df.isStreaming]
+    assert len(served) == 4 and [df.count() for df in batch] == [41]
