@@ -261,8 +261,8 @@ def fit(
     if classes > 2:
         intercept -= intercept.mean()
     context = table.sparkSession.sparkContext
-    # the matrix is stored by columns: the coefficients of a feature stand together
-    matrix = DenseMatrix(shape.columns, features, (w * scale).ravel())
+    # by rows, as the model of two classes wants it
+    matrix = DenseMatrix(shape.columns, features, (w * scale).T.ravel(), True)
     java = JavaWrapper._new_java_obj(
         "org.apache.spark.ml.classification.LogisticRegressionModel", f"LogisticRegression_{uuid.uuid4().hex[:12]}",
         _py2java(context, matrix), _py2java(context, DenseVector(intercept)), classes, classes > 2,

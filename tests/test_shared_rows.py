@@ -37,7 +37,10 @@ def test_the_model_is_that_of_a_row_for_each_occurrence(spark, classes, monkeypa
         (float(y), SparseVector(OWN + TERMS, {**{i: 1.0 for i in own}, **{OWN + i: v for i, v in zip(indices, values, strict=True)}}))
         for indices, values, labels, owns in rows for y, own in zip(labels, owns, strict=True)
     ]
-    want = LogisticRegression(maxIter=20, regParam=0.01).fit(spark.createDataFrame(each, ["label", "features"]))
+    frame = spark.createDataFrame(each, ["label", "features"])
+    want = LogisticRegression(maxIter=20, regParam=0.01).fit(frame)
+    predicted = [[r["prediction"] for r in model.transform(frame).collect()] for model in (got, want)]
+    assert predicted[0] == predicted[1]
     assert got.numClasses == want.numClasses == classes and got.numFeatures == want.numFeatures
     assert np.allclose(got.coefficientMatrix.toArray(), want.coefficientMatrix.toArray(), rtol=1e-6, atol=1e-8)
     assert np.allclose(got.interceptVector.toArray(), want.interceptVector.toArray(), rtol=1e-6, atol=1e-8)
